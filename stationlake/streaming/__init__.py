@@ -1,0 +1,5 @@
+"""Left empty on purpose.
+
+Late data is handled in batch: each run re-reads a sliding window of days and merges
+insert-only (see ``operators.windows`` and ``operators.merge``), so there is no stream state.
+"""
