@@ -14,7 +14,7 @@ from stationlake.operators.extremes import (
     daily_sensor_dims,
 )
 from stationlake.operators.landing import flatten_payload, landed_counts
-from stationlake.operators.merge import merge_insert_only, replace_days, split_valid
+from stationlake.operators.merge import days_met, merge_insert_only, replace_days, split_valid
 from stationlake.operators.ranking import first_k, rank_asc, rank_desc
 from stationlake.operators.windows import event_day_window, ingestion_window, rolling_interval
 
@@ -24,6 +24,7 @@ __all__ = [
     "daily_extremes",
     "daily_extremes_joined",
     "daily_sensor_dims",
+    "days_met",
     "dedupe_readings",
     "describe_parameter",
     "event_day_window",

@@ -17,14 +17,13 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str])
     """The source rows to insert: those whose key the target does not hold.
 
     Columns are matched by name, ignoring case, and come in the target's order. Rows repeated
-    in the source stay repeated, and a row with a NULL key never matches. Those rows skip the
-    join, so they cannot pile up in one task.
+    in the source stay repeated, and a row with a NULL key never matches. If one key, or NULL,
+    fills a large part of the source, adaptive execution splits that part of the join.
     """
     columns = {c.lower(): c for c in source.columns}
     rows = source.select(*[F.col(columns[c.lower()]).alias(c) for c in target.columns])
     held = target.select(*keys).where(~any_null(keys))
-    fresh = rows.where(~any_null(keys)).join(held, list(keys), "left_anti")
-    return fresh.select(*rows.columns).unionByName(rows.where(any_null(keys)))
+    return rows.join(held, list(keys), "left_anti").select(*target.columns)
 
 
 def split_valid(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

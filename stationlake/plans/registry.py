@@ -53,9 +53,9 @@ def daily_extremes_joined(spark: SparkSession, sf: str) -> DataFrame:
     return op.daily_extremes_joined(src.events_as_silver(spark, sf))
 
 
-def _shipments(spark: SparkSession, sf: str) -> DataFrame:
+def shipments(spark: SparkSession, sf: str) -> DataFrame:
     return src.table(spark, sf, "lineitem").withColumn(
-        "ship_month", F.date_format("l_shipdate", "yyyyMM").cast("int")
+        "ship_month", F.year("l_shipdate") * 100 + F.month("l_shipdate")
     )
 
 
@@ -64,13 +64,13 @@ SHIPMENT_KEYS = ["l_suppkey", "l_returnflag", "ship_month"]
 
 def daily_extremes_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return op.daily_extremes(
-        _shipments(spark, sf), SHIPMENT_KEYS, SHIPMENT_KEYS, "l_extendedprice"
+        shipments(spark, sf), SHIPMENT_KEYS, SHIPMENT_KEYS, "l_extendedprice"
     )
 
 
 def daily_extremes_lineitem_status(spark: SparkSession, sf: str) -> DataFrame:
     dims = [*SHIPMENT_KEYS, "l_linestatus"]
-    return op.daily_extremes(_shipments(spark, sf), SHIPMENT_KEYS, dims, "l_extendedprice")
+    return op.daily_extremes(shipments(spark, sf), SHIPMENT_KEYS, dims, "l_extendedprice")
 
 
 def daily_extremes_one_day(spark: SparkSession, sf: str) -> DataFrame:

@@ -42,8 +42,11 @@ PAYLOAD = """
             value: DOUBLE>>>>
 """
 
-READING_KEYS = ["anomesdia", "id_sensor", "data_hora"]
-GOLD_KEYS = ["anomesdia", "id_localizacao", "id_sensor"]
+# The day key follows from data_hora, so it is no part of a reading's identity. Left out, the
+# merge keeps the partitioning of the dedupe before it.
+READING_KEYS = ["id_sensor", "data_hora"]
+# the most selective column first: it decides most comparisons of a sort
+GOLD_KEYS = ["id_sensor", "anomesdia", "id_localizacao"]
 GOLD_DIMS = [
     "id_localizacao", "id_sensor", "localizacao", "parametro", "parametro_descricao",
     "unidade", "anomesdia",

@@ -18,6 +18,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.session.timeZone", ZONE)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # call sites for error messages cost a JVM round trip per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

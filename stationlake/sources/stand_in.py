@@ -13,8 +13,22 @@ from stationlake.functions import day_key, normalise_code
 from stationlake.schemas import BRONZE_COLUMNS
 
 
+TABLES = {
+    "events": """
+        event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
+        props STRING
+    """,
+    "lineitem": """
+        l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ
+    """,
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events_as_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

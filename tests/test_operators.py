@@ -27,6 +27,17 @@ def test_day_key_is_a_day_in_the_session_zone(spark):
     assert got == [20260930, 20260930, None]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_day_key_is_the_formatted_day(spark, kind):
+    # every 7 hours from 1899 to 2101, so across all offset changes of the zone
+    df = spark.range(-2_240_000_000, 4_120_000_000, 7 * 3600).select(
+        F.timestamp_seconds("id").cast(kind).alias("t")
+    )
+    text = F.substring(F.col("t").cast("string"), 1, 10)
+    formatted = F.regexp_replace(text, "-", "").cast("int")
+    assert df.where(day_key("t") != formatted).count() == 0
+
+
 DEDUPE = "sensors_id BIGINT, datetime TIMESTAMP, value DOUBLE, data_ingestao DATE"
 
 

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationlake import operators as op
-from stationlake.plans import registry
-from stationlake.schemas import BRONZE, SILVER
+from stationlake.plans import jobs, registry
+from stationlake.schemas import BRONZE, READING_KEYS, SILVER
 from stationlake.sources import read_bronze_window, read_silver_window
 from stationlake.sources import stand_in as src
 
@@ -63,12 +63,43 @@ def test_lookups_do_not_shuffle_the_readings(spark, sf_dir):
     assert "Exchange hashpartitioning" not in text
 
 
-def test_merge_is_one_anti_join_and_spares_null_keys(spark, no_broadcast):
+def test_merge_is_one_anti_join(spark, no_broadcast):
     left = spark.range(10).select("id", F.lit(1).alias("v"))
-    target, source = left.where("id > 3"), left.withColumn("id", F.expr("nullif(id, 5)"))
-    text = plan(op.merge_insert_only(target, source, ["id"]))
+    text = plan(op.merge_insert_only(left.where("id > 3"), left, ["id"]))
     assert text.count("LeftAnti") == 1
-    assert text.count("Exchange hashpartitioning") <= 2
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_silver_merge_keeps_the_partitioning_of_the_dedupe(spark, sf_dir):
+    bronze = src.events_with_repeats(spark, sf_dir)
+    batch = jobs.silver_batch(bronze, registry.CONFIG)
+    target = spark.createDataFrame([], batch.schema).hint("merge")
+    assert plan(batch).count("Exchange hashpartitioning") == 1
+    # only the target side is added
+    merged = plan(op.merge_insert_only(target, batch, READING_KEYS))
+    assert merged.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("hot", ["CAST(NULL AS BIGINT)", "CAST(7 AS BIGINT)"])
+def test_merge_splits_a_hot_source_key(spark, no_broadcast, hot):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.expr(f"IF(id % 3 = 0, {hot}, id)").alias("k"), F.hash("id").alias("v")
+        )
+        target = spark.range(100, 200).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+        merged = op.merge_insert_only(target, rows, ["k"])
+        assert len(merged.collect()) == 60000 - 67
+        assert "skew=true" in plan(merged)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def test_bronze_window_prunes_partitions(spark, tmp_path):
