@@ -14,9 +14,6 @@ from stationlake.schemas import GOLD_DIMS, GOLD_KEYS
 # the rank partition of the literal form also has the name
 RANK_KEYS = [*GOLD_KEYS, "localizacao"]
 
-_HASH = "_key_hash"
-
-
 def value_columns(k: int, suffix: str = "valor") -> list[str]:
     return [f"{side}{i}_{suffix}" for side in ("top", "bottom") for i in range(1, k + 1)]
 
@@ -43,21 +40,16 @@ def daily_extremes(
     if set(dims) == set(keys):
         # NULL-key groups are not ranked; they come back as rows without values
         unkeyed = df.where(any_null(keys)).select(*dims).distinct()
-        return ranked.drop(_HASH).unionByName(unkeyed, allowMissingColumns=True).select(*columns)
-    rows = daily_sensor_dims(df, dims).withColumn(_HASH, F.xxhash64(*keys))
-    return rows.join(ranked, [_HASH, *keys], "left").select(*columns)
+        return ranked.unionByName(unkeyed, allowMissingColumns=True).select(*columns)
+    return daily_sensor_dims(df, dims).join(ranked, list(keys), "left").select(*columns)
 
 
 def _extremes_by_key(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
-    """The values per key, by ranking both ways; also has the hash that leads the key."""
-    # a hash in front lets the sorts compare one number for most pairs of rows
-    group = [_HASH, *keys]
-    readings = df.where(~any_null(keys)).select(
-        F.xxhash64(*keys).alias(_HASH), *keys, F.col(value).alias("_value")
-    )
+    """One row per complete key with its values, from a ranking in either direction."""
+    readings = df.where(~any_null(keys)).select(*keys, F.col(value).alias("_value"))
 
     def side(name: str, order: Column) -> DataFrame:
-        return first_k(readings, group, [order], k).withColumn("_side", F.lit(name))
+        return first_k(readings, keys, [order], k).withColumn("_side", F.lit(name))
 
     both = side("top", desc_order("_value")).unionByName(side("bottom", asc_order("_value")))
     picks = [
@@ -67,7 +59,7 @@ def _extremes_by_key(df: DataFrame, keys: Sequence[str], value: str, k: int) ->
         for name in ("top", "bottom")
         for i in range(1, k + 1)
     ]
-    return both.groupBy(*group).agg(*picks)
+    return both.groupBy(*keys).agg(*picks)
 
 
 def daily_extremes_joined(

@@ -11,6 +11,7 @@ from stationlake.sources.readers import (
 from stationlake.sources.writers import (
     append_days,
     append_history,
+    merge_catalog_table,
     overwrite_days,
     register_partition,
     write_bronze_day,
@@ -20,6 +21,7 @@ from stationlake.sources.writers import (
 __all__ = [
     "append_days",
     "append_history",
+    "merge_catalog_table",
     "overwrite_days",
     "read_bronze_window",
     "read_history_csv",

@@ -78,6 +78,19 @@ def append_days(df: DataFrame, path: str, day: str = "anomesdia") -> None:
     df.hint("rebalance", F.col(day)).write.mode("append").partitionBy(day).parquet(path)
 
 
+def merge_catalog_table(
+    df: DataFrame, table: str, keys: list[str], day: str = "anomesdia"
+) -> None:
+    """Insert-only merge into a catalog table whose format supports row-level changes.
+
+    The day is part of the condition only so that the format can skip files without the batch's
+    days. Spark's own file tables do not support this; use ``merge_insert_only`` for them.
+    """
+    target = table.split(".")[-1]
+    same = " AND ".join(f"{target}.{key} = source.{key}" for key in dict.fromkeys([day, *keys]))
+    df.alias("source").mergeInto(table, F.expr(same)).whenNotMatched().insertAll().merge()
+
+
 def overwrite_days(df: DataFrame, path: str, day: str = "anomesdia") -> None:
     """Replace the days present in ``df``. ``df`` must not read from ``path``."""
     _replace_partitions(df.hint("rebalance", F.col(day)), path, [day])

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from stationlake.operators import tag_ingestion
 from stationlake.schemas import BRONZE_COLUMNS, LANDING, LANDING_COLUMNS
 from stationlake.sources import (
+    append_days,
     append_history,
+    merge_catalog_table,
     read_bronze_window,
     read_history_csv,
     read_landing,
@@ -201,3 +203,30 @@ def test_silver_window_reads_its_days(spark, lake):
 
     assert read(3) == [2, 3]
     assert read(0) == [1, 2, 3]
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, lake):
+    path = lake["silver_path"]
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    try:
+        df = spark.range(0, 200000, 1, 4).select(
+            F.hash("id").alias("v"),
+            F.when(F.col("id") % 20 == 0, 20240101 + F.col("id") % 7)
+            .otherwise(20240130)
+            .cast("int")
+            .alias("anomesdia"),
+        )
+        append_days(df, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(f"{path}/anomesdia=20240130/*.parquet")) > 3
+    assert len(glob.glob(f"{path}/anomesdia=20240101/*.parquet")) == 1
+    assert spark.read.parquet(path).count() == 200000
+
+
+def test_merging_into_a_plain_catalog_table_is_refused(spark, view):
+    spark.sql(f"CREATE TABLE {view} (k INT, anomesdia INT) USING parquet")
+    df = spark.createDataFrame([(1, 1)], "k INT, anomesdia INT")
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        merge_catalog_table(df, view, ["k"])
+    spark.sql(f"DROP TABLE {view}")
