@@ -6,6 +6,8 @@ that died half-way is simply run again. One writer per table is assumed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from stationlake.operators.conform import (
     filter_polluted_id,
     tag_ingestion,
 )
-from stationlake.operators.dedupe import dedupe_readings
+from stationlake.operators.dedupe import READING, dedupe_readings
 from stationlake.operators.extremes import daily_extremes
 from stationlake.operators.landing import flatten_payload, landed_counts
 from stationlake.operators.merge import days_met, merge_insert_only, split_valid
@@ -101,17 +103,26 @@ def gold_batch(silver: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return daily_extremes(silver, k=cfg.k)
 
 
-def _set_aside(df: DataFrame, keys: list[str], layer: str, cfg: PipelineConfig) -> DataFrame:
-    """Move rows with an incomplete key to the run's quarantine partition, if there is one."""
+def _set_aside(
+    rows: DataFrame,
+    keys: list[str],
+    batch: Callable[[DataFrame], DataFrame],
+    layer: str,
+    cfg: PipelineConfig,
+) -> DataFrame:
+    """The batch made from ``rows``, less those with an incomplete key if there is a quarantine.
+
+    The input is split, not the batch, so neither part computes the other.
+    """
     if not cfg.quarantine_path:
-        return df
-    valid, rejected = split_valid(df, keys)
+        return batch(rows)
+    valid, rejected = split_valid(rows, keys)
     overwrite_days(
-        rejected.withColumn("run_date", F.lit(cfg.run_date)),
+        batch(rejected).withColumn("run_date", F.lit(cfg.run_date)),
         f"{cfg.quarantine_path.rstrip('/')}/{layer}",
         "run_date",
     )
-    return valid
+    return batch(valid)
 
 
 def run_silver(
@@ -124,7 +135,7 @@ def run_silver(
     _use_zone(spark, cfg)
     bronze = read_bronze_window(spark, cfg.bronze_path, cfg.run_date, cfg.silver_days)
     batch = _set_aside(
-        silver_batch(bronze, cfg, stations, parameters), READING_KEYS, "silver", cfg
+        bronze, READING, lambda rows: silver_batch(rows, cfg, stations, parameters), "silver", cfg
     )
     target = read_table(spark, cfg.silver_path, SILVER)
     met = days_met(bronze, day_key("datetime"))
@@ -141,7 +152,7 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     """
     _use_zone(spark, cfg)
     silver = read_silver_window(spark, cfg.silver_path, cfg.run_date, cfg.gold_days)
-    batch = _set_aside(gold_batch(silver, cfg), GOLD_KEYS, "gold", cfg)
+    batch = _set_aside(silver, GOLD_KEYS, lambda rows: gold_batch(rows, cfg), "gold", cfg)
     if cfg.gold_mode == "replace_days":
         overwrite_days(batch, cfg.gold_path)
         return

@@ -22,7 +22,7 @@ from stationlake.schemas import (
     LANDING_NTZ,
     READING_KEYS,
 )
-from stationlake.session import scratch_path
+from stationlake.session import materialise, scratch_path
 from stationlake.sources import (
     append_history,
     read_bronze_window,
@@ -227,7 +227,8 @@ def silver_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_from_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return gold_batch(silver_batch(spark, sf), CONFIG)
+    # silver is a table in the pipeline; gold reads it three times, so it is one here too
+    return gold_batch(materialise(silver_batch(spark, sf)), CONFIG)
 
 
 def tag_ingestion(spark: SparkSession, sf: str) -> DataFrame:
