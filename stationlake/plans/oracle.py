@@ -7,6 +7,7 @@ through the operators.
 from __future__ import annotations
 
 from stationlake.plans.registry import EVENT_PARAMETERS
+from stationlake.sources.dims import PARAMETERS, STATIONS
 
 READINGS = """
 readings AS (
@@ -68,11 +69,19 @@ own AS (
 )"""
 
 
-_DESCRIPTION = (
-    "CASE lower(trim(parameter)) "
-    + " ".join(f"WHEN '{code}' THEN '{text}'" for code, text in EVENT_PARAMETERS.items())
-    + " ELSE parameter END"
-)
+def _quoted(value: str | int) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _pick(values: list) -> str:
+    return f"([{', '.join(map(_quoted, values))}])[sensors_id % {len(values)} + 1]"
+
+
+def _whens(lookup: dict) -> str:
+    return " ".join(f"WHEN {_quoted(k)} THEN {_quoted(v)}" for k, v in lookup.items())
+
+
+_DESCRIPTION = f"CASE lower(trim(parameter)) {_whens(EVENT_PARAMETERS)} ELSE parameter END"
 
 
 def _conform(source: str, code: str = "parameter") -> str:
@@ -335,6 +344,31 @@ FROM readings""",
         + f"""
 SELECT {LANDING}, 'api' AS tipo_ingestao, d AS data_ingestao
 FROM readings, (VALUES (DATE '2024-01-29'), (DATE '2024-01-30')) days(d)""",
+        "conform_readings_listed": _with(READINGS)
+        + f"""
+, picked AS (
+  SELECT *, {_pick([*STATIONS, 1])} AS station, upper({_pick([*PARAMETERS, "other"])}) AS code
+  FROM readings)
+SELECT CAST(station AS BIGINT) AS id_localizacao, sensors_id AS id_sensor,
+       CASE station {_whens(STATIONS)} ELSE location END AS localizacao,
+       code AS parametro, CASE lower(code) {_whens(PARAMETERS)} ELSE code END
+         AS parametro_descricao, value AS valor
+FROM picked""",
+        "jobs_bronze_to_gold": _with(
+            READINGS,
+            _foreign("readings"),
+            f"\nconformed AS ({_conform('own')})",
+            _extremes_joined("conformed"),
+        )
+        + _GOLD,
+        "jobs_silver_twice": _with(READINGS)
+        + """
+SELECT location_id AS id_localizacao, sensors_id AS id_sensor, location AS localizacao,
+       datetime AS data_hora, lat AS latitude, lon AS longitude, parameter AS parametro,
+       parameter AS parametro_descricao, units AS unidade,
+       CASE WHEN data_ingestao <= DATE '2024-01-15' THEN value ELSE value + 1e0 END AS valor,
+       tipo_ingestao, CAST(strftime(datetime, '%Y%m%d') AS INTEGER) AS anomesdia, data_ingestao
+FROM readings WHERE location_id <> 7 OR location IN ('L7')""",
         "bronze_window": _with(READINGS)
         + f" SELECT {BRONZE} FROM readings WHERE data_ingestao >= DATE '2024-01-28'",
     }

@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import operators as op
 from stationlake.config import PipelineConfig
 from stationlake.functions import day_key
 from stationlake.operators.conform import API, HISTORY
-from stationlake.plans.jobs import gold_batch
-from stationlake.plans.jobs import silver_batch as silver_rows
+from stationlake.plans import jobs
 from stationlake.schemas import (
     BRONZE,
     BRONZE_COLUMNS,
@@ -21,6 +20,8 @@ from stationlake.schemas import (
     LANDING_COLUMNS,
     LANDING_NTZ,
     READING_KEYS,
+    SILVER,
+    gold_schema,
 )
 from stationlake.session import materialise, scratch_path
 from stationlake.sources import (
@@ -28,10 +29,12 @@ from stationlake.sources import (
     read_bronze_window,
     read_history_csv,
     read_landing,
+    read_table,
     write_bronze_day,
     write_landing,
 )
 from stationlake.sources import stand_in as src
+from stationlake.sources.dims import PARAMETERS, STATIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,12 +226,12 @@ def replace_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_batch(spark: SparkSession, sf: str) -> DataFrame:
     bronze = src.with_foreign_site(src.events_with_repeats(spark, sf))
-    return silver_rows(bronze, CONFIG, src.nations_as_stations(spark, sf), EVENT_PARAMETERS)
+    return jobs.silver_batch(bronze, CONFIG, src.nations_as_stations(spark, sf), EVENT_PARAMETERS)
 
 
 def gold_from_silver(spark: SparkSession, sf: str) -> DataFrame:
     # silver is a table in the pipeline; gold reads it three times, so it is one here too
-    return gold_batch(materialise(silver_batch(spark, sf)), CONFIG)
+    return jobs.gold_batch(materialise(silver_batch(spark, sf)), CONFIG)
 
 
 def tag_ingestion(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,6 +283,64 @@ def bronze_window(spark: SparkSession, sf: str) -> DataFrame:
     return read_bronze_window(spark, path, RUN_DATE, 3, BRONZE_NTZ)
 
 
+def conform_readings_listed(spark: SparkSession, sf: str) -> DataFrame:
+    # sensors spread over the listed stations and parameters, and one of each not listed
+    def pick(values: list, seed) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), (seed % len(values) + 1).cast("int"))
+
+    user = F.col("sensors_id")
+    readings = src.events_as_readings(spark, sf).withColumns(
+        {
+            "location_id": pick([*STATIONS, 1], user).cast("bigint"),
+            "parameter": F.upper(pick([*PARAMETERS, "other"], user)),
+        }
+    )
+    return op.conform_readings(readings).select(
+        "id_localizacao", "id_sensor", "localizacao", "parametro", "parametro_descricao", "valor"
+    )
+
+
+def _lake(spark: SparkSession) -> PipelineConfig:
+    root = scratch_path(spark, "lake")
+    return PipelineConfig(
+        run_at=RUN_AT,
+        timezone=spark.conf.get("spark.sql.session.timeZone"),
+        landing_path=f"{root}/landing",
+        bronze_path=f"{root}/bronze",
+        silver_path=f"{root}/silver",
+        gold_path=f"{root}/gold",
+        silver_days=0,
+        gold_days=0,
+        **FOREIGN,
+    )
+
+
+def _zoned(readings: DataFrame) -> DataFrame:
+    return readings.withColumn("datetime", F.col("datetime").cast("timestamp"))
+
+
+def jobs_bronze_to_gold(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = _lake(spark)
+    readings = src.with_foreign_site(src.events_as_readings(spark, sf))
+    write_landing(_zoned(readings), cfg.landing_path, cfg.run_date)
+    jobs.run_bronze_daily(spark, cfg)
+    jobs.run_silver(spark, cfg, src.nations_as_stations(spark, sf), EVENT_PARAMETERS)
+    jobs.run_gold(spark, cfg)
+    return read_table(spark, cfg.gold_path, gold_schema())
+
+
+def jobs_silver_twice(spark: SparkSession, sf: str) -> DataFrame:
+    # the second load has all readings with other values; those stored already stay as they are
+    cfg = _lake(spark)
+    bronze = _zoned(src.events_as_readings(spark, sf)).select(*BRONZE_COLUMNS)
+    early = bronze.where(F.col("data_ingestao") <= F.lit(date(2024, 1, 15)))
+    for load in (early, bronze.withColumn("value", F.col("value") + F.lit(1.0))):
+        write_bronze_day(load, cfg.bronze_path)
+        jobs.run_silver(spark, cfg, {}, {})
+    silver = read_table(spark, cfg.silver_path, SILVER)
+    return silver.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
+
+
 _QUERIES: dict[str, Query] = {
     "daily_extremes": daily_extremes,
     "daily_extremes_joined": daily_extremes_joined,
@@ -317,6 +378,9 @@ _QUERIES: dict[str, Query] = {
     "history_csv_roundtrip": history_csv_roundtrip,
     "bronze_rerun_idempotent": bronze_rerun_idempotent,
     "bronze_window": bronze_window,
+    "conform_readings_listed": conform_readings_listed,
+    "jobs_bronze_to_gold": jobs_bronze_to_gold,
+    "jobs_silver_twice": jobs_silver_twice,
 }
 
 
