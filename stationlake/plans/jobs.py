@@ -141,7 +141,8 @@ def run_silver(
     met = days_met(bronze, day_key("datetime"))
     if met is not None:
         target = target.where(met)
-    append_days(merge_insert_only(target, batch, READING_KEYS), cfg.silver_path)
+    fresh = merge_insert_only(target, batch, READING_KEYS)
+    append_days(fresh, cfg.silver_path, order=READING_KEYS)
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
@@ -154,10 +155,11 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     silver = read_silver_window(spark, cfg.silver_path, cfg.run_date, cfg.gold_days)
     batch = _set_aside(silver, GOLD_KEYS, lambda rows: gold_batch(rows, cfg), "gold", cfg)
     if cfg.gold_mode == "replace_days":
-        overwrite_days(batch, cfg.gold_path)
+        overwrite_days(batch, cfg.gold_path, order=["id_sensor"])
         return
     target = read_table(spark, cfg.gold_path, gold_schema(cfg.k))
     met = days_met(silver, F.col("anomesdia"))
     if met is not None:
         target = target.where(met)
-    append_days(merge_insert_only(target, batch, GOLD_KEYS), cfg.gold_path)
+    fresh = merge_insert_only(target, batch, GOLD_KEYS)
+    append_days(fresh, cfg.gold_path, order=["id_sensor"])

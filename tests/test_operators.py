@@ -279,6 +279,51 @@ def test_two_spellings_give_two_rows(spark, form):
     assert all(values(r) == [2.0, 1.0, None, 1.0, 2.0, None] for r in got)
 
 
+def test_extremes_and_dedupe_against_brute_force(spark):
+    # a third of all rows in one group, the rest in many small ones, values with many ties
+    n = 9000
+    df = spark.range(0, n, 1, 7).select(
+        F.lit(1).cast("bigint").alias("id_localizacao"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("id_sensor"),
+        F.lit("n").alias("localizacao"),
+        F.concat(F.lit("p"), F.col("id") % 2).alias("parametro"),
+        F.lit("d").alias("parametro_descricao"),
+        F.lit("u").alias("unidade"),
+        F.lit(20240101).alias("anomesdia"),
+        F.when(F.col("id") % 17 != 0, F.pmod(F.hash("id"), F.lit(400)) / 4).alias("valor"),
+    )
+    data = df.collect()
+    groups, labels = {}, set()
+    for r in data:
+        groups.setdefault(r.id_sensor, []).append(r.valor)
+        labels.add((r.id_sensor, r.parametro))
+    assert len(groups[0]) >= n // 3
+
+    def first(found):
+        return tuple((found + [None] * 3)[:3])
+
+    expected = Counter()
+    for sensor, parameter in labels:
+        known = sorted(v for v in groups[sensor] if v is not None)
+        nulls = [None] * (len(groups[sensor]) - len(known))
+        expected[(sensor, parameter, *first(known[::-1]), *first(nulls + known))] += 1
+    got = rows(
+        op.daily_extremes(df), "id_sensor", "parametro",
+        *[f"{side}{i}_valor" for side in ("top", "bottom") for i in (1, 2, 3)],
+    )
+    assert got == expected
+
+    lowest = {}
+    for r in data:
+        key = (r.id_sensor, r.parametro)
+        best = lowest.get(key, (1, 0.0))
+        lowest[key] = min(best, (0, 0.0) if r.valor is None else (0, r.valor + 1))
+    kept = op.dedupe_readings(df, ["id_sensor", "parametro"], ["valor"])
+    assert rows(kept, "id_sensor", "parametro", "valor") == Counter(
+        (*key, None if mark == 0.0 else mark - 1) for key, (_, mark) in lowest.items()
+    )
+
+
 PAIR = "a INT, b INT, v STRING"
 
 

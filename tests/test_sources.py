@@ -216,12 +216,15 @@ def test_a_hot_day_is_written_by_several_tasks(spark, lake):
             .cast("int")
             .alias("anomesdia"),
         )
-        append_days(df, path)
+        append_days(df, path, order=["v"])
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(glob.glob(f"{path}/anomesdia=20240130/*.parquet")) > 3
     assert len(glob.glob(f"{path}/anomesdia=20240101/*.parquet")) == 1
     assert spark.read.parquet(path).count() == 200000
+    (small,) = glob.glob(f"{path}/anomesdia=20240101/*.parquet")
+    values = [r.v for r in spark.read.parquet(small).collect()]
+    assert values == sorted(values)
 
 
 def test_merging_into_a_plain_catalog_table_is_refused(spark, view):
