@@ -364,6 +364,20 @@ def test_replace_days(spark):
     )
 
 
+def test_days_met_lists_days_or_gives_their_range(spark, monkeypatch):
+    target = spark.createDataFrame([(d,) for d in range(1, 10)], "anomesdia INT")
+    batch = spark.createDataFrame([(3,), (5,), (5,), (7,), (None,)], "d INT")
+
+    def met():
+        found = target.where(op.days_met(batch, F.col("d"))).collect()
+        return sorted(r.anomesdia for r in found)
+
+    assert met() == [3, 5, 7]
+    monkeypatch.setattr("stationlake.operators.merge.MAX_LISTED_DAYS", 2)
+    assert met() == [3, 4, 5, 6, 7]
+    assert op.days_met(batch.where("d IS NULL"), F.col("d")) is None
+
+
 @pytest.mark.parametrize("days,expected", [(3, 3), (1, 1), (0, 10), (-1, 10)])
 def test_windows_count_days_back(spark, days, expected):
     run = date(2024, 3, 2)
