@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from stationlake.schemas import gold_schema
 
 QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
@@ -36,6 +37,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_the_flagship_has_gold_rows(spark):
+    df = contract.entry(spark)
+    assert df.columns == spark.createDataFrame([], gold_schema()).columns
+    assert df.count() > 0
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(name, spark, duck, sf_dir):
     ours = QUERIES[name](spark, sf_dir)

@@ -154,6 +154,12 @@ def test_an_empty_batch_removes_nothing(spark, lake):
     assert bronze(spark, path).count() == 1
 
 
+def test_bronze_partitioned_by_day_alone_can_be_read(spark, lake):
+    df = tag_ingestion(landed(spark, reading(1)), "api", DAY)
+    df.write.partitionBy("data_ingestao").parquet(lake["bronze_path"])
+    assert bronze(spark, lake["bronze_path"], 1).collect() == df.collect()
+
+
 def test_the_daily_write_keeps_history_of_the_same_day(spark, lake):
     path = lake["bronze_path"]
     append_history(tag_ingestion(landed(spark, reading(1)), "historico_csv", DAY), path)
