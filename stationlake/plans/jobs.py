@@ -26,11 +26,12 @@ from stationlake.operators.dedupe import READING, dedupe_readings
 from stationlake.operators.extremes import daily_extremes
 from stationlake.operators.landing import flatten_payload, landed_counts
 from stationlake.operators.merge import days_met, merge_insert_only, split_valid
-from stationlake.operators.windows import rolling_interval
+from stationlake.operators.windows import event_day_window, rolling_interval
 from stationlake.schemas import GOLD_KEYS, READING_KEYS, SILVER, gold_schema
 from stationlake.sources import (
     append_days,
     append_history,
+    merge_catalog_table,
     overwrite_days,
     read_bronze_window,
     read_history_csv,
@@ -137,6 +138,9 @@ def run_silver(
     batch = _set_aside(
         bronze, READING, lambda rows: silver_batch(rows, cfg, stations, parameters), "silver", cfg
     )
+    if cfg.silver_table:
+        merge_catalog_table(batch, cfg.silver_table, READING_KEYS)
+        return
     target = read_table(spark, cfg.silver_path, SILVER)
     met = days_met(bronze, day_key("datetime"))
     if met is not None:
@@ -152,11 +156,17 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     ``replace_days`` recomputes all days of the window.
     """
     _use_zone(spark, cfg)
-    silver = read_silver_window(spark, cfg.silver_path, cfg.run_date, cfg.gold_days)
+    if cfg.silver_table:
+        silver = event_day_window(spark.table(cfg.silver_table), cfg.run_date, cfg.gold_days)
+    else:
+        silver = read_silver_window(spark, cfg.silver_path, cfg.run_date, cfg.gold_days)
     batch = _set_aside(silver, GOLD_KEYS, lambda rows: gold_batch(rows, cfg), "gold", cfg)
     if cfg.gold_mode == "replace_days":
         overwrite_days(batch, cfg.gold_path, order=["id_sensor"])
         return
+    if cfg.gold_table:
+        merge_catalog_table(batch, cfg.gold_table, GOLD_KEYS)
+        return
     target = read_table(spark, cfg.gold_path, gold_schema(cfg.k))
     met = days_met(silver, F.col("anomesdia"))
     if met is not None:

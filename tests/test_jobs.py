@@ -10,7 +10,7 @@ import pytest
 
 from stationlake import PipelineConfig
 from stationlake.plans import jobs
-from stationlake.schemas import SILVER, SILVER_COLUMNS, gold_schema
+from stationlake.schemas import GOLD_KEYS, READING_KEYS, SILVER, SILVER_COLUMNS, gold_schema
 from stationlake.sources import read_bronze_window, read_table
 
 ZONE = ZoneInfo("America/Sao_Paulo")
@@ -213,6 +213,29 @@ def test_a_registered_table_shows_both_origins(spark, lake, view):
     spark.sql(f"DROP TABLE {view}")
 
 
+def test_catalog_tables_take_the_place_of_paths(spark, lake, view, monkeypatch):
+    payload(lake, station(820321, "x", (1, HOURS)))
+    run_all(spark, config(lake))
+    spark.sql(
+        f"CREATE TABLE {view} ({SILVER}) USING parquet PARTITIONED BY (anomesdia) "
+        f"LOCATION '{lake['silver_path']}'"
+    )
+    spark.catalog.recoverPartitions(view)
+    merged = []
+    monkeypatch.setattr(
+        jobs, "merge_catalog_table", lambda df, table, keys: merged.append((df, table, keys))
+    )
+    cfg = config(lake, silver_table=view, gold_table="catalog.db.gold")
+    jobs.run_silver(spark, cfg)
+    jobs.run_gold(spark, cfg)
+    (batch, table, keys), (extremes, gold_table, gold_keys) = merged
+    assert (table, gold_table) == (view, "catalog.db.gold")
+    assert (keys, gold_keys) == (READING_KEYS, GOLD_KEYS)
+    assert batch.columns == SILVER_COLUMNS and batch.count() == 5
+    assert extremes.collect() == gold(spark, lake).collect()
+    spark.sql(f"DROP TABLE {view}")
+
+
 def test_split_windows_equal_the_whole(spark, lake, tmp_path):
     payload(lake, station(820321, "x", (1, [*HOURS, measured("2024-01-28T05:00:00-03:00", 7.0)])))
     cfg = config(lake)
@@ -232,3 +255,5 @@ def test_the_clock_is_read_once():
     assert PipelineConfig.now().run_at.tzinfo is not None
     with pytest.raises(ValueError):
         PipelineConfig.now(gold_mode="other")
+    with pytest.raises(ValueError):
+        PipelineConfig.now(gold_mode="replace_days", gold_table="t")
