@@ -19,6 +19,10 @@ Parameters = DataFrame | dict[str, str]
 API = "api"
 HISTORY = "historico_csv"
 
+# a dimension of names or descriptions up to this size is a few MB
+MAX_BROADCAST_ROWS = 100_000
+SPREAD = 32
+
 
 def tag_ingestion(df: DataFrame, kind: str, run_date: date | str | None = None) -> DataFrame:
     """Add where the rows came from and on which day; the current day if none is given."""
@@ -42,18 +46,27 @@ def filter_polluted_id(
     return df.where((F.col(id_col) != bad_id) | F.col(name_col).isin(*names))
 
 
-def _lookup(df: DataFrame, dim: DataFrame, key: str, text: str, on: Column) -> DataFrame:
-    """``df`` with the matching text of ``dim`` as ``_text``, without extra rows.
+def _entries(dim: DataFrame) -> tuple[DataFrame, bool]:
+    """A dimension as ``_key, _text`` with one row per key, and whether it may be broadcast."""
+    key, text = dim.columns
+    unique = dim.groupBy(F.col(key).alias("_key")).agg(F.min(text).alias("_text"))
+    return unique, unique.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
 
-    No broadcast hint: Spark broadcasts the dimension while its size is below the configured
-    threshold and falls back to a shuffled join, with skew handling, beyond that.
-    """
-    entries = dim.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return df.join(entries, on == F.col("_key"), "left").drop("_key")
 
+def _lookup(df: DataFrame, entries: DataFrame, small: bool, on: Column) -> DataFrame:
+    """``df`` with the matching text as ``_text``, without extra rows.
 
-def _one_per_key(dim: DataFrame, key: str, text: str) -> DataFrame:
-    return dim.groupBy(key).agg(F.min(text).alias(text))
+    A small dimension is broadcast. A larger one is joined by shuffle, with the rows of ``df``
+    spread over ``SPREAD`` copies of it, so that a station with a large part of all rows does
+    not end up in one task.
+    """
+    if small:
+        return df.join(F.broadcast(entries), on == F.col("_key"), "left").drop("_key")
+    copies = entries.withColumn("_copy", F.explode(F.array(*map(F.lit, range(SPREAD)))))
+    # the number of the task that read the row: the same if the task is run again
+    rows = df.withColumn("_task", F.spark_partition_id() % SPREAD)
+    same = (on == F.col("_key")) & (F.col("_task") == F.col("_copy"))
+    return rows.join(copies, same, "left").drop("_key", "_task", "_copy")
 
 
 def canonical_station(
@@ -63,16 +76,13 @@ def canonical_station(
     name_col: str = "location",
 ) -> DataFrame:
     """Replace the raw name by the listed one; ids that are not listed keep theirs."""
-    key, text = "station_id", "station_name"
     if isinstance(stations, dict):
-        dim = station_dim(df.sparkSession, stations)
+        dim = station_dim(df.sparkSession, stations).toDF("_key", "_text")
+        small = len(stations) <= MAX_BROADCAST_ROWS
     else:
-        dim = _one_per_key(stations, key, text)
-    return (
-        _lookup(df, dim, key, text, F.col(id_col))
-        .withColumn(name_col, F.coalesce("_text", name_col))
-        .drop("_text")
-    )
+        dim, small = _entries(stations.select("station_id", "station_name"))
+    named = _lookup(df, dim, small, F.col(id_col))
+    return named.withColumn(name_col, F.coalesce("_text", name_col)).drop("_text")
 
 
 def describe_parameter(
@@ -82,16 +92,13 @@ def describe_parameter(
     name: str = "parametro_descricao",
 ) -> DataFrame:
     """Add a description, looked up by the normalised code; unknown codes stand for themselves."""
-    key, text = "code", "description"
     if isinstance(parameters, dict):
-        dim = parameter_dim(df.sparkSession, parameters)
+        dim = parameter_dim(df.sparkSession, parameters).toDF("_key", "_text")
+        small = len(parameters) <= MAX_BROADCAST_ROWS
     else:
-        dim = _one_per_key(parameters, key, text)
-    return (
-        _lookup(df, dim, key, text, normalise_code(code_col))
-        .withColumn(name, F.coalesce("_text", code_col))
-        .drop("_text")
-    )
+        dim, small = _entries(parameters.select("code", "description"))
+    described = _lookup(df, dim, small, normalise_code(code_col))
+    return described.withColumn(name, F.coalesce("_text", code_col)).drop("_text")
 
 
 def conform_readings(

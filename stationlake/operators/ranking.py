@@ -29,7 +29,8 @@ def first_k(
     """The first ``k`` rows of every group, numbered from 1.
 
     The filter sits directly on the window, so Spark cuts each group to ``k`` rows per input
-    task before the shuffle: a group of any size sends at most ``k`` rows per task.
+    task before the shuffle: a group of any size sends at most ``k`` rows per task. (For ``k``
+    above ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000, it cuts after the shuffle.)
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)

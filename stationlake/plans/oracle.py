@@ -53,16 +53,15 @@ DIMS = (
     "id_localizacao, id_sensor, localizacao, parametro, parametro_descricao, unidade, anomesdia"
 )
 
-FOREIGN_LOCATION = """
-         CASE WHEN location_id = 7 AND (sensors_id + day(datetime)) % 3 = 1 THEN 'abroad'
-              WHEN location_id = 7 AND (sensors_id + day(datetime)) % 3 = 2 THEN NULL
-              ELSE location END AS location"""
-
 
 def _foreign(source: str) -> str:
     return f"""
 foreign_site AS (
-  SELECT * REPLACE ({FOREIGN_LOCATION.replace(" AS location", "")} AS location) FROM {source}
+  SELECT * REPLACE (
+    CASE WHEN location_id = 7 AND (sensors_id + day(datetime)) % 3 = 1 THEN 'abroad'
+         WHEN location_id = 7 AND (sensors_id + day(datetime)) % 3 = 2 THEN NULL
+         ELSE location END AS location)
+  FROM {source}
 ),
 own AS (
   SELECT * FROM foreign_site WHERE location_id <> 7 OR location IN ('L7')

@@ -110,6 +110,24 @@ def test_canonical_station(spark, as_frame):
     )
 
 
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_large_dimensions_are_joined_by_shuffle(spark, monkeypatch, as_frame):
+    stations = {i: f"S{i}" for i in range(50)}
+    df = spark.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 60).alias("location_id"),
+        F.concat(F.lit("raw"), F.col("id")).alias("location"),
+    )
+    dim = station_dim(spark, stations) if as_frame else stations
+    small = op.canonical_station(df, dim)
+    monkeypatch.setattr("stationlake.operators.conform.MAX_BROADCAST_ROWS", 10)
+    large = op.canonical_station(df, dim)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert large.columns == small.columns
+    assert rows(large) == rows(small)
+    described = op.describe_parameter(df.withColumn("parameter", F.lit("O3")))
+    assert rows(described, "parametro_descricao") == Counter({("Ozônio",): 3000})
+
+
 def test_canonical_station_with_a_repeated_id_gives_no_extra_rows(spark):
     dim = spark.createDataFrame([(1, "B"), (1, "A")], "station_id BIGINT, station_name STRING")
     df = spark.createDataFrame([(1, "raw")], "location_id BIGINT, location STRING")
