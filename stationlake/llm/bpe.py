@@ -34,7 +34,7 @@ SPACE = "\t-\r \x85\xa0  -     　"
 
 #: Entries of each of a worker's caches before they are emptied. They save time, no result
 #: depends on them.
-CACHE = 700_000
+CACHE = 400_000
 
 
 def byte_symbols() -> list[str]:
