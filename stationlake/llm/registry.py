@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import bpe
+from stationlake.llm import bpe, mixing, quality
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +29,28 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mixing.plan(docs).select(
+        "doc_id", "size", "source_size", "target", mixing.taken().alias("taken")
+    )
+
+
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf, "labels"))
+    return quality.with_scores(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "op3_bpe": op3_bpe,
+    "op7_mixing": op7_mixing,
+    "op10_quality": op10_quality,
 }
 
 
