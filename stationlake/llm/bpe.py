@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.llm.common import ship
+
 # The pattern that splits text before the merges of byte-level vocabularies.
 WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -217,6 +219,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encoded(text: Column, path: str) -> Column:
     """Token ids (array of int) of a text column; null and empty texts have none."""
+    ship()
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
@@ -231,6 +234,7 @@ def encoded(text: Column, path: str) -> Column:
 
 def decoded(ids: Column, path: str) -> Column:
     """The text of an array of token ids; null ids give an empty text, unknown ids nothing."""
+    ship()
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:

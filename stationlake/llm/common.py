@@ -2,12 +2,43 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@functools.cache
+def _archive() -> str:
+    """This package as a file that Spark can send to executors."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="stationlake-"), "stationlake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    return path
+
+
+@functools.cache
+def _shipped(application: str) -> None:
+    SparkSession.active().sparkContext.addPyFile(_archive())
+
+
+def ship() -> None:
+    """Send this package to the workers of the active session, once.
+
+    Workers import it to keep models and caches from task to task; on their own machines they
+    may not have it.
+    """
+    _shipped(SparkSession.active().sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

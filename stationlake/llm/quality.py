@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.llm.common import ship
+
 #: Bytes of the pieces that are compressed on their own.
 PIECE = 512
 #: Bytes of a dictionary at most.
@@ -154,6 +156,7 @@ def train(
 
 def score(text: Column, model: Model) -> Column:
     """The probability that a whole text is good; defined for null and empty texts too."""
+    ship()
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import bpe, mixing, quality
+from stationlake.llm import ann, bpe, maxscore, mixing, oracle, quality
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
 
 
+def op1_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     back = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
@@ -36,6 +40,10 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_maxscore(spark: SparkSession, sf: str) -> DataFrame:
+    return maxscore.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf, "labels"))
@@ -48,8 +56,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_ann": op1_ann,
     "op3_bpe": op3_bpe,
     "op7_mixing": op7_mixing,
+    "op9_maxscore": op9_maxscore,
     "op10_quality": op10_quality,
 }
 
@@ -61,4 +71,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL that gives the rows of some of the queries."""
-    return {}
+    return oracle.oracle_sql()
