@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import ann, bpe, maxscore, mixing, oracle, quality
+from stationlake.llm import ann, bpe, html, maxscore, mixing, oracle, quality
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     return mixing.plan(docs).select(
@@ -58,6 +65,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_ann": op1_ann,
     "op3_bpe": op3_bpe,
+    "op4_html": op4_html,
     "op7_mixing": op7_mixing,
     "op9_maxscore": op9_maxscore,
     "op10_quality": op10_quality,
