@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlake.llm.common import let
 from stationlake.session import materialise
 
 # White space between words, and weights by the sources' order.
@@ -87,11 +88,6 @@ def source_targets(
     )
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _ln_factorial(n: Column) -> Column:
     """ln n!, by Stirling's series for n + 8."""
     low = n + 1
@@ -102,7 +98,7 @@ def _ln_factorial(n: Column) -> Column:
         cube = z * z * z
         return (z - 0.5) * F.log(z) - z + 1 / (12 * z) - 1 / (360 * cube)
 
-    return _let(n + 8, series) + F.lit(0.5 * math.log(2 * math.pi)) - F.log(low)
+    return let(n + 8, series) + F.lit(0.5 * math.log(2 * math.pi)) - F.log(low)
 
 
 def hypergeometric(total: Column, marked: Column, drawn: Column, uniform: Column) -> Column:
@@ -149,13 +145,13 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, uniform: Column
             )
 
         begin = F.struct(
-            _let(logs, start).alias("p"), F.lit(0.0).alias("below"), low.alias("value")
+            let(logs, start).alias("p"), F.lit(0.0).alias("below"), low.alias("value")
         )
         tries = F.sequence(F.lit(0), F.greatest(high - low, F.lit(0.0)).cast("int"))
         return F.aggregate(tries, begin, step)["value"].cast("bigint")
 
     given = F.struct(n.alias("n"), k.alias("k"), m.alias("m"), uniform.alias("u"))
-    return _let(_let(_let(given, spread), ends), invert)
+    return let(let(let(given, spread), ends), invert)
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int = 0) -> DataFrame:

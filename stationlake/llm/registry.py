@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import ann, bpe, html, maxscore, mixing, oracle, quality
+from stationlake.llm import ann, bpe, html, maxscore, mixing, oracle, pii, quality
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The key of the pseudonyms; a deployment sets its own.
+PII_KEY = os.environ.get("STATIONLAKE_PII_KEY", "stationlake")
 #: The folder of the public tokenizers' files, on every machine.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
@@ -22,6 +24,11 @@ def op1_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, found="n_replaced")
+
+
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     back = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
@@ -64,6 +71,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "op1_ann": op1_ann,
+    "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_html": op4_html,
     "op7_mixing": op7_mixing,
