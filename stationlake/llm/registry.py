@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import ann, bpe, html, maxscore, mixing, oracle, pii, quality
+from stationlake.llm import ann, bpe, html, maxscore, mixing, oracle, pii, quality, suffixes
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,13 @@ def op4_html(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return suffixes.dedupe(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     return mixing.plan(docs).select(
@@ -74,6 +81,7 @@ _QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_html": op4_html,
+    "op6_suffixes": op6_suffixes,
     "op7_mixing": op7_mixing,
     "op9_maxscore": op9_maxscore,
     "op10_quality": op10_quality,
