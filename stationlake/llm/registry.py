@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import ann, bpe, html, maxscore, mixing, oracle, pii, quality, suffixes
+from stationlake.llm import ann, bagminhash, bpe, html, maxscore, mixing, oracle, pii, quality, suffixes
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op4_html(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_bagminhash(spark: SparkSession, sf: str) -> DataFrame:
+    return bagminhash.with_class(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op6_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return suffixes.dedupe(docs).select(
@@ -81,6 +85,7 @@ _QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_html": op4_html,
+    "op5_bagminhash": op5_bagminhash,
     "op6_suffixes": op6_suffixes,
     "op7_mixing": op7_mixing,
     "op9_maxscore": op9_maxscore,

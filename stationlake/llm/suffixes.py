@@ -69,7 +69,7 @@ class Hashes:
         return (self.sums[length:] - self.sums[:n]) * self.down[:n]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * MIX
     return x ^ (x >> np.uint64(32))
 
@@ -110,7 +110,7 @@ def anchors(texts: pa.Array, depth: int) -> tuple[np.ndarray, ...]:
     out = []
     for data, parts in _pieces(texts, depth):
         one, two = (Hashes(data, b) for b in BASES)
-        digits = _mixed(one.all(GRAM))
+        digits = mixed(one.all(GRAM))
         bits = np.uint64(int(len(data)).bit_length())
         places = np.arange(len(digits), dtype=np.uint64)
         packed = (digits >> bits << bits) | places  # equal digits: the first one
@@ -128,8 +128,8 @@ def anchors(texts: pa.Array, depth: int) -> tuple[np.ndarray, ...]:
                     f + low,
                     f + high,
                     digits[own[low].astype(np.int64)].view(np.int64),
-                    _mixed(one.of(s, e)).view(np.int64),
-                    _mixed(two.of(s, e)).view(np.int64),
+                    mixed(one.of(s, e)).view(np.int64),
+                    mixed(two.of(s, e)).view(np.int64),
                 )
             )
     if not out:
@@ -144,7 +144,7 @@ def strings(texts: pa.Array, ranges: list[list[tuple[int, int]]], depth: int) ->
         data = np.frombuffer((text.as_py() or "").encode("utf-8", "replace"), np.uint8)
         for low, high in own:
             part = data[low : high + depth]
-            one, two = (_mixed(Hashes(part, b).all(depth)).view(np.int64) for b in BASES)
+            one, two = (mixed(Hashes(part, b).all(depth)).view(np.int64) for b in BASES)
             out.append([np.full(len(one), row), np.arange(low, high + 1), one, two])
     return tuple(np.concatenate(c) for c in zip(*out))
 
