@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import ann, bagminhash, bpe, html, maxscore, mixing, oracle, pii, quality, suffixes
+from stationlake.llm import ann, bagminhash, bpe, counts, html, maxscore, mixing, oracle, pii, quality, suffixes
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,46 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def edits_of(text: Column, doc_id: Column) -> Column:
+    """Three edits of a text that follow from it alone, each in terms of the text so far.
+
+    A word's worth of characters at a quarter is turned round, a remark goes in at the half, and
+    a twentieth of the text at three quarters goes out.
+    """
+    n = F.coalesce(F.char_length(text), F.lit(0))
+
+    def change(start: Column, removed: Column, inserted: Column) -> Column:
+        return F.struct(
+            F.floor(start).cast("int").alias("start"),
+            F.floor(removed).cast("int").alias("removed"),
+            inserted.alias("inserted"),
+        )
+
+    turned = F.reverse(F.substring(text, F.floor(n / 4).cast("int") + 1, F.lit(12)))
+    return F.array(
+        change(n / 4, F.lit(12), turned),
+        change(n / 2, F.lit(0), F.concat(F.lit(" (see "), doc_id.cast("string"), F.lit(") "))),
+        change(n * 3 / 4, n / 20, F.lit("")),
+    )
+
+
+def op8_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    first = counts.with_counts(docs, VOCABULARY, name="n_tokens")
+    edited = counts.apply_edits(
+        first.withColumn("edits", edits_of(F.col("text"), F.col("doc_id"))),
+        VOCABULARY,
+        name="n_tokens_edited",
+    )
+    return edited.select(
+        "doc_id",
+        "n_tokens",
+        "n_tokens_edited",
+        "n_encoded",
+        F.sha2("text", 256).alias("edited_sha256"),
+    )
+
+
 def op9_maxscore(spark: SparkSession, sf: str) -> DataFrame:
     return maxscore.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -88,6 +128,7 @@ _QUERIES: dict[str, Query] = {
     "op5_bagminhash": op5_bagminhash,
     "op6_suffixes": op6_suffixes,
     "op7_mixing": op7_mixing,
+    "op8_counts": op8_counts,
     "op9_maxscore": op9_maxscore,
     "op10_quality": op10_quality,
 }
