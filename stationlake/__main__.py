@@ -32,14 +32,17 @@ def parse(argv: list[str] | None = None) -> tuple[str, PipelineConfig]:
             parser.add_argument(option, type=datetime.fromisoformat)
         elif field.name == "polluted_keep":
             parser.add_argument(option, nargs="*")
+        elif field.name == "location_ids":
+            parser.add_argument(option, nargs="*", type=int)
         elif field.name == "normalise_parameter":
             parser.add_argument(option, action="store_true", default=None)
         else:
             parser.add_argument(option, type=int if field.type == "int" else str)
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
     job = given.pop("job")
-    if "polluted_keep" in given:
-        given["polluted_keep"] = tuple(given["polluted_keep"])
+    for name in ("polluted_keep", "location_ids"):
+        if name in given:
+            given[name] = tuple(given[name])
     return job, PipelineConfig(**given) if "run_at" in given else PipelineConfig.now(**given)
 
 

@@ -30,7 +30,9 @@ class PipelineConfig:
     gold_path: str = ""
     # rows with a NULL key go here; without it they are inserted again at every run
     quarantine_path: str = ""
-    # catalog table over bronze_path, told about new partitions
+    # stations to land; all in the payload, if none is given
+    location_ids: tuple[int, ...] = ()
+    # catalog table over bronze_path: told about new partitions, and read by silver
     bronze_table: str | None = None
     # tables of a format with row-level changes; they take the place of the paths
     silver_table: str | None = None
@@ -49,8 +51,6 @@ class PipelineConfig:
     def __post_init__(self) -> None:
         if self.gold_mode not in ("insert_only", "replace_days"):
             raise ValueError(f"unknown gold_mode: {self.gold_mode}")
-        if self.gold_table and self.gold_mode == "replace_days":
-            raise ValueError("replace_days works on gold_path; delete the days of a gold_table")
 
     @classmethod
     def now(cls, timezone: str = ZONE, **kwargs) -> PipelineConfig:

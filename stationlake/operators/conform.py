@@ -19,10 +19,6 @@ Parameters = DataFrame | dict[str, str]
 API = "api"
 HISTORY = "historico_csv"
 
-# a dimension of names or descriptions up to this size is a few MB
-MAX_BROADCAST_ROWS = 100_000
-SPREAD = 32
-
 
 def tag_ingestion(df: DataFrame, kind: str, run_date: date | str | None = None) -> DataFrame:
     """Add where the rows came from and on which day; the current day if none is given."""
@@ -46,27 +42,24 @@ def filter_polluted_id(
     return df.where((F.col(id_col) != bad_id) | F.col(name_col).isin(*names))
 
 
-def _entries(dim: DataFrame) -> tuple[DataFrame, bool]:
-    """A dimension as ``_key, _text`` with one row per key, and whether it may be broadcast."""
-    key, text = dim.columns
-    unique = dim.groupBy(F.col(key).alias("_key")).agg(F.min(text).alias("_text"))
-    return unique, unique.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+def _entries(dim: DataFrame, key: Column, text: str) -> DataFrame:
+    """A dimension as ``_key, _text`` with one row per key.
+
+    It is grouped by more than the key alone, so that a join by shuffle partitions both of its
+    sides itself; adaptive execution splits the rows of a hot key only then.
+    """
+    found = dim.select(key.alias("_key"), F.col(text).alias("_text"))
+    grouped = found.groupBy("_key", F.hash("_key").alias("_hash"))
+    return grouped.agg(F.min("_text").alias("_text")).drop("_hash")
 
 
-def _lookup(df: DataFrame, entries: DataFrame, small: bool, on: Column) -> DataFrame:
+def _lookup(df: DataFrame, entries: DataFrame, on: Column) -> DataFrame:
     """``df`` with the matching text as ``_text``, without extra rows.
 
-    A small dimension is broadcast. A larger one is joined by shuffle, with the rows of ``df``
-    spread over ``SPREAD`` copies of it, so that a station with a large part of all rows does
-    not end up in one task.
+    Spark broadcasts a dimension that is small by bytes; one that is not is joined by shuffle,
+    and the readings of a station with a large part of all rows are split.
     """
-    if small:
-        return df.join(F.broadcast(entries), on == F.col("_key"), "left").drop("_key")
-    copies = entries.withColumn("_copy", F.explode(F.array(*map(F.lit, range(SPREAD)))))
-    # the number of the task that read the row: the same if the task is run again
-    rows = df.withColumn("_task", F.spark_partition_id() % SPREAD)
-    same = (on == F.col("_key")) & (F.col("_task") == F.col("_copy"))
-    return rows.join(copies, same, "left").drop("_key", "_task", "_copy")
+    return df.join(entries, on == F.col("_key"), "left").drop("_key")
 
 
 def canonical_station(
@@ -76,12 +69,11 @@ def canonical_station(
     name_col: str = "location",
 ) -> DataFrame:
     """Replace the raw name by the listed one; ids that are not listed keep theirs."""
-    if isinstance(stations, dict):
-        dim = station_dim(df.sparkSession, stations).toDF("_key", "_text")
-        small = len(stations) <= MAX_BROADCAST_ROWS
+    if isinstance(stations, dict):  # a list in code
+        entries = F.broadcast(station_dim(df.sparkSession, stations).toDF("_key", "_text"))
     else:
-        dim, small = _entries(stations.select("station_id", "station_name"))
-    named = _lookup(df, dim, small, F.col(id_col))
+        entries = _entries(stations, F.col("station_id"), "station_name")
+    named = _lookup(df, entries, F.col(id_col))
     return named.withColumn(name_col, F.coalesce("_text", name_col)).drop("_text")
 
 
@@ -91,13 +83,20 @@ def describe_parameter(
     code_col: str = "parameter",
     name: str = "parametro_descricao",
 ) -> DataFrame:
-    """Add a description, looked up by the normalised code; unknown codes stand for themselves."""
-    if isinstance(parameters, dict):
-        dim = parameter_dim(df.sparkSession, parameters).toDF("_key", "_text")
-        small = len(parameters) <= MAX_BROADCAST_ROWS
+    """Add a description by the normalised code; unknown codes stand for themselves.
+
+    Codes of the dimension are normalised too, and of several spellings the least description
+    counts.
+    """
+    if isinstance(parameters, dict):  # a list in code
+        unique: dict[str, str] = {}
+        for code, text in parameters.items():
+            code = code.strip(" ").lower()
+            unique[code] = min(text, unique.get(code, text))
+        entries = F.broadcast(parameter_dim(df.sparkSession, unique).toDF("_key", "_text"))
     else:
-        dim, small = _entries(parameters.select("code", "description"))
-    described = _lookup(df, dim, small, normalise_code(code_col))
+        entries = _entries(parameters, normalise_code("code"), "description")
+    described = _lookup(df, entries, normalise_code(code_col))
     return described.withColumn(name, F.coalesce("_text", code_col)).drop("_text")
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import any_null
 
-# more days than this are described by their range
-MAX_LISTED_DAYS = 1000
-
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The source rows to insert: those whose key the target does not hold.
@@ -51,16 +48,10 @@ def replace_days(
 
 
 def days_met(df: DataFrame, day: Column, column: str = "anomesdia") -> Column | None:
-    """A condition on the target's day column that holds for every day in ``df``.
+    """A condition on the target's day column that holds for just the days in ``df``.
 
-    Lists the days, or gives their range if there are many; None if there is no day at all.
-    Used to read only the target partitions that a batch can meet.
+    None if there is no day at all. Used to read only the target partitions that a batch can
+    meet. The list has a number per calendar day of the batch, whatever its size.
     """
-    days = df.select(day.alias("d")).where("d IS NOT NULL")
-    found = [r.d for r in days.distinct().limit(MAX_LISTED_DAYS + 1).collect()]
-    if not found:
-        return None
-    if len(found) <= MAX_LISTED_DAYS:
-        return F.col(column).isin(*sorted(found))
-    low, high = days.agg(F.min("d"), F.max("d")).first()
-    return F.col(column).between(low, high)
+    days = df.select(day.alias("d")).where("d IS NOT NULL").distinct().collect()
+    return F.col(column).isin(*sorted(r.d for r in days)) if days else None

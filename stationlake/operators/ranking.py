@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.session import materialise
-
-# largest group that one task ranks on its own
-HOT_ROWS = 20_000_000
+from stationlake.session import discard, materialise
 
 
 def desc_order(value: str) -> Column:
@@ -42,10 +39,9 @@ def rank_desc(
     value: str,
     tie: Sequence[str] = (),
     name: str = "rn_valor_desc",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """All rows with their position in the group, highest value first."""
-    return _rank(df, keys, [desc_order(value), *map(F.col, tie)], name, hot_rows)
+    """All rows with their position in the group, highest value first, then by ``tie``."""
+    return _rank(df, keys, [desc_order(value), *map(F.col, tie)], name)
 
 
 def rank_asc(
@@ -54,55 +50,48 @@ def rank_asc(
     value: str,
     tie: Sequence[str] = (),
     name: str = "rn_valor_asc",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """All rows with their position in the group, lowest value first."""
-    return _rank(df, keys, [asc_order(value), *map(F.col, tie)], name, hot_rows)
-
-
-def _rank(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, hot_rows: int
 ) -> DataFrame:
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return _rank_in_ranges(df, keys, order, name)
+    """All rows with their position in the group, lowest value first, then by ``tie``."""
+    return _rank(df, keys, [asc_order(value), *map(F.col, tie)], name)
 
 
-def _rank_in_ranges(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str
-) -> DataFrame:
-    """Rank groups that are too large for one task.
+def _rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Rank every group over as many tasks as its rows fill.
 
-    Rows are range-partitioned by group and order, so a large group covers several consecutive
-    ranges. A row's position is its position inside its range plus the rows its group has in
-    earlier ranges. The ranges are written out first: both uses must see the same split.
+    Rows are range-partitioned by group, order and a number of their own, which is written
+    before: a total order, so ranges cut through groups, values and equal rows alike. A row's
+    position is its position inside its range plus the rows its group has in earlier ranges.
+    The ranges are written too, as both uses must see the same split; that copy is read by the
+    result, and goes with the shared folder.
     """
+    row, part, before = "_row", "_range", "_before"
+    rest = [F.col(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    ordered = [*order, *rest, F.col(row)]
+    numbered = materialise(df.withColumn(row, F.monotonically_increasing_id()))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = materialise(
-        df.repartitionByRange(*map(F.col, keys), *order).withColumn(
-            "_range", F.spark_partition_id()
+        numbered.repartitionByRange(tasks, *map(F.col, keys), *ordered).withColumn(
+            part, F.spark_partition_id()
         )
     )
+    discard(numbered)
     inside = ranges.withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
+        name, F.row_number().over(Window.partitionBy(*keys, part).orderBy(*ordered))
     )
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     group = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
     # a range can continue at most one group, so this has no more rows than there are ranges
-    before = (
-        ranges.groupBy(*keys, "_range")
+    continued = (
+        ranges.groupBy(*keys, part)
         .count()
-        .withColumn("_before", F.sum("count").over(earlier))
-        .where("_before > 0")
-        .select(group.alias("_group"), F.col("_range").alias("_continued"), "_before")
+        .withColumn(before, F.sum("count").over(earlier))
+        .where(F.col(before) > 0)
+        .select(group.alias("_group"), F.col(part).alias("_continued"), before)
     )
-    same = (F.col("_range") == F.col("_continued")) & group.eqNullSafe(F.col("_group"))
-    position = F.col(name).cast("bigint") + F.coalesce("_before", F.lit(0))
+    same = (F.col(part) == F.col("_continued")) & group.eqNullSafe(F.col("_group"))
+    position = F.col(name).cast("bigint") + F.coalesce(before, F.lit(0))
     return (
-        inside.join(F.broadcast(before), same, "left")
+        inside.join(F.broadcast(continued), same, "left")
         .withColumn(name, position)
         .select(*df.columns, name)
     )

@@ -1,7 +1,9 @@
 """The jobs of the pipeline: landing, bronze, silver, gold.
 
-Each takes a session and a configuration and does its own I/O. Runs are idempotent, so a job
-that died half-way is simply run again. One writer per table is assumed.
+Each takes a session and a configuration and does its own I/O. A job that died half-way is
+simply run again. Two things are not idempotent: history appended twice is there twice, and
+without a quarantine rows with a NULL key are inserted again at every run, as no key matches
+them. One writer per table is assumed.
 """
 
 from __future__ import annotations
@@ -26,11 +28,24 @@ from stationlake.operators.dedupe import READING, dedupe_readings
 from stationlake.operators.extremes import daily_extremes
 from stationlake.operators.landing import flatten_payload, landed_counts
 from stationlake.operators.merge import days_met, merge_insert_only, split_valid
-from stationlake.operators.windows import event_day_window, rolling_interval
-from stationlake.schemas import GOLD_KEYS, READING_KEYS, SILVER, gold_schema
+from stationlake.operators.windows import (
+    event_day_window,
+    first_day,
+    ingestion_window,
+    rolling_interval,
+)
+from stationlake.schemas import (
+    BRONZE_COLUMNS,
+    GOLD_KEYS,
+    LANDING,
+    READING_KEYS,
+    SILVER,
+    gold_schema,
+)
 from stationlake.sources import (
     append_days,
     append_history,
+    has_files,
     merge_catalog_table,
     overwrite_days,
     read_bronze_window,
@@ -40,6 +55,9 @@ from stationlake.sources import (
     read_silver_window,
     read_table,
     register_partition,
+    remove_partitions,
+    replace_catalog_window,
+    replace_window,
     write_bronze_day,
     write_landing,
 )
@@ -53,15 +71,20 @@ def _use_zone(spark: SparkSession, cfg: PipelineConfig) -> None:
 def run_landing(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Flatten the payloads of the rolling interval into the day's landing directory.
 
-    Returns the number of rows landed per station. Readings without a time are landed too.
+    Only the configured stations are landed, if any are. Readings without a time are landed
+    too. Returns the number of rows per station that the day's landing has after the run.
     """
     _use_zone(spark, cfg)
-    flat = flatten_payload(read_payload(spark, cfg.payload_path)).withColumn(
-        "_at", F.col("datetime").try_cast("timestamp")
-    )
+    payload = read_payload(spark, cfg.payload_path)
+    if cfg.location_ids:
+        payload = payload.where(F.col("id").isin(*cfg.location_ids))
+    flat = flatten_payload(payload).withColumn("_at", F.col("datetime").try_cast("timestamp"))
     rows = rolling_interval(flat, cfg.local_run_at, cfg.days_back, "_at", keep_null=True)
     write_landing(rows, cfg.landing_path, cfg.run_date)
-    return landed_counts(rows)
+    day = f"{cfg.landing_path.rstrip('/')}/ingestion_date={cfg.run_date}"
+    if not has_files(spark, day):
+        return landed_counts(spark.createDataFrame([], LANDING))
+    return landed_counts(read_landing(spark, cfg.landing_path, cfg.run_date))
 
 
 def run_bronze_daily(spark: SparkSession, cfg: PipelineConfig) -> None:
@@ -118,11 +141,11 @@ def _set_aside(
     if not cfg.quarantine_path:
         return batch(rows)
     valid, rejected = split_valid(rows, keys)
-    overwrite_days(
-        batch(rejected).withColumn("run_date", F.lit(cfg.run_date)),
-        f"{cfg.quarantine_path.rstrip('/')}/{layer}",
-        "run_date",
-    )
+    aside = batch(rejected).withColumn("run_date", F.lit(cfg.run_date))
+    path = f"{cfg.quarantine_path.rstrip('/')}/{layer}"
+    # a rerun without rejected rows leaves none of the first run's
+    remove_partitions(rows.sparkSession, path, "run_date", [cfg.run_date])
+    overwrite_days(aside, path, "run_date")
     return batch(valid)
 
 
@@ -134,7 +157,11 @@ def run_silver(
 ) -> None:
     """Merge the ingestion window of bronze into silver. The first write of a reading stays."""
     _use_zone(spark, cfg)
-    bronze = read_bronze_window(spark, cfg.bronze_path, cfg.run_date, cfg.silver_days)
+    if cfg.bronze_table:
+        bronze = spark.table(cfg.bronze_table).select(*BRONZE_COLUMNS)
+        bronze = ingestion_window(bronze, cfg.run_date, cfg.silver_days)
+    else:
+        bronze = read_bronze_window(spark, cfg.bronze_path, cfg.run_date, cfg.silver_days)
     batch = _set_aside(
         bronze, READING, lambda rows: silver_batch(rows, cfg, stations, parameters), "silver", cfg
     )
@@ -153,23 +180,31 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     """Bring the extremes of the event window into gold.
 
     ``insert_only`` keeps the first version of a day, also if readings arrive later;
-    ``replace_days`` recomputes all days of the window.
+    ``replace_days`` makes gold's days of the window those of silver, and drops the others.
     """
     _use_zone(spark, cfg)
+
+    def window(rows: DataFrame) -> DataFrame:
+        return event_day_window(rows, cfg.run_date, cfg.gold_days)
+
     if cfg.silver_table:
-        silver = event_day_window(spark.table(cfg.silver_table), cfg.run_date, cfg.gold_days)
+        silver = window(spark.table(cfg.silver_table))
     else:
         silver = read_silver_window(spark, cfg.silver_path, cfg.run_date, cfg.gold_days)
     batch = _set_aside(silver, GOLD_KEYS, lambda rows: gold_batch(rows, cfg), "gold", cfg)
     if cfg.gold_mode == "replace_days":
-        overwrite_days(batch, cfg.gold_path, order=["id_sensor"])
+        if cfg.gold_table:
+            start = first_day(cfg.run_date, cfg.gold_days)
+            number = None if start is None else int(start.strftime("%Y%m%d"))
+            replace_catalog_window(batch, cfg.gold_table, number)
+        else:
+            schema = gold_schema(cfg.k)
+            replace_window(batch, cfg.gold_path, window, schema, order=["id_sensor"])
         return
     if cfg.gold_table:
         merge_catalog_table(batch, cfg.gold_table, GOLD_KEYS)
         return
-    target = read_table(spark, cfg.gold_path, gold_schema(cfg.k))
-    met = days_met(silver, F.col("anomesdia"))
-    if met is not None:
-        target = target.where(met)
+    # the batch lies in the window, so no other day of gold can hold its keys
+    target = window(read_table(spark, cfg.gold_path, gold_schema(cfg.k)))
     fresh = merge_insert_only(target, batch, GOLD_KEYS)
     append_days(fresh, cfg.gold_path, order=["id_sensor"])

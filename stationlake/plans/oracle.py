@@ -192,6 +192,30 @@ _SHIPMENT_KEYS = ("l_suppkey", "l_returnflag", "ship_month")
 _SHIPMENT_LIST = ", ".join(_SHIPMENT_KEYS)
 
 
+_FLAT = """
+WITH rows AS (
+  SELECT event_id, user_id, ts, event_type, value, 2 * user_id AS sensors_id,
+         value AS v, event_type AS code FROM events
+  UNION ALL
+  SELECT event_id, user_id, ts, event_type, value, 2 * user_id, value + 1e0, upper(event_type)
+  FROM events
+  UNION ALL
+  SELECT event_id, user_id, ts, event_type, value, 2 * user_id + 1, -value, lower(event_type)
+  FROM events WHERE event_id % 3 <> 0
+)"""
+_FLAT_COLUMNS = """event_id AS location_id, sensors_id, 'L' || CAST(event_id AS VARCHAR) AS location,
+       CASE WHEN event_id % 13 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS datetime,
+       CASE WHEN event_id % 5 <> 0 THEN user_id / 4e0 END AS lat,
+       CASE WHEN event_id % 5 <> 0 THEN -user_id / 4e0 END AS lon,
+       CASE WHEN event_id % 17 <> 0 THEN code END AS parameter,
+       CASE WHEN event_id % 17 <> 0 THEN 'u' END AS units,
+       v AS value"""
+_STATIONS = _FLAT_COLUMNS.replace("event_id AS location_id", "event_id % 50 AS location_id", 1)
+_RECENT = """event_id % 19 <> 0 AND event_id % 50 < 30
+  AND (event_id % 13 = 0 OR date_trunc('second', ts)
+       BETWEEN TIMESTAMP '2024-01-27 00:00:00' AND TIMESTAMP '2024-01-30 10:00:00')"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL text by query name."""
     gold_sides = f"""
@@ -199,7 +223,6 @@ early AS (SELECT * FROM extremes WHERE anomesdia <= 20240115),
 late AS (SELECT * FROM extremes WHERE anomesdia >= 20240114)"""
     return {
         "daily_extremes": _with(READINGS, SILVER, _extremes_joined("silver")) + _GOLD,
-        "daily_extremes_joined": _with(READINGS, SILVER, _extremes_joined("silver")) + _GOLD,
         "daily_extremes_lineitem": _with(
             _SHIPMENTS,
             _extremes_joined(
@@ -245,6 +268,47 @@ SELECT localizacao, event_id, valor,
        row_number() OVER (PARTITION BY localizacao ORDER BY valor DESC NULLS LAST, event_id)
          AS rn_valor_desc
 FROM silver""",
+        "rank_desc_hot_value": _with(READINGS, SILVER)
+        + """
+, hot AS (
+  SELECT CASE WHEN event_id % 3 <> 0 THEN id_sensor END AS id_sensor, event_id,
+         CASE WHEN event_id % 10 = 0 THEN valor ELSE 0e0 END AS valor
+  FROM silver)
+SELECT *, row_number() OVER (PARTITION BY id_sensor ORDER BY valor DESC NULLS LAST, event_id)
+         AS rn_valor_desc
+FROM hot""",
+        "describe_parameter_dim": _with(READINGS)
+        + """
+SELECT event_id, parameter,
+       CASE WHEN lower(trim(parameter)) = 'view' THEN parameter
+            ELSE 'About ' || lower(trim(parameter)) END AS parametro_descricao
+FROM readings""",
+        "silver_window": _with(READINGS, SILVER)
+        + " SELECT * EXCLUDE (event_id) FROM silver WHERE anomesdia >= 20240128",
+        "bronze_window_table": _with(READINGS)
+        + """
+SELECT location_id AS id_localizacao, sensors_id AS id_sensor, location AS localizacao,
+       datetime AS data_hora, lat AS latitude, lon AS longitude, parameter AS parametro,
+       parameter AS parametro_descricao, units AS unidade, value AS valor, tipo_ingestao,
+       CAST(strftime(datetime, '%Y%m%d') AS INTEGER) AS anomesdia, data_ingestao
+FROM readings
+WHERE (location_id <> 7 OR location IN ('L7'))
+  AND data_ingestao BETWEEN DATE '2024-01-28' AND DATE '2024-01-30'""",
+        "jobs_history": _with(READINGS)
+        + f"""
+SELECT {LANDING}, kind AS tipo_ingestao, DATE '2024-01-30' AS data_ingestao
+FROM readings, (VALUES ('api'), ('historico_csv')) kinds(kind)""",
+        "jobs_gold_replace_days": _with(
+            READINGS,
+            SILVER,
+            """
+replaced AS (
+  SELECT * REPLACE (CASE WHEN anomesdia = 20240130 THEN valor + 1e0 ELSE valor END AS valor)
+  FROM silver WHERE anomesdia <> 20240129
+)""",
+            _extremes_joined("replaced"),
+        )
+        + _GOLD,
         "daily_sensor_dims": _with(READINGS, SILVER) + f" SELECT DISTINCT {DIMS} FROM silver",
         "canonical_station": _with(READINGS)
         + """
@@ -289,7 +353,7 @@ WHERE datetime BETWEEN TIMESTAMP '2024-01-27 00:00:00' AND TIMESTAMP '2024-01-30
         + """
 SELECT id_localizacao, id_sensor, data_hora, valor, data_ingestao,
        anomesdia IS NOT NULL AND id_sensor IS NOT NULL AND data_hora IS NOT NULL AS valid
-FROM source""",
+FROM all_rows""",
         "replace_days": _with(READINGS, SILVER)
         + """
 SELECT * FROM silver WHERE anomesdia NOT BETWEEN 20240110 AND 20240112
@@ -315,25 +379,14 @@ SELECT {LANDING}, 'historico_csv' AS tipo_ingestao, DATE '2024-01-30' AS data_in
 FROM readings""",
         "landed_counts": _with(READINGS)
         + " SELECT location_id, count(*) AS n_rows FROM readings GROUP BY location_id",
-        "flatten_payload": """
-WITH rows AS (
-  SELECT event_id, user_id, ts, event_type, value, 2 * user_id AS sensors_id,
-         value AS v, event_type AS code FROM events
-  UNION ALL
-  SELECT event_id, user_id, ts, event_type, value, 2 * user_id, value + 1e0, upper(event_type)
-  FROM events
-  UNION ALL
-  SELECT event_id, user_id, ts, event_type, value, 2 * user_id + 1, -value, lower(event_type)
-  FROM events WHERE event_id % 3 <> 0
-)
-SELECT event_id AS location_id, sensors_id, 'L' || CAST(event_id AS VARCHAR) AS location,
-       CASE WHEN event_id % 13 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS datetime,
-       CASE WHEN event_id % 5 <> 0 THEN user_id / 4e0 END AS lat,
-       CASE WHEN event_id % 5 <> 0 THEN -user_id / 4e0 END AS lon,
-       CASE WHEN event_id % 17 <> 0 THEN code END AS parameter,
-       CASE WHEN event_id % 17 <> 0 THEN 'u' END AS units,
-       v AS value
-FROM rows WHERE event_id % 19 <> 0""",
+        "flatten_payload": f"{_FLAT} SELECT {_FLAT_COLUMNS} FROM rows WHERE event_id % 19 <> 0",
+        "jobs_landing_counts": f"""{_FLAT}
+SELECT location_id, count(*) AS n_rows
+FROM (SELECT {_STATIONS} FROM rows WHERE {_RECENT}) GROUP BY 1""",
+        "jobs_landing_to_bronze": f"""{_FLAT}
+SELECT * REPLACE (CAST(datetime AS TIMESTAMP) AS datetime), 'api' AS tipo_ingestao,
+       DATE '2024-01-30' AS data_ingestao
+FROM (SELECT {_STATIONS} FROM rows WHERE {_RECENT})""",
         "landing_roundtrip": _with(READINGS) + f" SELECT {LANDING} FROM readings",
         "history_csv_roundtrip": _with(READINGS)
         + f"""

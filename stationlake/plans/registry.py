@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,16 +27,20 @@ from stationlake.schemas import (
 )
 from stationlake.session import materialise, scratch_path
 from stationlake.sources import (
+    append_days,
     append_history,
     read_bronze_window,
     read_history_csv,
     read_landing,
+    read_silver_window,
     read_table,
+    register_partition,
     write_bronze_day,
     write_landing,
 )
 from stationlake.sources import stand_in as src
 from stationlake.sources.dims import PARAMETERS, STATIONS
+from stationlake.sources.writers import BRONZE_PARTITIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,10 +58,6 @@ def daily_extremes(spark: SparkSession, sf: str) -> DataFrame:
     return op.daily_extremes(src.events_as_silver(spark, sf))
 
 
-def daily_extremes_joined(spark: SparkSession, sf: str) -> DataFrame:
-    return op.daily_extremes_joined(src.events_as_silver(spark, sf))
-
-
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     return src.table(spark, sf, "lineitem").withColumn(
         "ship_month", F.year("l_shipdate") * 100 + F.month("l_shipdate")
@@ -104,9 +106,22 @@ def rank_asc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_desc_by_station(spark: SparkSession, sf: str) -> DataFrame:
-    # groups beyond the limit of one task take the range-partitioned way
     silver = src.events_as_silver(spark, sf).select("localizacao", "event_id", "valor")
-    return op.rank_desc(silver, ["localizacao"], "valor", ["event_id"], hot_rows=100)
+    return op.rank_desc(silver, ["localizacao"], "valor", ["event_id"])
+
+
+def hot_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings of which nine in ten have one value, in one group for a third of them."""
+    event = F.col("event_id")
+    return src.events_as_silver(spark, sf).select(
+        F.when(event % 3 != 0, F.col("id_sensor")).alias("id_sensor"),
+        "event_id",
+        F.when(event % 10 == 0, F.col("valor")).otherwise(F.lit(0.0)).alias("valor"),
+    )
+
+
+def rank_desc_hot_value(spark: SparkSession, sf: str) -> DataFrame:
+    return op.rank_desc(hot_values(spark, sf), ["id_sensor"], "valor", ["event_id"])
 
 
 def daily_sensor_dims(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,6 +138,17 @@ def describe_parameter(spark: SparkSession, sf: str) -> DataFrame:
     return op.describe_parameter(readings, EVENT_PARAMETERS)
 
 
+def describe_parameter_dim(spark: SparkSession, sf: str) -> DataFrame:
+    # a dimension as a table, with codes in upper case and padded
+    codes = src.table(spark, sf, "events").select("event_type").distinct()
+    dim = codes.select(
+        F.concat(F.lit(" "), F.upper("event_type")).alias("code"),
+        F.concat(F.lit("About "), F.col("event_type")).alias("description"),
+    ).where("code <> ' VIEW'")
+    readings = src.events_as_readings(spark, sf).select("event_id", "parameter")
+    return op.describe_parameter(readings, dim)
+
+
 def filter_polluted_id(spark: SparkSession, sf: str) -> DataFrame:
     readings = src.with_foreign_site(src.events_as_readings(spark, sf))
     return op.filter_polluted_id(readings, 7, ["L7"]).select(
@@ -182,15 +208,20 @@ def rolling_interval(spark: SparkSession, sf: str) -> DataFrame:
     return op.rolling_interval(src.events_as_readings(spark, sf), RUN_AT, 3)
 
 
-def _merge_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Overlapping ingestion days, repeats, NULL times, and other values in the source."""
-    silver = op.conform_readings(
+def _some_timeless(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver rows with repeats, and NULL times at some sensors."""
+    return op.conform_readings(
         src.events_with_repeats(spark, sf).withColumn(
             "datetime", F.when(F.col("sensors_id") % 23 != 0, F.col("datetime"))
         ),
         {},
         {},
     )
+
+
+def _merge_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Overlapping ingestion days, and other values in the source."""
+    silver = _some_timeless(spark, sf)
     target = silver.where(F.col("data_ingestao") <= F.lit(date(2024, 1, 15)))
     source = silver.where(F.col("data_ingestao") >= F.lit(date(2024, 1, 12)))
     return target, source.withColumn("valor", F.col("valor") + F.lit(1.0))
@@ -209,8 +240,7 @@ def merge_insert_only_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_valid(spark: SparkSession, sf: str) -> DataFrame:
-    _, source = _merge_sides(spark, sf)
-    valid, rejected = op.split_valid(source, READING_KEYS)
+    valid, rejected = op.split_valid(_some_timeless(spark, sf), READING_KEYS)
     return (
         valid.withColumn("valid", F.lit(True))
         .unionByName(rejected.withColumn("valid", F.lit(False)))
@@ -341,9 +371,100 @@ def jobs_silver_twice(spark: SparkSession, sf: str) -> DataFrame:
     return silver.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
 
 
+def silver_window(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "silver")
+    silver = src.events_as_silver(spark, sf).drop("event_id")
+    append_days(silver.withColumn("data_hora", F.col("data_hora").cast("timestamp")), path)
+    window = read_silver_window(spark, path, RUN_DATE, 3)
+    return window.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
+
+
+def bronze_window_table(spark: SparkSession, sf: str) -> DataFrame:
+    # silver reads the registered table; the folder has later days that are not registered
+    cfg = replace(_lake(spark), bronze_table=_name("bronze"), silver_days=3)
+    bronze = _zoned(src.events_as_readings(spark, sf)).select(*BRONZE_COLUMNS)
+    write_bronze_day(bronze, cfg.bronze_path)
+    _bronze_table(spark, cfg)
+    for day in (date(2024, 1, 28), date(2024, 1, 29), RUN_DATE):
+        register_partition(spark, cfg.bronze_table, day, API)
+    jobs.run_silver(spark, cfg, {}, {})
+    silver = read_table(spark, cfg.silver_path, SILVER)
+    return silver.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
+
+
+def _name(label: str) -> str:
+    return f"{label}_{uuid.uuid4().hex}"
+
+
+def _bronze_table(spark: SparkSession, cfg: PipelineConfig) -> None:
+    spark.sql(
+        f"CREATE TABLE {cfg.bronze_table} ({BRONZE}) USING parquet "
+        f"PARTITIONED BY ({', '.join(BRONZE_PARTITIONS)}) LOCATION '{cfg.bronze_path}'"
+    )
+
+
+def _landed(spark: SparkSession, sf: str) -> tuple[PipelineConfig, DataFrame]:
+    """The landing job over nested payloads of fifty stations, of which thirty are wanted."""
+    lake = _lake(spark)
+    cfg = replace(
+        lake, payload_path=scratch_path(spark, "payload"), location_ids=tuple(range(30))
+    )
+    payload = src.events_as_payload(spark, sf).withColumn("id", F.col("id") % 50)
+    payload.write.json(cfg.payload_path)
+    return cfg, jobs.run_landing(spark, cfg)
+
+
+def jobs_landing_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf)[1]
+
+
+def jobs_landing_to_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    cfg, _ = _landed(spark, sf)
+    jobs.run_bronze_daily(spark, cfg)
+    bronze = read_bronze_window(spark, cfg.bronze_path, RUN_DATE, 1)
+    return bronze.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+def jobs_history(spark: SparkSession, sf: str) -> DataFrame:
+    # history and a daily load on one day, read through the table that both registered with
+    cfg = replace(
+        _lake(spark), history_path=scratch_path(spark, "history"), bronze_table=_name("bronze")
+    )
+    readings = _zoned(src.events_as_readings(spark, sf)).select(*LANDING_COLUMNS)
+    (
+        readings.write.option("header", "true")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .csv(cfg.history_path)
+    )
+    _bronze_table(spark, cfg)
+    write_landing(readings, cfg.landing_path, cfg.run_date)
+    jobs.run_bronze_daily(spark, cfg)
+    jobs.run_bronze_history(spark, cfg)
+    bronze = spark.table(cfg.bronze_table)
+    return bronze.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+def jobs_gold_replace_days(spark: SparkSession, sf: str) -> DataFrame:
+    # all of gold, then its last three days again: one has gone from silver, one has changed
+    cfg = replace(_lake(spark), gold_mode="replace_days")
+    silver = src.events_as_silver(spark, sf).drop("event_id")
+    silver = silver.withColumn("data_hora", F.col("data_hora").cast("timestamp"))
+    append_days(silver, cfg.silver_path)
+    jobs.run_gold(spark, cfg)
+    later = F.when(F.col("anomesdia") == 20240130, F.col("valor") + F.lit(1.0))
+    changed = silver.where("anomesdia <> 20240129").withColumn(
+        "valor", F.coalesce(later, F.col("valor"))
+    )
+    again = replace(cfg, silver_path=scratch_path(spark, "silver"), gold_days=3)
+    append_days(changed, again.silver_path)
+    jobs.run_gold(spark, again)
+    return read_table(spark, cfg.gold_path, gold_schema())
+
+
 _QUERIES: dict[str, Query] = {
     "daily_extremes": daily_extremes,
-    "daily_extremes_joined": daily_extremes_joined,
     "daily_extremes_lineitem": daily_extremes_lineitem,
     "daily_extremes_lineitem_status": daily_extremes_lineitem_status,
     "daily_extremes_one_day": daily_extremes_one_day,
@@ -352,9 +473,11 @@ _QUERIES: dict[str, Query] = {
     "rank_desc": rank_desc,
     "rank_asc": rank_asc,
     "rank_desc_by_station": rank_desc_by_station,
+    "rank_desc_hot_value": rank_desc_hot_value,
     "daily_sensor_dims": daily_sensor_dims,
     "canonical_station": canonical_station,
     "describe_parameter": describe_parameter,
+    "describe_parameter_dim": describe_parameter_dim,
     "filter_polluted_id": filter_polluted_id,
     "day_key": day_key_events,
     "day_key_lineitem": day_key_lineitem,
@@ -381,6 +504,12 @@ _QUERIES: dict[str, Query] = {
     "conform_readings_listed": conform_readings_listed,
     "jobs_bronze_to_gold": jobs_bronze_to_gold,
     "jobs_silver_twice": jobs_silver_twice,
+    "silver_window": silver_window,
+    "bronze_window_table": bronze_window_table,
+    "jobs_landing_counts": jobs_landing_counts,
+    "jobs_landing_to_bronze": jobs_landing_to_bronze,
+    "jobs_history": jobs_history,
+    "jobs_gold_replace_days": jobs_gold_replace_days,
 }
 
 

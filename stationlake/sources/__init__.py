@@ -1,6 +1,7 @@
 """Readers and writers of the landing, bronze, silver and gold layers."""
 
 from stationlake.sources.readers import (
+    has_files,
     read_bronze_window,
     read_history_csv,
     read_landing,
@@ -14,6 +15,9 @@ from stationlake.sources.writers import (
     merge_catalog_table,
     overwrite_days,
     register_partition,
+    remove_partitions,
+    replace_catalog_window,
+    replace_window,
     write_bronze_day,
     write_landing,
 )
@@ -21,6 +25,7 @@ from stationlake.sources.writers import (
 __all__ = [
     "append_days",
     "append_history",
+    "has_files",
     "merge_catalog_table",
     "overwrite_days",
     "read_bronze_window",
@@ -30,6 +35,9 @@ __all__ = [
     "read_silver_window",
     "read_table",
     "register_partition",
+    "remove_partitions",
+    "replace_catalog_window",
+    "replace_window",
     "write_bronze_day",
     "write_landing",
 ]

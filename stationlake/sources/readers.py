@@ -30,8 +30,12 @@ def read_landing(
 
 
 def read_history_csv(spark: SparkSession, path: str, schema: str = LANDING) -> DataFrame:
-    """History files: header line, comma, columns in landing order."""
-    return spark.read.schema(schema).option("header", "true").option("sep", ",").csv(path)
+    """History files: header line, comma, columns in landing order.
+
+    A header with other names or another order fails, as columns are read by position.
+    """
+    options = {"header": "true", "sep": ",", "enforceSchema": "false"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_bronze_window(
@@ -45,12 +49,17 @@ def read_bronze_window(
 def read_silver_window(
     spark: SparkSession, path: str, run_date: date, days: int, schema: str = SILVER
 ) -> DataFrame:
-    """Silver rows of the last ``days`` event days; other partitions are not read."""
-    return event_day_window(read_table(spark, path, schema), run_date, days)
+    """Silver rows of the last ``days`` event days; other partitions are not read.
+
+    A silver folder that is not there fails: an input that is missing is not an empty one.
+    """
+    silver = spark.read.schema(schema).parquet(path)
+    columns = spark.createDataFrame([], schema).columns
+    return event_day_window(silver.select(*columns), run_date, days)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table in its declared column order; without rows if nothing was written there yet."""
+    """A target table in its declared column order; without rows before its first load."""
     empty = spark.createDataFrame([], schema)
     try:
         return spark.read.schema(schema).parquet(path).select(*empty.columns)
@@ -58,3 +67,10 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             return empty
         raise
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)

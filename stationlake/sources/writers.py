@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.schemas import BRONZE_COLUMNS, LANDING_COLUMNS
+from stationlake.session import discard, materialise
+from stationlake.sources.readers import read_table
 
 # the default JSON format would cut timestamps to milliseconds
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -55,14 +57,18 @@ def write_landing(
     )
 
 
+def _bronze_files(df: DataFrame) -> DataFrame:
+    return df.select(*BRONZE_COLUMNS).hint("rebalance", *map(F.col, BRONZE_PARTITIONS))
+
+
 def write_bronze_day(df: DataFrame, path: str) -> None:
     """Replace the days present in ``df``: running a day again leaves one copy of it."""
-    _replace_partitions(df.select(*BRONZE_COLUMNS), path, BRONZE_PARTITIONS)
+    _replace_partitions(_bronze_files(df), path, BRONZE_PARTITIONS)
 
 
 def append_history(df: DataFrame, path: str) -> None:
     """Add a history load. Appending the same load again adds it again."""
-    df.select(*BRONZE_COLUMNS).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
+    _bronze_files(df).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
 
 
 def register_partition(spark: SparkSession, table: str, day: date | str, kind: str) -> None:
@@ -96,7 +102,8 @@ def merge_catalog_table(
     """Insert-only merge into a catalog table whose format supports row-level changes.
 
     The day is part of the condition only so that the format can skip files without the batch's
-    days. Spark's own file tables do not support this; use ``merge_insert_only`` for them.
+    days. Spark's own file tables do not support this; use ``merge_insert_only`` for them. No
+    such format is installed here: only what is handed over has been tested, the merge has not.
     """
     target = table.split(".")[-1]
     same = " AND ".join(f"{target}.{key} = source.{key}" for key in dict.fromkeys([day, *keys]))
@@ -108,3 +115,45 @@ def overwrite_days(
 ) -> None:
     """Replace the days present in ``df``. ``df`` must not read from ``path``."""
     _replace_partitions(_by_day(df, day, order), path, [day])
+
+
+def remove_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Delete partitions of a table of files; those that are not there are passed over."""
+    context = spark.sparkContext
+    for value in values:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_window(
+    df: DataFrame,
+    path: str,
+    inside: Callable[[DataFrame], DataFrame],
+    schema: str,
+    day: str = "anomesdia",
+    order: Sequence[str] = (),
+) -> None:
+    """Make the days of a window those of ``df``; days that ``df`` lacks go.
+
+    ``inside`` keeps a table's rows of the window. New days are in place before old ones go.
+    """
+    spark = df.sparkSession
+    rows = materialise(df)
+    days = {r[0] for r in rows.select(day).distinct().collect()}
+    stored = inside(read_table(spark, path, schema)).where(F.col(day).isNotNull())
+    gone = {r[0] for r in stored.select(day).distinct().collect()} - days
+    overwrite_days(rows, path, day, order)
+    remove_partitions(spark, path, day, sorted(gone))
+    discard(rows)
+
+
+def replace_catalog_window(
+    df: DataFrame, table: str, start: int | None, day: str = "anomesdia"
+) -> None:
+    """The same for a catalog table: days from ``start`` on (all, if None) become those of ``df``.
+
+    One overwrite by condition, which a format with row-level changes does in one commit. As
+    with ``merge_catalog_table``, only what is handed over has been tested.
+    """
+    inside = F.lit(True) if start is None else F.col(day) >= start
+    df.writeTo(table).overwrite(inside)

@@ -7,10 +7,11 @@ from datetime import date, datetime
 from zoneinfo import ZoneInfo
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from stationlake import PipelineConfig
 from stationlake.plans import jobs
-from stationlake.schemas import GOLD_KEYS, READING_KEYS, SILVER, SILVER_COLUMNS, gold_schema
+from stationlake.schemas import BRONZE, GOLD_KEYS, READING_KEYS, SILVER, SILVER_COLUMNS, gold_schema
 from stationlake.sources import read_bronze_window, read_table
 
 ZONE = ZoneInfo("America/Sao_Paulo")
@@ -255,5 +256,77 @@ def test_the_clock_is_read_once():
     assert PipelineConfig.now().run_at.tzinfo is not None
     with pytest.raises(ValueError):
         PipelineConfig.now(gold_mode="other")
-    with pytest.raises(ValueError):
-        PipelineConfig.now(gold_mode="replace_days", gold_table="t")
+
+
+def test_a_missing_silver_folder_fails(spark, lake, tmp_path):
+    cfg = config({**lake, "silver_path": str(tmp_path / "mistyped")})
+    with pytest.raises(AnalysisException):
+        jobs.run_gold(spark, cfg)
+    assert not os.path.exists(lake["gold_path"])
+
+
+def test_replacement_drops_days_that_silver_lost(spark, lake, tmp_path):
+    two_days = [*HOURS, measured("2024-01-30T05:00:00-03:00", 50.0)]
+    payload(lake, station(820321, "x", (1, two_days)))
+    run_all(spark, config(lake))
+    assert {r.anomesdia for r in gold(spark, lake).collect()} == {20240129, 20240130}
+    again = {**lake, "silver_path": str(tmp_path / "silver-2")}
+    silver(spark, lake).where("anomesdia = 20240130").write.partitionBy("anomesdia").parquet(
+        again["silver_path"]
+    )
+    # a window that does not reach the lost day leaves it alone
+    jobs.run_gold(spark, config(again, gold_mode="replace_days", gold_days=1))
+    assert {r.anomesdia for r in gold(spark, lake).collect()} == {20240129, 20240130}
+    jobs.run_gold(spark, config(again, gold_mode="replace_days", gold_days=3))
+    assert {r.anomesdia for r in gold(spark, lake).collect()} == {20240130}
+
+
+def test_a_catalog_table_is_replaced_by_window(spark, lake, monkeypatch):
+    payload(lake, station(820321, "x", (1, HOURS)))
+    run_all(spark, config(lake))
+    given = []
+    monkeypatch.setattr(
+        jobs, "replace_catalog_window", lambda df, table, start: given.append((df, table, start))
+    )
+    for days in (3, 0):
+        cfg = config(lake, gold_mode="replace_days", gold_table="c.gold", gold_days=days)
+        jobs.run_gold(spark, cfg)
+    assert [(table, start) for _, table, start in given] == [("c.gold", 20240128), ("c.gold", None)]
+    assert Counter(given[0][0].collect()) == Counter(gold(spark, lake).collect())
+
+
+def test_a_rerun_without_rejected_rows_empties_its_quarantine(spark, lake):
+    aside = {"quarantine_path": lake["quarantine_path"]}
+    payload(lake, station(820321, "x", (1, [*HOURS, TIMELESS])))
+    run_all(spark, config(lake, **aside))
+    folder = f"{lake['quarantine_path']}/silver/run_date=2024-01-30"
+    assert os.path.exists(folder)
+    payload(lake, station(820321, "x", (1, HOURS)))
+    run_all(spark, config(lake, **aside))
+    assert not os.path.exists(folder)
+
+
+def test_landing_takes_the_listed_stations_and_counts_what_it_wrote(spark, lake):
+    payload(lake, station(1, "a", (1, HOURS)), station(2, "b", (2, HOURS)))
+    counts = jobs.run_landing(spark, config(lake, location_ids=(2, 3)))
+    payload(lake, station(3, "c", (3, HOURS[:1])))
+    # what the payload says after the run does not matter
+    assert {r.location_id: r.n_rows for r in counts.collect()} == {2: 5}
+    assert jobs.run_landing(spark, config(lake, 31, location_ids=(9,))).count() == 0
+
+
+def test_silver_reads_the_registered_bronze_table(spark, lake, view):
+    payload(lake, station(820321, "x", (1, HOURS)))
+    spark.sql(
+        f"CREATE TABLE {view} ({BRONZE}) USING parquet "
+        f"PARTITIONED BY (data_ingestao, tipo_ingestao) LOCATION '{lake['bronze_path']}'"
+    )
+    cfg = config(lake, bronze_table=view)
+    jobs.run_landing(spark, cfg)
+    jobs.run_bronze_daily(spark, config(lake))  # written, but not registered
+    jobs.run_silver(spark, cfg)
+    assert silver(spark, lake).count() == 0
+    jobs.run_bronze_daily(spark, cfg)
+    jobs.run_silver(spark, cfg)
+    assert silver(spark, lake).count() == 5
+    spark.sql(f"DROP TABLE {view}")

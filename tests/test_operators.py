@@ -5,9 +5,11 @@ from collections import Counter
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stationlake import operators as op
+from stationlake.operators import ranking
 from stationlake.functions import day_key
 from stationlake.schemas import BRONZE_COLUMNS, PAYLOAD, SILVER_COLUMNS
 from stationlake.sources.dims import PARAMETERS, STATIONS, station_dim
@@ -110,22 +112,15 @@ def test_canonical_station(spark, as_frame):
     )
 
 
-@pytest.mark.parametrize("as_frame", [False, True])
-def test_large_dimensions_are_joined_by_shuffle(spark, monkeypatch, as_frame):
-    stations = {i: f"S{i}" for i in range(50)}
-    df = spark.range(0, 3000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 60).alias("location_id"),
-        F.concat(F.lit("raw"), F.col("id")).alias("location"),
+def test_dimension_codes_are_normalised(spark):
+    dim = spark.createDataFrame(
+        [("PM25", "fine"), (" pm25 ", "Fine"), ("O3", "ozone")], "code STRING, description STRING"
     )
-    dim = station_dim(spark, stations) if as_frame else stations
-    small = op.canonical_station(df, dim)
-    monkeypatch.setattr("stationlake.operators.conform.MAX_BROADCAST_ROWS", 10)
-    large = op.canonical_station(df, dim)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert large.columns == small.columns
-    assert rows(large) == rows(small)
-    described = op.describe_parameter(df.withColumn("parameter", F.lit("O3")))
-    assert rows(described, "parametro_descricao") == Counter({("Ozônio",): 3000})
+    df = spark.createDataFrame([("pm25",), (" Pm25",), ("o3",), ("x",)], "parameter STRING")
+    expected = Counter([("pm25", "Fine"), (" Pm25", "Fine"), ("o3", "ozone"), ("x", "x")])
+    assert rows(op.describe_parameter(df, dim)) == expected
+    as_dict = {r.code: r.description for r in dim.collect()}
+    assert rows(op.describe_parameter(df, as_dict)) == expected
 
 
 def test_canonical_station_with_a_repeated_id_gives_no_extra_rows(spark):
@@ -224,20 +219,38 @@ def test_ranks_with_nan_and_null(spark):
     assert order(op.rank_desc(df, keys, "valor"), "rn_valor_desc") == ["nan", "2.0", "1.0", None]
 
 
-@pytest.mark.parametrize("rank,name", [(op.rank_desc, "rn_valor_desc"), (op.rank_asc, "rn_valor_asc")])
-def test_large_groups_rank_like_small_ones(spark, rank, name):
-    # one key, NULL, has a third of the rows, and a few values repeat often
+@pytest.mark.parametrize("rank,name,descending", [
+    (op.rank_desc, "rn_valor_desc", True), (op.rank_asc, "rn_valor_asc", False)
+])
+@pytest.mark.parametrize("tie", [["tie"], []])
+def test_ranks_of_hot_groups_and_values(spark, rank, name, descending, tie):
+    # one key, NULL, has a third of the rows, and nine in ten values are equal
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 != 0, F.col("id") % 40).alias("k"),
-        F.when(F.col("id") % 11 != 0, F.pmod(F.hash("id"), F.lit(50)).cast("double")).alias("v"),
+        F.when(F.col("id") % 10 == 0, F.pmod(F.hash("id"), F.lit(50)).cast("double"))
+        .otherwise(F.when(F.col("id") % 7 != 0, F.lit(5.0))).alias("v"),
         F.col("id").alias("tie"),
     )
-    plain = rank(df, ["k"], "v", ["tie"])
-    ranged = rank(df, ["k"], "v", ["tie"], hot_rows=100)
-    assert "rangepartitioning" not in plain._jdf.queryExecution().toString()
-    assert plain.dtypes == ranged.dtypes
-    assert rows(plain) == rows(ranged)
-    assert ranged.where("k IS NULL").agg(F.max(name)).first()[0] == 2000
+    value = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+    plain = df.withColumn(
+        name, F.row_number().over(Window.partitionBy("k").orderBy(value, "tie")).cast("bigint")
+    )
+    ranked = rank(df, ["k"], "v", tie)
+    assert ranked.dtypes == plain.dtypes
+    if not tie:  # which of equal values comes first is left open
+        ranked, plain = ranked.drop("tie"), plain.drop("tie")
+    assert rows(ranked) == rows(plain)
+
+
+def test_equal_rows_are_ranked_over_several_ranges(spark, monkeypatch):
+    written = []
+    real = ranking.materialise
+    monkeypatch.setattr(ranking, "materialise", lambda df: written.append(real(df)) or written[-1])
+    df = spark.range(0, 4000, 1, 4).select(F.lit(1).alias("k"), F.lit(0.0).alias("v"))
+    ranked = op.rank_desc(df, ["k"], "v")
+    sizes = [r["count"] for r in written[-1].groupBy("_range").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert sorted(r.rn_valor_desc for r in ranked.collect()) == list(range(1, 4001))
 
 
 FORMS = [op.daily_extremes, op.daily_extremes_joined]
@@ -382,18 +395,32 @@ def test_replace_days(spark):
     )
 
 
-def test_days_met_lists_days_or_gives_their_range(spark, monkeypatch):
+def test_days_met_lists_all_days(spark, tmp_path):
     target = spark.createDataFrame([(d,) for d in range(1, 10)], "anomesdia INT")
     batch = spark.createDataFrame([(3,), (5,), (5,), (7,), (None,)], "d INT")
+    met = op.days_met(batch, F.col("d"))
+    assert sorted(r.anomesdia for r in target.where(met).collect()) == [3, 5, 7]
+    assert op.days_met(batch.where("d IS NULL"), F.col("d")) is None
 
-    def met():
-        found = target.where(op.days_met(batch, F.col("d"))).collect()
-        return sorted(r.anomesdia for r in found)
 
-    assert met() == [3, 5, 7]
-    monkeypatch.setattr("stationlake.operators.merge.MAX_LISTED_DAYS", 2)
-    assert met() == [3, 4, 5, 6, 7]
-    assert op.days_met(batch.where("d IS NULL"), F.col("d")) is None
+def test_an_outlier_day_does_not_widen_what_a_merge_reads(spark, tmp_path):
+    # 1,500 days and one of 1970, against a target that has days between them
+    days = spark.range(1500).select(F.expr("CAST(20200000 + id AS INT)").alias("d"))
+    batch = days.unionByName(spark.createDataFrame([(19700101,)], "d INT"))
+    path = str(tmp_path / "target")
+    stored = spark.createDataFrame(
+        [(1, 20200003), (2, 20201499), (3, 20150101), (4, 19700101), (5, 20209999)],
+        "v INT, anomesdia INT",
+    )
+    stored.write.partitionBy("anomesdia").parquet(path)
+    read = spark.read.parquet(path).where(op.days_met(batch, F.col("d")))
+    assert {r.v for r in read.collect()} == {1, 2, 4}
+    assert len(read.inputFiles()) == 5
+    (scan,) = [
+        line for line in read._jdf.queryExecution().executedPlan().toString().splitlines()
+        if "FileScan" in line
+    ]
+    assert "PartitionFilters: [" in scan and "anomesdia" in scan.split("PartitionFilters: ")[1]
 
 
 @pytest.mark.parametrize("days,expected", [(3, 3), (1, 1), (0, 10), (-1, 10)])

@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from stationlake.plans import oracle, registry
 from stationlake.schemas import gold_schema
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 # integer widths may differ between the engines; nothing else may
 FAMILY = {
@@ -35,6 +36,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_the_flagship_has_gold_rows(spark):

@@ -239,3 +239,10 @@ def test_merging_into_a_plain_catalog_table_is_refused(spark, view):
     with pytest.raises(Exception, match="MERGE INTO TABLE"):
         merge_catalog_table(df, view, ["k"])
     spark.sql(f"DROP TABLE {view}")
+
+
+def test_a_history_header_in_another_order_fails(spark, tmp_path):
+    names = "sensors_id,location_id,location,datetime,lat,lon,parameter,units,value"
+    (tmp_path / "a.csv").write_text(f"{names}\n1,2,x,2020-05-01T01:00:00-03:00,1,2,o3,u,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_history_csv(spark, str(tmp_path)).collect()
