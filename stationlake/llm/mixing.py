@@ -261,13 +261,13 @@ def plan(
     sized = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"),
         F.col(source).alias("_source"),
-        word_count(F.col(text)).alias("size"),
+        word_count(F.col(text)).alias("_size"),
         _hash(seed, F.col(doc_id), F.col(text)).alias("_key"),
     )
     if not whole_rows:
         sized = materialise(sized)  # narrow rows; texts are rather read again
     totals = sized.groupBy(F.col("_source").alias("source")).agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows")
+        F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("_rows")
     )
     goals = materialise(
         source_targets(totals)
@@ -281,7 +281,7 @@ def plan(
     known = sized.join(goals, F.col("_source").eqNullSafe(F.col("source")), "left")
     block = F.pmod(F.col("_key"), F.col("_blocks"))
     known = known.withColumn("_block", block)
-    blocks = known.groupBy("source", "_block").agg(F.sum("size").alias("_words"))
+    blocks = known.groupBy("source", "_block").agg(F.sum("_size").alias("_words"))
     blocks = blocks.join(
         goals.select(F.col("source").alias("_s"), "_goal", "_blocks", "source_size"),
         F.col("source").eqNullSafe(F.col("_s")),
@@ -300,7 +300,7 @@ def plan(
     shards = max(1, math.ceil((goals.agg(F.sum("_goal")).first()[0] or 0) / shard_words))
     parts = split_quotas(quotas, shards, seed)
     dealt = _dealt(starts, parts, seed)
-    placed = known.select("_row", "_source", "size", "_key", "_block", "source_size", "target")
+    placed = known.select("_row", "_source", "_size", "_key", "_block", "source_size", "target")
     placed = placed.join(
         dealt.select(
             F.col("source").alias("_s"),
@@ -377,21 +377,21 @@ def _draws(placed: DataFrame, keep: list[str], seed: int, cut: bool) -> DataFram
     inside = placed.where(crossing)
     rows = Window.partitionBy("_source", "_block").orderBy("_key")
     before = F.coalesce(
-        F.sum("size").over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        F.sum("_size").over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     missing = F.col("_rest") - F.col("_words_before") - F.col("_past")
-    part = F.greatest(F.least(missing, F.col("size")), F.lit(0))
+    part = F.greatest(F.least(missing, F.col("_size")), F.lit(0))
     if not cut:
-        part = F.when(2 * part >= F.col("size"), F.col("size")).otherwise(0)
+        part = F.when(2 * part >= F.col("_size"), F.col("_size")).otherwise(0)
     last = inside.withColumn("_past", before).withColumn("_last", part).drop("_past")
     other = placed.where(~F.coalesce(crossing, F.lit(False))).withColumn(
         "_last",
-        F.when(F.col("_words_before") < F.col("_rest"), F.col("size")).otherwise(0),
+        F.when(F.col("_words_before") < F.col("_rest"), F.col("_size")).otherwise(0),
     )
     both = last.unionByName(other)
 
     def draw(i: Column) -> Column:
-        words = F.when(i < F.col("_round"), F.col("size")).otherwise(F.col("_last"))
+        words = F.when(i < F.col("_round"), F.col("_size")).otherwise(F.col("_last"))
         return F.struct(
             i.alias("round"),
             words.cast("bigint").alias("words"),
@@ -401,9 +401,11 @@ def _draws(placed: DataFrame, keep: list[str], seed: int, cut: bool) -> DataFram
 
     rounds = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_round", F.lit(0).cast("bigint")))
     draws = F.filter(F.transform(rounds, draw), lambda d: d["words"] > 0)
-    added = [c for c in ("size", "source_size", "target") if c not in keep]
-    return both.select(
-        *[F.col("_row")[c].alias(c) for c in keep], *added, draws.alias("draws")
+    found = {"size": "_size", "source_size": "source_size", "target": "target"}
+    added = [F.col(c).alias(name) for name, c in found.items() if name not in keep]
+    drawn = both.withColumn("_draws", draws)
+    return drawn.select(
+        *[F.col("_row")[c].alias(c) for c in keep], *added, F.col("_draws").alias("draws")
     )
 
 
@@ -415,10 +417,13 @@ def taken() -> Column:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the drawn rows with all columns of ``docs``, and shard and place.
 
+    Columns of these names are replaced.
+
     A document drawn twice comes twice, and none is cut: a source's last document comes whole
     if at least half of it is missing. Rows are partitioned by shard and in the order of place
     inside each, ready to be written. Options and special cases are those of ``plan``.
     """
+    docs = docs.drop("shard", "place", "draws")
     drawn = plan(docs, cut=False, whole_rows=True, **options)
     draw = F.explode("draws").alias("_draw")
     rows = drawn.select(*docs.columns, draw).select(*docs.columns, "_draw.shard", "_draw.place")

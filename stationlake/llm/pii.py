@@ -37,7 +37,7 @@ FORMS = {
     r"(?<=\.[A-Za-z]{2,24})",
     "access": START + r"(?:AKIA|ASIA)[0-9A-Z]{16}" + END,
     "secret": START + r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:]"
-    r"[ \t]{0,3}[\"']?[^\s\"']{6,}+",
+    r"[ \t]{0,3}[\"']?[^\s\"'(),;]{6,}+",
     "ip": r"(?<![0-9A-Za-z.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?![0-9A-Za-z]|\.[0-9])",
     "iso": START + r"[0-9]{4}([-/])[0-9]{2}\2[0-9]{2}" + END,
     "dotted": START + r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}" + END,
@@ -47,7 +47,8 @@ FORMS = {
     r"|\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}"
     r"|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?!\.[0-9])" + END,
     "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])",
-    "iban": START + r"[A-Z]{2}[0-9]{2}(?:[ ]?[0-9A-Z]){11,30}" + END,
+    "iban": START + r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: (?![A-Z]{2}[0-9]{2} )[0-9A-Z]{4}){2,7}"
+    r"(?: [0-9A-Z]{1,3})?)" + END,
 }
 # a row without any of these has none of the forms
 HINT = r"[0-9@=]|AKIA|ASIA|(?i:password|passwd|pwd|token|secret|key)[ \t]{0,3}:"

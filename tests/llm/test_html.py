@@ -1,0 +1,104 @@
+"""Extraction: labelled pages it was not trained on, exact marginals, markup errors."""
+
+import itertools
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stationlake.llm import html
+from stationlake.llm.common import table
+from stationlake.llm.labelled_pages import pages
+from stationlake.llm.registry import op4_html
+
+
+@pytest.fixture(scope="module")
+def own():
+    return html.Extractor(html.default_model())
+
+
+def marked(page):
+    """The marked text of a labelled page, and the page without marks."""
+    tree, state, out, last = html.parse(page), [], [], -1
+    for i, (p, mark) in enumerate(zip(tree.parent, tree.mark)):
+        state.append(mark == "m" if mark else state[p] if p >= 0 else False)
+        if tree.kind[i] == html.TEXT and state[i]:
+            out += [" "] * (tree.breaks[i] != last) + [tree.text[i]]
+            last = tree.breaks[i]
+    return " ".join("".join(out).split()), re.sub(r" [mx](?=>)", "", page)
+
+
+def test_unseen_labelled_pages(own):
+    hits = [own.text(page) == text for text, page in map(marked, pages(300, seed=99))]
+    assert sum(hits) / len(hits) >= 0.94
+
+
+def test_given_pages(spark, sf_dir, own):
+    # in the given pages the article element is the main text
+    import html as entities
+
+    rows = op4_html(spark, sf_dir).join(table(spark, sf_dir, "pages"), ["page_id", "url"]).collect()
+    assert len(rows) == table(spark, sf_dir, "pages").count()
+    for r in rows:
+        body = r.html[r.html.index("<article>") : r.html.rindex("</article>")]
+        body = re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br|article)\b[^>]*>", " ", body))
+        assert r.text == " ".join(entities.unescape(body).split())
+        assert r.n_chars == len(r.text)
+
+
+def test_marginals_are_exact():
+    tree = html.parse("<div><p>a<b>c</b></p><p>d</p></div>")
+    n = len(tree.parent)
+    odds = [0.3, -1.0, 0.5, 2.0, -0.7, 0.1, 0.9, -0.4][:n]
+    edges = ((0.5, -1.0, -0.2, 0.8), (0.1, 0.4, -0.6, 0.3), (0.7, -0.5, 0.2, 0.9))
+    on, total = [0.0] * n, 0.0
+    for states in itertools.product((0, 1), repeat=n):
+        score = sum(o * s for o, s in zip(odds, states))
+        score += sum(
+            edges[tree.kind[i]][2 * states[tree.parent[i]] + states[i]] for i in range(1, n)
+        )
+        total += math.exp(score)
+        for i, s in enumerate(states):
+            on[i] += s * math.exp(score)
+    belief, _ = html.marginals(tree, odds, edges)
+    for b, p in zip(belief, on):
+        assert 1 / (1 + math.exp(-b)) == pytest.approx(p / total)
+
+
+SENTENCE = "The council met on Tuesday to discuss the new bridge over the river."
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<article><p>{0}</p><p>b&amp;c &eacute;&#233; &copy;</p></article>", "{0} b&c éé ©"),
+    ("<article><p>{0}<p>x<b>y</b>z<br>w</article>", "{0} xyz w"),
+    ("<article><script>var t='</p>';</script><p>{0}</p><style>p{{}}</style></article>", "{0}"),
+    ("<article><!-- <p>no</p> --><p>{0}\n\t two\xa0 three </p></article>", "{0} two three"),
+    ("<nav><a href='/'>Home</a></nav><article><p>{0}", "{0}"),
+    ("<article><p>{0}</p></article><div class='comments'><p>{0}</p></div>", "{0}"),
+    ("<article><p>{0}</p><textarea>{0}</textarea><button>Go</button></article>", "{0}"),
+    ("<article><p title='a > b'>{0}</p></article>", "{0}"),
+    ("<ARTICLE><P CLASS=x>{0}</P></ARTICLE><FOOTER>{0}</FOOTER>", "{0}"),
+    ("", ""), ("<", ""), ("<article", ""), ("</p></div>", ""), ("<!-- open", ""), ("<script>{0}", ""),
+])
+def test_markup(own, page, text):
+    assert own.text(page.format(SENTENCE)) == text.format(SENTENCE)
+
+
+def test_deep_wide_and_broken_pages(own):
+    deep = "<div>" * 20_000 + "<p>" + SENTENCE
+    assert isinstance(own.text(deep), str)
+    wide = "<article>" + f"<p>{SENTENCE}</p>" * 5_000 + "</article>"
+    assert own.text(wide) == " ".join([SENTENCE] * 5_000)
+    assert isinstance(own.text("<a href='" * 5_000), str)
+    assert isinstance(own.text("<p \"" * 5_000), str)
+
+
+def test_odd_rows(spark):
+    page = f"<article><p>{SENTENCE}</p></article>"
+    rows = [(1, "u", page, "t"), (2, None, None, "t"), (3, "u", "", None), (1, "u", page, "t")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html.extract(df.withColumn("n_chars", F.lit("mine"))).collect()
+    assert [r.text for r in got] == [SENTENCE, "", "", SENTENCE]
+    assert {r.n_chars for r in got} == {"mine"}
+    assert html.extract(df.where("page_id > 9")).count() == 0

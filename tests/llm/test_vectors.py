@@ -1,0 +1,110 @@
+"""Vector searches against brute force."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stationlake.llm import ann, maxscore
+from stationlake.llm import vectors as vec
+from stationlake.llm.registry import op1_ann, op9_maxscore
+
+SCHEMA = "vec_id long, embedding array<float>, rank string, score string"
+NAN, INF = float("nan"), float("inf")
+
+
+def rows_of(df):
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in df.collect())
+
+
+def brute(rows, is_query, k, number, skip_zero):
+    out = []
+    for q, x in rows:
+        if q is None or not is_query(q):
+            continue
+        found = sorted(
+            (-sum(number(a) * number(b) for a, b in zip(x, y)), v) for v, y in rows
+            if v is not None and v != q
+        )
+        out += [(q, i + 1, v, -s) for i, (s, v) in enumerate(found[:k])]
+    return sorted(out)
+
+
+def table(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    order = np.argsort(ids)
+    return ids[order], np.array([r.embedding for r in rows], float)[order]
+
+
+def test_neighbours_reach_their_recall(spark, sf_dir):
+    for sf in (sf_dir, sf_dir.replace("sf0.01", "sf0.1")):
+        ids, x = table(spark, sf)
+        got = {}
+        for r in op1_ann(spark, sf).collect():
+            got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+        asked = np.flatnonzero(ids % 20 == 0)
+        hits = 0
+        for i in asked:
+            scores = x @ x[i]
+            scores[i] = -np.inf
+            best = set(ids[np.lexsort((ids, -scores))[:20]])
+            found = got[ids[i]]
+            assert sorted(found) == list(range(1, 21))
+            hits += len(best & {v for v, _ in found.values()})
+            for v, s in found.values():
+                assert abs(scores[np.searchsorted(ids, v)] - s) < 1e-12
+        assert set(got) == set(ids[asked])
+        assert hits / (20 * len(asked)) >= 0.95
+
+
+def test_integer_scores_are_exact(spark, sf_dir):
+    ids, x = table(spark, sf_dir)
+    w = np.floor(256 * x).astype(np.int64)
+    should = []
+    for i in np.flatnonzero(ids % 50 == 0):
+        scores = w @ w[i]
+        order = [j for j in np.lexsort((ids, -scores)) if j != i][:5]
+        should += [(ids[i], n + 1, ids[j], scores[j]) for n, j in enumerate(order)]
+    assert rows_of(op9_maxscore(spark, sf_dir)) == sorted(should)
+
+
+@pytest.mark.parametrize("shard,block", [(65_536, 4_096), (3, 2)])
+def test_small_shards_and_blocks(spark, monkeypatch, shard, block):
+    monkeypatch.setattr(vec, "SHARD_ROWS", shard)
+    monkeypatch.setattr(vec, "QUERY_ROWS", shard)
+    monkeypatch.setattr(vec, "SMALLEST_SHARD", shard)
+    pick = np.random.default_rng(1)
+    rows = [(i, [float(v) for v in pick.integers(-3, 4, 4)]) for i in range(60)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    asks = F.col("vec_id") % 7 == 0
+    should = brute(rows, lambda q: q % 7 == 0, 5, lambda v: int(np.floor(256 * v)), False)
+    assert rows_of(maxscore.search(df, asks)) == should
+    near = brute([r for r in rows if any(r[1])], lambda q: q % 7 == 0, 20, float, True)
+    assert rows_of(ann.search(df, asks)) == near
+
+
+ODD = [
+    (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [NAN, 1.0]), (4, [INF, 1.0]), (5, [None, 1.0]),
+    (6, [0.0, 0.0]), (7, []), (8, [0.5, 0.5]), (None, [1.0, 1.0]), (9, [-1.0, -1.0]), (10, [2.0]),
+]
+
+
+def test_odd_vectors(spark):
+    df = spark.createDataFrame([(*r, "x", "y") for r in ODD], SCHEMA)
+    fine = [r for r in ODD if r[0] not in (None, 2, 3, 4, 5)]
+    asks = F.col("vec_id") % 2 == 0
+    got = rows_of(maxscore.search(df, asks, k=20))
+    assert got == brute(fine, lambda q: q % 2 == 0, 20, lambda v: int(np.floor(256 * v)), False)
+    nonzero = [r for r in fine if any(r[1])]
+    assert rows_of(ann.search(df, asks)) == brute(nonzero, lambda q: q % 2 == 0, 20, float, True)
+    for search in (ann.search, maxscore.search):
+        assert search(df.where("vec_id > 99"), asks).count() == 0
+        assert search(df, F.lit(None).cast("boolean")).count() == 0
+
+
+def test_repeated_vectors_tie_by_id(spark):
+    rows = [(i, [0.5, -0.5, 0.25]) for i in range(300)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    for search, k in ((ann.search, 20), (maxscore.search, 5)):
+        got = [(r[0], r[2]) for r in rows_of(search(df, F.col("vec_id") == 100, k=k))]
+        assert got == [(100, i) for i in range(k)]
