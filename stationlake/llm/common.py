@@ -7,8 +7,9 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,12 @@ def ship() -> None:
     _shipped(SparkSession.active().sparkContext.applicationId)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that a worker holds the arrays of a few rows only."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -11,8 +11,9 @@ passes are laid out such that almost all drop out before they are rows:
    ``depth`` / 2 strings. Anchors whose digit occurs once drop out with all their strings.
 2. The second digit is the whole block of an anchor's strings. Blocks that occur twice are
    repeated as a whole: that settles copies and the inside of shared passages, one row a block.
-3. Only the other blocks, at the ends of passages, are taken apart into their strings, and these
-   are grouped by their full depth.
+3. Only the other blocks, at the ends of passages, are taken apart: into parts of ``PART`` strings
+   with the same distance from their anchor, whose digit is what all strings of a part have in
+   common; and what is left of these into single strings, grouped by their full depth.
 
 Digits are compared by 128-bit hashes. Groups are only ever counted, map-side first, and joined
 back, so no group meets in one task, however often a passage occurs.
@@ -21,17 +22,17 @@ back, so no group meets in one task, however often a passage occurs.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship
-from stationlake.session import materialise
+from stationlake.llm.common import ship, slices
+from stationlake.session import discard, materialise
 
-GRAM = 100
+GRAM, PART = 100, 16
 #: Bytes that are hashed at a time, so that the arrays stay in a core's cache.
 PIECE = 1 << 18
 #: Odd multipliers of the hashes, and one that mixes.
@@ -106,8 +107,8 @@ def _pieces(texts: pa.Array, depth: int) -> Iterator[tuple[np.ndarray, list[tupl
 
 
 def anchors(texts: pa.Array, depth: int) -> tuple[np.ndarray, ...]:
-    """Rows (text, first string, last string, digit, block, block) of all anchors."""
-    out = []
+    """Rows (text, first string, further strings, anchor, digit, block) of all anchors."""
+    out = [[np.zeros(0, np.int64)] * 6]
     for data, parts in _pieces(texts, depth):
         one, two = (Hashes(data, b) for b in BASES)
         digits = mixed(one.all(GRAM))
@@ -118,34 +119,44 @@ def anchors(texts: pa.Array, depth: int) -> tuple[np.ndarray, ...]:
         row, first, strings = (np.array(v, np.int64) for v in zip(*parts))
         begin = np.cumsum(strings + depth - 1) - (strings + depth - 1)
         for r, f, n, b in zip(row, first, strings, begin):
-            own = least[b : b + n]
+            own = least[b : b + n].astype(np.int64)
             cut = np.flatnonzero(own[1:] != own[:-1]) + 1
             low, high = np.r_[0, cut], np.r_[cut, n] - 1
-            s, e = b + low, b + high + depth
-            out.append(
-                (
-                    np.full(len(low), r),
-                    f + low,
-                    f + high,
-                    digits[own[low].astype(np.int64)].view(np.int64),
-                    mixed(one.of(s, e)).view(np.int64),
-                    mixed(two.of(s, e)).view(np.int64),
-                )
-            )
-    if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+            at = own[low]
+            block = _pair(one, two, b + low, b + high + depth)
+            of = np.full(len(low), r)
+            out.append([of, f + low, high - low, f + at - b, digits[at].view(np.int64), block])
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def strings(texts: pa.Array, ranges: list[list[tuple[int, int]]], depth: int) -> tuple:
-    """Rows (text, first byte, hash, hash) of the strings that start in given ranges."""
-    out = [[np.zeros(0, np.int64)] * 4]
-    for row, (text, own) in enumerate(zip(texts, ranges)):
+def _pair(one: Hashes, two: Hashes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mixed(one.of(start, end) ^ mixed(two.of(start, end))).view(np.int64)
+
+
+def split(texts: pa.Array, rows: list[list[dict]], depth: int, part: int) -> tuple:
+    """Rows as those of ``anchors``, each taken apart into parts of ``part`` strings.
+
+    Parts are told apart by the distance of their strings from the anchor. The digit is what all
+    strings of a whole part share (even if only some of them are in the row), the block all
+    bytes of the row's strings.
+    """
+    out = [[np.zeros(0, np.int64)] * 6]
+    for row, (text, own) in enumerate(zip(texts, rows)):
         data = np.frombuffer((text.as_py() or "").encode("utf-8", "replace"), np.uint8)
-        for low, high in own:
-            part = data[low : high + depth]
-            one, two = (mixed(Hashes(part, b).all(depth)).view(np.int64) for b in BASES)
-            out.append([np.full(len(one), row), np.arange(low, high + 1), one, two])
+        for r in own:
+            base = max(r["low"] - part, 0)
+            near = data[base : r["low"] + r["more"] + depth + part]
+            one, two = (Hashes(near, b) for b in BASES)
+            strings = np.arange(r["low"], r["low"] + r["more"] + 1)
+            group = (r["at"] - strings) // part
+            cut = np.flatnonzero(group[1:] != group[:-1]) + 1
+            low, high = strings[np.r_[0, cut]], strings[np.r_[cut, len(strings)] - 1]
+            # the part's strings begin from at - (group + 1) * part + 1 to at - group * part
+            last = r["at"] - group[np.r_[0, cut]] * part - base
+            digit = _pair(one, two, last, last - part + 1 + depth)
+            block = _pair(one, two, low - base, high - base + depth)
+            of = np.full(len(low), row)
+            out.append([of, low, high - low, np.full(len(low), r["at"]), digit, block])
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -158,77 +169,86 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _map(rows: DataFrame, work, schema: str) -> DataFrame:
+ROW = "id bigint, h bigint, low bigint, more int, at bigint, digit bigint, block bigint"
+
+
+def _map(rows: DataFrame, work: Callable[[pa.RecordBatch], tuple]) -> DataFrame:
     """``work`` turns a batch into columns, the first of which says from which row each came."""
     ship()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, *columns = work(batch)
+        for batch in (part for whole in batches for part in slices(whole)):
+            row, low, more, *columns = work(batch)
             keys = [batch.column(c).take(pa.array(row)) for c in ("id", "h")]
-            names = [f.split()[0] for f in schema.split(",")]
-            yield pa.RecordBatch.from_arrays([*keys, *map(pa.array, columns)], names)
-
-    return rows.mapInArrow(run, schema)
+            own = [*keys, pa.array(low), pa.array(more.astype(np.int32)), *map(pa.array, columns)]
+            yield pa.RecordBatch.from_arrays(own, [f.split()[0] for f in ROW.split(", ")])
 
+    return rows.mapInArrow(run, ROW)
 
-def _twice(rows: DataFrame, *keys: str) -> DataFrame:
-    """The keys that occur more than once."""
-    return rows.groupBy(*keys).count().where("count > 1").drop("count")
 
+def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a digit pass settles, and one row of each block that the next pass has to split.
 
-def spans(
-    docs: DataFrame, depth: int = 200, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Runs of repeated strings: rows (id, h, low, high) of first bytes of strings.
-
-    ``id`` and ``h`` are the key of ``_keyed``. Runs of a document may touch each other.
+    Blocks that occur twice are repeated. Others can only share strings with blocks of the same
+    digit, so they go on if there is another such block, and one of each of these with them.
     """
-    if depth <= GRAM:
-        raise ValueError(f"depth must be more than {GRAM} bytes")
-    rows = _keyed(docs, doc_id, text).where(F.octet_length("t") >= depth)
-
-    def first_digits(batch: pa.RecordBatch) -> tuple:
-        row, low, high, digit, one, two = anchors(batch.column("t"), depth)
-        return row, low, (high - low).astype(np.int32), digit, one ^ (two << 1)
-
-    found = _map(rows, first_digits, "id bigint, h bigint, low bigint, more int, digit bigint, block bigint")
-    # first digit: only anchors that share it go on
-    shared = _twice(found.select("digit"), "digit")
-    kept = materialise(found.join(shared, "digit"))
-    # second digit: the block of all strings of an anchor, by one of the rows that have it
-    place = F.struct("id", "h", "low", "more")
-    blocks = kept.groupBy("digit", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("first")
+    place = F.struct("id", "h", "low", "more", "at")
+    blocks = materialise(
+        rows.groupBy("digit", "block").agg(
+            F.count(F.lit(1)).alias("n"), F.min(place).alias("first")
+        )
     )
-    blocks = materialise(blocks)
     twice = blocks.where("n > 1").select("digit", "block")
-    whole = kept.join(twice, ["digit", "block"]).select(
+    whole = rows.join(twice, ["digit", "block"]).select(
         "id", "h", "low", (F.col("low") + F.col("more")).alias("high")
     )
-    # full depth: the strings of the blocks that occur once, against one of each of the others
-    open_digits = blocks.where("n = 1").select("digit").distinct()
-    parts = (
-        blocks.join(open_digits, "digit", "left_semi")
-        .select("first.*")
-        .groupBy("id", "h")
-        .agg(F.collect_list(F.struct("low", "more")).alias("ranges"))
+    whole = materialise(whole)
+    unsettled = blocks.groupBy("digit").agg(F.sum("n").alias("all"), F.min("n").alias("least"))
+    unsettled = unsettled.where("all > 1 AND least = 1").select("digit")
+    left = materialise(blocks.join(unsettled, "digit", "left_semi").select("first.*"))
+    discard(rows, blocks)
+    return whole, left
+
+
+def _with_rows(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """Texts with the rows that the next pass has to split."""
+    lists = left.groupBy(F.col("id").alias("i"), F.col("h").alias("k")).agg(
+        F.collect_list(F.struct("low", "more", "at")).alias("rows")
     )
-    texts = rows.join(
-        parts.select(F.col("id").alias("i"), F.col("h").alias("k"), "ranges"),
-        F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k")),
-    ).drop("i", "k")
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k"))
+    return texts.join(lists, same).drop("i", "k")
 
-    def last_digits(batch: pa.RecordBatch) -> tuple:
-        ranges = [[(r["low"], r["low"] + r["more"]) for r in x.as_py()] for x in batch.column("ranges")]
-        row, at, one, two = strings(batch.column("t"), ranges, depth)
-        return row, at, one, two
 
-    ends = _map(texts, last_digits, "id bigint, h bigint, low bigint, one bigint, two bigint")
-    ends = materialise(ends)
-    both = ends.join(_twice(ends, "one", "two"), ["one", "two"])
-    single = both.select("id", "h", "low", F.col("low").alias("high"))
-    return whole.unionByName(single).distinct()
+def spans(
+    docs: DataFrame, depth: int = 200, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Runs of repeated strings: rows (id, h, low, high) of first bytes of strings.
+
+    ``id`` and ``h`` are the key of ``_keyed``. Runs of a document may touch or overlap.
+    """
+    if depth < GRAM + PART:
+        raise ValueError(f"depth must be at least {GRAM + PART} bytes")
+    texts = _keyed(docs, doc_id, text).where(F.octet_length("t") >= depth)
+    found = _map(texts, lambda batch: anchors(batch.column("t"), depth))
+    digits = found.groupBy("digit").count().where("count > 1").select("digit")
+    rows = materialise(found.join(digits, "digit").select(found.columns))
+    whole, left = _settle(rows)
+    # texts that still matter; copies of a row are read once
+    own = left.select("id", "h").distinct().select(F.col("id").alias("i"), F.col("h").alias("k"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k"))
+    texts = texts.join(own, same, "left_semi").dropDuplicates(["id", "h"])
+    texts = materialise(texts)
+    for part in (PART, 1):
+        rows = _map(
+            _with_rows(texts, left),
+            lambda batch, part=part: split(
+                batch.column("t"), batch.column("rows").to_pylist(), depth, part
+            ),
+        )
+        more, left = _settle(materialise(rows))
+        whole = whole.unionByName(more)
+    discard(texts)
+    return whole
 
 
 def _covered(text: Column, runs: Column, depth: int) -> Column:
@@ -273,7 +293,7 @@ def dedupe(
     runs = (
         spans(docs, depth, doc_id, text)
         .groupBy(F.col("id").alias("_id"), F.col("h").alias("_h"))
-        .agg(F.collect_list(F.struct("low", "high")).alias("_runs"))
+        .agg(F.collect_set(F.struct("low", "high")).alias("_runs"))
     )
     names = ["n_bytes", "n_removed", "n_spans", "kept"]
     rows = docs.drop(*names).withColumn("_k", F.xxhash64(F.lit("suffix"), F.col(text)))
