@@ -15,12 +15,14 @@ later than what all slots have already.
 
 *Candidates.* Texts with the same words are one node. Nodes that agree in all slots of a band
 share a bucket. In each bucket a centre is compared with all others: the member that shares most
-buckets with others, which is the original of a family of copies. All links found so far give
+buckets with others, which is the original of a family of copies. The links found give
 components; buckets within one component are settled. In the others all members outside the
-largest component become centres in turn, a few per round, and meet all members of other
-components, until no bucket is left. So each two nodes of a bucket end up in one component, or
-have been compared, and no step has more than ``CENTRES`` pairs per member of a bucket.
-Two similar texts miss each other with a chance of (1 - 0.8^ROWS)^BANDS = 0.00003 at most.
+largest component meet all members of other components, in blocks: a task compares the signatures
+of two blocks and hands on only pairs that agree in ``LIKELY`` of the slots; first, for each such
+member, the ``NEAREST`` of a block, which joins most of them to their family, and then, for those
+that are still apart, all. So each two nodes of a bucket end up in one component or have been
+compared, and no step has a row per pair. Two similar texts miss each other with a chance of
+(1 - 0.8^ROWS)^BANDS = 0.00003 at most, and fall below ``LIKELY`` with one of 10^-6.
 
 *Verification* counts the shingles of both texts.
 """
@@ -31,17 +33,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship
+from stationlake.llm.common import ship, slices
 from stationlake.llm.suffixes import BASES, Hashes, mixed
-from stationlake.session import materialise
+from stationlake.session import discard, materialise
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
-#: Members of a bucket that become centres in one round.
-CENTRES = 16
+#: Share of the slots in which similar texts agree almost surely.
+LIKELY = 0.62
+#: Members of a block that a member outside a family is compared with first.
+NEAREST = 8
+#: Members of a block.
+BLOCK = 2_048
 #: Bytes of text that are hashed at a time.
 PIECE = 1 << 19
 #: Multipliers for the words of a shingle.
@@ -114,8 +120,8 @@ def signatures(bags: Bags, texts: int, slots: int) -> np.ndarray:
         times = time[:, None] + np.cumsum(gaps, axis=1)
         more = mixed(draw ^ STEPS[4])
         slot = ((more >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
-        on = low[:, None] + ((more & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 * rate[:, None]).astype(np.int64)
-        seen = on < most[:, None]
+        part = (more & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32
+        seen = low[:, None] + (part * rate[:, None]).astype(np.int64) < most[:, None]
         np.minimum.at(flat, (text[:, None] * slots + slot)[seen], times[seen])
         time = times[:, -1]
         latest = out.max(axis=1)
@@ -162,39 +168,49 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (id, h, node, buckets): texts with the same words have the same node.
+    """Rows (id, h, node, n, signature): texts with the same words have the same node.
 
-    A text without words has neither node nor buckets.
+    ``n`` is the number of shingles; a signature has 16 bits of each slot. A text without words
+    has neither node nor signature.
     """
     ship()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, buckets = [], []
+        for batch in (part for whole in batches for part in slices(whole)):
+            nodes, sizes, found = [], [], []
             for (texts,) in _groups(_bytes(batch.column("t"))):
                 bags = Bags(texts)
                 times = signatures(bags, len(texts), BANDS * ROWS).view(np.uint64)
-                bands = times.reshape(len(texts), BANDS, ROWS)
-                key = mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * STEPS[2])[None, :]
-                for r in range(ROWS):
-                    key = mixed(key * STEPS[1] + bands[:, :, r])
+                short = (mixed(times) >> np.uint64(48)).astype(np.uint16)
                 has = (bags.words > 0).tolist()
-                names = [row.tobytes() for row in bags.content]
-                nodes += [n if w else None for n, w in zip(names, has)]
-                buckets += [k if w else None for k, w in zip(key.view(np.int64).tolist(), has)]
+                total = np.bincount(bags.text, bags.count, minlength=len(texts))
+                sizes += total.astype(np.int64).tolist()
+                nodes += [r.tobytes() if w else None for r, w in zip(bags.content, has)]
+                found += [r.tobytes() if w else None for r, w in zip(short, has)]
             columns = [
                 batch.column("id"),
                 batch.column("h"),
                 pa.array(nodes, pa.binary()),
-                pa.array(buckets, pa.list_(pa.int64())),
+                pa.array(sizes, pa.int64()),
+                pa.array(found, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "h", "node", "buckets"])
+            names = ["id", "h", "node", "n", "signature"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return _keyed(docs, doc_id, text).mapInArrow(
-        work, "id bigint, h bigint, node binary, buckets array<bigint>"
+        work, "id bigint, h bigint, node binary, n bigint, signature binary"
     )
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """Rows (bucket, node, n): a node's buckets, one per band."""
+    width = 2 * ROWS
+    bands = [
+        F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(BANDS)
+    ]
+    return members.select(F.explode(F.array(*bands)).alias("bucket"), "node", "n")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
     ship()
@@ -202,10 +218,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     both = left.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = list(range(batch.num_rows))
             keep = []
-            for left, right, own in _groups(_bytes(batch.column("ta")), _bytes(batch.column("tb")), rows):
+            sides = [_bytes(batch.column(c)) for c in ("ta", "tb")]
+            for left, right, own in _groups(*sides, rows):
                 near = similarities(left, right) >= least
                 keep += [r for r, yes in zip(own, near) if yes]
             found = batch.take(pa.array(keep, pa.int64()))
@@ -225,13 +242,14 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialise(_ordered(large))
+        large = both.join(least, "a").where("b > a")
+        large = materialise(_ordered(large.select(F.col("b").alias("a"), F.col("m").alias("b"))))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select("b", "m").unionByName(least.select(F.col("a").alias("b"), "m"))
         links = materialise(_ordered(small.select(F.col("b").alias("a"), F.col("m").alias("b"))))
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+        state = links.agg(F.count(F.lit(1)), total).first()
         if state == before:
             break
         before = state
@@ -248,89 +266,136 @@ def _ordered(links: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _possible(a: str, b: str, similarity: float) -> Column:
+    """Whether two numbers of shingles allow the similarity."""
+    return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b)
+
+
 def classes(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """Rows (id, h, node, component) of all rows of ``docs``.
+    """Rows (id, h, component) of all rows of ``docs``.
 
     ``id`` and ``h`` are the key of a row, equal for equal rows only; rows with the same
-    component are one class of near duplicates. Both are null for texts without words (null
-    and empty ones too), which are never duplicates. Words are what ASCII white space separates,
-    in lower case; texts of less than five words are one shingle of all their words.
+    component are one class of near duplicates. It is null for texts without words (null and
+    empty ones too), which are never duplicates. Words are what ASCII white space separates, in
+    lower case; texts of less than five words are one shingle of all their words.
     """
     rows = materialise(signed(docs, doc_id, text))
     members = (
         rows.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min(F.struct("id", "h")).alias("first"), F.first("buckets").alias("buckets"))
+        .agg(
+            F.min(F.struct("id", "h")).alias("first"),
+            F.first("n").alias("n"),
+            F.first("signature").alias("signature"),
+        )
     )
     members = materialise(members)
-    shares = members.select("node", F.explode("buckets").alias("bucket"))
+    shares = _buckets(members)
     sizes = shares.groupBy("bucket").count().where("count > 1")
     shares = materialise(shares.join(sizes, "bucket"))
-    weights = shares.groupBy("node").agg(F.sum("count").alias("weight"))
-    shares = materialise(shares.drop("count").join(weights, "node"))
-    # texts of the nodes that share a bucket with another
-    of = members.join(weights.select("node"), "node", "left_semi").select("node", "first.id", "first.h")
-    texts = (
-        _keyed(docs, doc_id, text)
-        .join(of.select("node", F.col("id").alias("i"), F.col("h").alias("k")),
-              F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k")))
-        .groupBy("node")
-        .agg(F.first("t").alias("t"))
+    weights = materialise(shares.groupBy("node").agg(F.sum("count").alias("weight")))
+    shares = shares.drop("count").join(weights, "node")
+    centres = shares.groupBy("bucket").agg(
+        F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("c")
     )
-    texts = materialise(texts)
-    best = F.max_by("node", F.struct("weight", "node"))
-    centres = shares.groupBy("bucket").agg(best.alias("b"))
-    pairs = shares.join(centres, "bucket").where("node <> b").select(F.col("node").alias("a"), "b")
-    links = tested = None
-    while True:
-        pairs = _ordered(pairs)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        if tested is not None and pairs.isEmpty():
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = materialise(_verified(pairs, texts, similarity))
-        links = found if links is None else links.unionByName(found)
-        parts = materialise(components(links))
-        shares, pairs = _open(shares, parts)
-        if shares is None:
-            break
+    centres = centres.select("bucket", F.col("c.node").alias("b"), F.col("c.n").alias("m"))
+    pairs = shares.join(centres, "bucket").where(
+        (F.col("node") != F.col("b")) & _possible("n", "m", similarity)
+    )
+    tested = materialise(_ordered(pairs.select(F.col("node").alias("a"), "b")))
+    texts = materialise(_texts(docs, doc_id, text, members.join(weights, "node", "left_semi")))
+    links = materialise(_verified(tested, texts, similarity))
+    parts = components(links)
+    shares = shares.select("bucket", "node")
+    for most in (NEAREST, None):
+        more = _strays(shares, members, parts, similarity, most)
+        more = materialise(more.join(tested, ["a", "b"], "left_anti"))
+        found = materialise(_verified(more, texts, similarity))
+        tested = tested.unionByName(more)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            parts = components(links)
+    discard(texts, tested)
     own = F.coalesce("component", "node").alias("component")
-    return rows.drop("buckets").join(parts, "node", "left").select("id", "h", "node", own)
+    return rows.drop("n", "signature").join(parts, "node", "left").select("id", "h", own)
+
+
+def _texts(docs: DataFrame, doc_id: str, text: str, members: DataFrame) -> DataFrame:
+    """Rows (node, t): the text of one row of each of the nodes."""
+    of = members.select("node", F.col("first.id").alias("i"), F.col("first.h").alias("k"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k"))
+    found = _keyed(docs, doc_id, text).join(of, same)
+    return found.groupBy("node").agg(F.first("t").alias("t"))
+
 
+def _strays(
+    shares: DataFrame,
+    members: DataFrame,
+    parts: DataFrame,
+    similarity: float,
+    most: int | None,
+) -> DataFrame:
+    """Pairs (a, b) of buckets with several components that may be similar.
 
-def _open(shares: DataFrame, parts: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """What is left of buckets with several components, and the next pairs to compare."""
+    Members outside a bucket's largest component are compared with all that are of another
+    component than they, by their signatures, a block of the ones with a block of the others.
+    Of each block a member gets the ``most`` likely partners, or all that are likely.
+    """
+    ship()
     placed = shares.join(parts, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     counts = placed.groupBy("bucket", "component").count()
-    largest = counts.groupBy("bucket").agg(
+    several = counts.groupBy("bucket").agg(
         F.max_by("component", F.struct("count", "component")).alias("kept"),
+        F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"),
         F.count(F.lit(1)).alias("n"),
     )
-    placed = materialise(placed.join(largest.where("n > 1").drop("n"), "bucket"))
-    if placed.isEmpty():
-        return None, None
-    order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
-    centres = (
-        placed.where("component <> kept")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= CENTRES)
-        .select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-    )
-    centres = materialise(centres)
-    pairs = placed.join(centres, "bucket").where("component <> other")
-    pairs = pairs.select(F.col("node").alias("a"), "b")
-    done = centres.select("bucket", F.col("b").alias("node"))
-    left = placed.join(done, ["bucket", "node"], "left_anti").select("bucket", "node", "weight")
-    return materialise(left), pairs
+    open_shares = placed.join(several.where("n > 1").drop("n"), "bucket")
+    full = open_shares.join(members.select("node", "n", "signature"), "node")
+    full = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    full = materialise(full)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = ["bucket", "row", "column"]
+    values = ["node", "component", "n", "signature"]
+    strays = full.where("component <> kept").withColumn("column", every)
+    strays = strays.select("bucket", F.col("block").alias("row"), "column", *values)
+    others = full.withColumn("row", every)
+    others = others.select("bucket", "row", F.col("block").alias("column"), *values)
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    least = int(LIKELY * BANDS * ROWS)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        out = []
+        names, kinds = (right[c].to_pylist() for c in ("node", "component"))
+        sizes, slots = right["n"].to_numpy(), _slots(right)
+        codes = {c: i for i, c in enumerate(dict.fromkeys(kinds))}
+        kind = np.array([codes[c] for c in kinds], np.int64)
+        rows = zip(left["node"].to_pylist(), left["component"].to_pylist(), left["n"].to_pylist())
+        for (node, component, n), own in zip(rows, _slots(left)):
+            fits = np.minimum(sizes, n) >= similarity * np.maximum(sizes, n)
+            near = np.flatnonzero(fits & (kind != codes.get(component, -1)))
+            agree = (slots[near] == own).sum(axis=1)
+            order = np.argsort(-agree, kind="stable")[:most]
+            near = near[order[agree[order] >= least]]
+            out += [(max(node, names[i]), min(node, names[i])) for i in near]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
+
+    met = strays.groupBy(*cells).cogroup(others.groupBy(*cells))
+    return met.applyInArrow(compare, "a binary, b binary").distinct()
+
+
+def _slots(rows: pa.Table) -> np.ndarray:
+    data = b"".join(rows["signature"].to_pylist())
+    return np.frombuffer(data, np.uint16).reshape(rows.num_rows, -1)
 
 
 def with_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
