@@ -14,6 +14,7 @@ enough behind it.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -221,6 +222,19 @@ def with_counts(
     return treed.withColumn(name, F.get(F.col(state)["tokens"], F.lit(1)).cast("bigint"))
 
 
+def _edited(own: Counter, text: str, trees: tuple, changes: list | None) -> tuple:
+    """Text, trees and number of encoded characters after some edits."""
+    tokens, chars = trees
+    total = 0
+    for e in changes or ():
+        if e is not None:
+            text, tokens, chars, n = edit(
+                own, text, tokens, chars, e["start"] or 0, e["removed"] or 0, e["inserted"] or ""
+            )
+            total += n
+    return text, tokens, chars, total
+
+
 def apply_edits(
     docs: DataFrame,
     path: str,
@@ -228,6 +242,7 @@ def apply_edits(
     text: str = "text",
     state: str = "state",
     name: str = "n_tokens",
+    before: str = "n_tokens_before",
     encoded: str = "n_encoded",
 ) -> DataFrame:
     """Apply each row's edits to its text, tree and count.
@@ -235,41 +250,52 @@ def apply_edits(
     ``edits`` is an array of struct<start, removed, inserted>, applied in order: ``removed``
     characters from ``start`` of the text so far give way to the string ``inserted``. Offsets
     beyond the text count as its end, negative ones as 0, null ones as 0 and a null string as
-    empty; a null array changes nothing. ``encoded`` gets the number of characters that were
-    encoded for the edits. A null text becomes a text if something is inserted.
+    empty; a null array changes nothing. Without a column ``state`` the trees are built first.
+    ``name`` gets the new count, ``before`` the old one, and ``encoded`` the number of
+    characters that were encoded for the edits. A null text becomes a text if something is
+    inserted. Columns of these names are replaced, others stay.
     """
     ship()
-    kind = f"text string, {STATE}, encoded bigint"
+    kind = f"text string, {STATE}, before bigint, encoded bigint"
+    names = ["text", "tokens", "chars", "before", "encoded"]
 
-    @F.arrow_udf(kind)
-    def edited(texts: pa.Array, states: pa.Array, lists: pa.Array) -> pa.Array:
+    def run(texts: list, trees: Iterable[tuple], lists: list) -> pa.Array:
         own = _counter(path)
-        out, tokens, chars, work = [], [], [], []
-        all_tokens, all_chars = states.field("tokens"), states.field("chars")
-        for i, (own_text, changes) in enumerate(zip(texts.to_pylist(), lists.to_pylist())):
-            t, c = (a[i].values.to_numpy() for a in (all_tokens, all_chars))
-            now, total = own_text or "", 0
-            for e in changes or ():
-                if e is not None:
-                    now, t, c, n = edit(
-                        own, now, t, c, e["start"] or 0, e["removed"] or 0, e["inserted"] or ""
-                    )
-                    total += n
+        out, tokens, chars, old, work = [], [], [], [], []
+        for own_text, (t, c), changes in zip(texts, trees, lists):
+            now, new_t, new_c, total = _edited(own, own_text or "", (t, c), changes)
             out.append(now if now or own_text is not None else None)
-            tokens.append(t)
-            chars.append(c)
+            tokens.append(new_t)
+            chars.append(new_c)
+            old.append(int(t[1]))
             work.append(total)
-        columns = [pa.array(out, pa.string()), _lists(tokens), _lists(chars), pa.array(work, pa.int64())]
-        return pa.StructArray.from_arrays(columns, ["text", "tokens", "chars", "encoded"])
+        columns = [pa.array(out, pa.string()), _lists(tokens), _lists(chars)]
+        columns += [pa.array(c, pa.int64()) for c in (old, work)]
+        return pa.StructArray.from_arrays(columns, names)
 
-    done = fresh()
-    rows = docs.withColumn(done, edited(F.col(text).cast("string"), F.col(state), F.col(edits)))
+    @F.arrow_udf(kind)
+    def from_state(texts: pa.Array, states: pa.Array, lists: pa.Array) -> pa.Array:
+        parts = (states.field("tokens"), states.field("chars"))
+        trees = (tuple(p[i].values.to_numpy() for p in parts) for i in range(len(texts)))
+        return run(texts.to_pylist(), trees, lists.to_pylist())
+
+    @F.arrow_udf(kind)
+    def from_text(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        own, found = _counter(path), texts.to_pylist()
+        return run(found, (build(own, t or "") for t in found), lists.to_pylist())
+
+    done, whole = fresh(), F.col(text).cast("string")
+    if state in docs.columns:
+        rows = docs.withColumn(done, from_state(whole, F.col(state), F.col(edits)))
+    else:
+        rows = docs.withColumn(done, from_text(whole, F.col(edits)))
     new = F.col(done)
     return rows.withColumns(
         {
             text: new["text"],
             state: F.struct(new["tokens"].alias("tokens"), new["chars"].alias("chars")),
             name: F.get(new["tokens"], F.lit(1)).cast("bigint"),
+            before: new["before"],
             encoded: new["encoded"],
         }
     ).drop(done)

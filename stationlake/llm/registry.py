@@ -90,11 +90,12 @@ def edits_of(text: Column, doc_id: Column) -> Column:
 
 def op8_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    first = counts.with_counts(docs, VOCABULARY, name="n_tokens")
+    # trees are built and edited in one pass, so that a worker keeps one set of words
     edited = counts.apply_edits(
-        first.withColumn("edits", edits_of(F.col("text"), F.col("doc_id"))),
+        docs.withColumn("edits", edits_of(F.col("text"), F.col("doc_id"))),
         VOCABULARY,
         name="n_tokens_edited",
+        before="n_tokens",
     )
     return edited.select(
         "doc_id",
