@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship, slices
+from stationlake.llm.common import ship, slices, trim
 from stationlake.llm.suffixes import BASES, Hashes, mixed
 from stationlake.session import discard, materialise
 
@@ -196,6 +196,7 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             ]
             names = ["id", "h", "node", "n", "signature"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        trim()
 
     return _keyed(docs, doc_id, text).mapInArrow(
         work, "id bigint, h bigint, node binary, n bigint, signature binary"
@@ -227,6 +228,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 keep += [r for r, yes in zip(own, near) if yes]
             found = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([found.column("a"), found.column("b")], ["a", "b"])
+        trim()
 
     return both.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
 

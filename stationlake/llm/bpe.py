@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship
+from stationlake.llm.common import ship, trim
 
 # The pattern that splits text before the merges of byte-level vocabularies.
 WORDS = (
@@ -36,7 +36,7 @@ SPACE = "\t-\r \x85\xa0  -     　"
 
 #: Entries of each of a worker's caches before they are emptied. They save time, no result
 #: depends on them.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -227,6 +227,7 @@ def encoded(text: Column, path: str) -> Column:
         ids = [own.encode(t.as_py()) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
         values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        trim()
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
     return encode(text)
@@ -243,6 +244,7 @@ def decoded(ids: Column, path: str) -> Column:
         for x in lists:
             values = x.values.drop_null().to_numpy() if x.is_valid else np.zeros(0, np.int32)
             texts.append(own.decode(values))
+        trim()
         return pa.array(texts, pa.string())
 
     return decode(ids)

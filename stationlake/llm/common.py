@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import functools
 import os
 import tempfile
@@ -52,6 +54,20 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+@functools.cache
+def _libc() -> ctypes.CDLL | None:
+    name = ctypes.util.find_library("c")
+    library = ctypes.CDLL(name) if name else None
+    return library if hasattr(library, "malloc_trim") else None
+
+
+def trim() -> None:
+    """Give memory that a worker has freed back to the system; workers live from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc().malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship
+from stationlake.llm.common import ship, trim
 
 #: Bytes of the pieces that are compressed on their own.
 PIECE = 512
@@ -161,6 +161,7 @@ def score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         x = np.array([features(t.as_py(), model.good, model.bad) for t in texts])
+        trim()
         z = (x.reshape(-1, FEATURES) - model.centres) / model.scales
         linear = model.weights[0] + z @ np.array(model.weights[1:])
         return pa.array(1 / (1 + np.exp(-np.clip(linear, -30, 30))))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship, slices
+from stationlake.llm.common import ship, slices, trim
 from stationlake.session import discard, materialise
 
 GRAM, PART = 100, 16
@@ -182,6 +182,7 @@ def _map(rows: DataFrame, work: Callable[[pa.RecordBatch], tuple]) -> DataFrame:
             keys = [batch.column(c).take(pa.array(row)) for c in ("id", "h")]
             own = [*keys, pa.array(low), pa.array(more.astype(np.int32)), *map(pa.array, columns)]
             yield pa.RecordBatch.from_arrays(own, [f.split()[0] for f in ROW.split(", ")])
+        trim()
 
     return rows.mapInArrow(run, ROW)
 
