@@ -298,11 +298,14 @@ def classes(
     )
     members = materialise(members)
     shares = _buckets(members)
-    sizes = shares.groupBy("bucket").count().where("count > 1")
+    # grouped by more than the bucket, so that a join partitions both sides itself and Spark can
+    # split the members of a large bucket
+    part = F.hash("bucket").alias("_part")
+    sizes = shares.groupBy("bucket", part).count().where("count > 1").drop("_part")
     shares = materialise(shares.join(sizes, "bucket"))
     weights = materialise(shares.groupBy("node").agg(F.sum("count").alias("weight")))
     shares = shares.drop("count").join(weights, "node")
-    centres = shares.groupBy("bucket").agg(
+    centres = shares.groupBy("bucket", part).agg(
         F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("c")
     )
     centres = centres.select("bucket", F.col("c.node").alias("b"), F.col("c.n").alias("m"))

@@ -231,7 +231,10 @@ def spans(
         raise ValueError(f"depth must be at least {GRAM + PART} bytes")
     texts = _keyed(docs, doc_id, text).where(F.octet_length("t") >= depth)
     found = _map(texts, lambda batch: anchors(batch.column("t"), depth))
-    digits = found.groupBy("digit").count().where("count > 1").select("digit")
+    # grouped by more than the digit, so that the join partitions both sides itself and Spark can
+    # split the rows of a frequent digit
+    digits = found.groupBy("digit", F.hash("digit").alias("_part")).count()
+    digits = digits.where("count > 1").select("digit")
     rows = materialise(found.join(digits, "digit").select(found.columns))
     whole, left = _settle(rows)
     # texts that still matter; copies of a row are read once
