@@ -117,7 +117,8 @@ def signatures(bags: Bags, texts: int, slots: int) -> np.ndarray:
         n = np.arange(number, number + many, dtype=np.uint64)
         draw = mixed(seed[:, None] + (n + np.uint64(1))[None, :] * STEPS[1])
         gaps = -np.log(_uniform(draw)) / rate[:, None]
-        times = time[:, None] + np.cumsum(gaps, axis=1)
+        # summed one by one from the start: the bits do not depend on the steps, nor they on others
+        times = np.cumsum(np.c_[time, gaps], axis=1)[:, 1:]
         more = mixed(draw ^ STEPS[4])
         slot = ((more >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
         part = (more & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32

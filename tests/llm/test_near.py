@@ -91,6 +91,20 @@ def test_signatures_estimate_the_weighted_similarity(family):
                 assert abs((times[i] == times[j]).mean() - true) <= error
 
 
+def test_signatures_do_not_depend_on_other_texts():
+    short = [" ".join(f"s{i}-{j}" for j in range(4 + n)) for i, n in enumerate((1, 2, 6, 10, 16))]
+    others = [" ".join(f"o{i}-{j}" for j in range(300)) for i in range(60)]
+    groups = [short, short + others[:1], others[:7] + short, short + others]
+    found = []
+    for texts in groups:
+        bags = near.Bags([t.encode() for t in texts])
+        times = near.signatures(bags, len(texts), near.BANDS * near.ROWS)
+        at = texts.index(short[0])
+        found.append(times[at : at + len(short)])
+    for other in found[1:]:
+        assert (found[0] == other).all()
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_the_query_against_all_pairs(spark, sf_dir, sf):
     path = sf_dir.replace("sf0.01", sf)
