@@ -8,7 +8,7 @@ number of its values, so any domain of a * b values is permuted without trial an
 
 | kind | checks | permuted |
 | --- | --- | --- |
-| card | 13 to 19 digits, Luhn | digits after the first; the last is the new check digit |
+| card | 13 to 19 digits in whole groups, Luhn | digits after the first; the last is the new check digit |
 | iban | length, mod 97 | digits after the check digits, which are new |
 | ssn | area, group and serial ranges | all three parts |
 | phone | international or North American form | digits after the country code |
@@ -39,17 +39,30 @@ FORMS = {
     "secret": START + r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:]"
     r"[ \t]{0,3}[\"']?[^\s\"'(),;]{6,}+",
     "ip": r"(?<![0-9A-Za-z.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?![0-9A-Za-z]|\.[0-9])",
-    "iso": START + r"[0-9]{4}([-/])[0-9]{2}\2[0-9]{2}" + END,
+    "iso": START + r"[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}" + END,
     "dotted": START + r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}" + END,
     "slashed": START + r"[0-9]{2}/[0-9]{2}/[0-9]{4}" + END,
     "ssn": START + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + END,
     "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
     r"|\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}"
     r"|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?!\.[0-9])" + END,
-    "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])",
+    "card": "",
     "iban": START + r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: (?![A-Z]{2}[0-9]{2} )[0-9A-Z]{4}){2,7}"
     r"(?: [0-9A-Z]{1,3})?)" + END,
 }
+# A card's form is a whole run of groups of digits, up to a group that begins another form; which
+# of its groups are cards is found out later. Loops are possessive, as others nest for each group.
+GROUP = r"[0-9]++(?![0-9A-Za-z]|\.[0-9])"
+OTHER = "|".join(FORMS[k] for k in ("email", "ip", "iso", "dotted", "slashed", "ssn", "phone"))
+FORMS["card"] = (
+    r"(?<![0-9A-Za-z-])(?<![0-9]\.)(?=[0-9](?:[ -]?[0-9]){12})"
+    + GROUP
+    + f"(?:[ -](?!{OTHER}){GROUP})*+"
+)
+#: The numbers of digits of a card, and the groups in which cards are usually written; what has
+#: such groups comes before other runs of groups, and the first of them before the later.
+CARD_SIZES = range(13, 20)
+CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (6, 13), (4, 3, 3, 3), (4, 4, 5))
 # a row without any of these has none of the forms
 HINT = r"[0-9@=]|AKIA|ASIA|(?i:password|passwd|pwd|token|secret|key)[ \t]{0,3}:"
 #: Days of the 400 years after which the calendar repeats: 189 * 773.
@@ -156,6 +169,64 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(places, F.lit(0), add)
 
 
+def _window(size: int) -> str:
+    """So many digits with what may stand between them, marks included."""
+    return r"[0-9](?:[A-Za-z -]*[0-9]){%d}" % (size - 1)
+
+
+def card_parts(run: Column) -> Column:
+    """A run of groups of digits in parts, of which every second one is a card.
+
+    A card is some whole groups that pass the checks. In a first turn cards in one group or the
+    usual groups are taken, from the left; in a second one any groups between them, the longest
+    first. Each group is marked by a letter for the number of digits of the card that begins
+    there: a small one for the first turn, and a capital one for the second.
+    """
+
+    def mark(forms: list[tuple[str, int]], tail: Column, valid: Column, first: str) -> Column:
+        found = [
+            F.when(
+                F.array_contains(valid, size) & tail.rlike(f"^(?:{form})(?![0-9])"),
+                F.lit(chr(ord(first) + size)),
+            )
+            for form, size in forms
+        ]
+        return F.coalesce(*found, F.lit(""))
+
+    def checked(digits: Column) -> Column:
+        """The numbers of digits that give a right check digit."""
+        every = F.array(*[F.lit(n) for n in CARD_SIZES])
+
+        def right(n: Column) -> Column:
+            return (n <= F.length(digits)) & (luhn_sum(F.substring(digits, F.lit(1), n)) % 10 == 0)
+
+        return F.filter(every, right)
+
+    usual = [("[0-9]{%d}" % n, n) for n in CARD_SIZES]
+    for sizes in CARD_GROUPS:
+        # one separator throughout
+        rest = "".join(("([ -])" if i == 0 else r"\1") + "[0-9]{%d}" % n for i, n in enumerate(sizes[1:]))
+        usual.append(("[0-9]{%d}" % sizes[0] + rest, sum(sizes)))
+    loose = [(_window(n), n) for n in reversed(CARD_SIZES)]
+
+    def marked(tail: Column) -> Column:
+        return let(
+            let(_only_digits(tail), checked),
+            lambda valid: F.concat(mark(usual, tail, valid, "a"), mark(loose, tail, valid, "A")),
+        )
+
+    # every group with all that follows it, as far as a card and the next digit can go
+    tails = F.regexp_extract_all(run, F.lit("(?<![0-9])(?=([0-9](?:[ -]?[0-9]){0,19}))"), F.lit(1))
+    groups = F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0))
+    whole = F.array_join(F.zip_with(tails, groups, lambda t, g: F.concat(marked(t), g)), "")
+    # the mark of the second turn follows that of the first
+    one = "|".join(chr(ord("a") + n) + "[A-Z]?" + _window(n) for n in CARD_SIZES)
+    two = "|".join(chr(ord("A") + n) + _window(n) for n in CARD_SIZES)
+    first = F.regexp_replace(whole, one, "<$0>")
+    second = F.regexp_replace(first, f"<[^>]*+>|{two}", "<$0>")
+    return F.split(F.regexp_replace(second, "[A-Za-z]", ""), "[<>]+", -1)
+
+
 def _card(text: Column, key: str) -> Column:
     def moved(d: Column) -> Column:
         n = F.length(d)
@@ -338,7 +409,7 @@ def pseudonym(text: Column, key: str) -> Column:
         .when(has("slashed"), slashed)
         .when(has("ssn"), _ssn(text, key))
         .when(has("phone"), _phone(text, key))
-        .when(has("card"), _card(text, key))
+        .when(text.rlike(f"^{_window(13)}(?:[ -]?[0-9]){{0,6}}$"), _card(text, key))
         .when(has("iban"), _iban(text, key))
         .otherwise(text)
     )
@@ -360,7 +431,15 @@ def pseudonymise(
     )
     parts = F.when(whole.rlike(HINT), F.split(marked, MARK, -1))
     own, fixed = fresh(), fresh()
-    rows = docs.withColumn(own, parts).withColumn(
+    # every second part has a form; so it is when those of a run stand between two empty ones
+    empty = F.array(F.lit(""))
+
+    def cut(part: Column, i: Column) -> Column:
+        run = (i % 2 == 1) & part.rlike("^[0-9](?:[ -]?[0-9]){12,}+$")
+        several = let(part, lambda p: F.concat(empty, card_parts(p), empty))
+        return F.when(run, several).otherwise(F.array(part))
+
+    rows = docs.withColumn(own, F.flatten(F.transform(parts, cut))).withColumn(
         fixed,
         F.transform(own, lambda p, i: F.when(i % 2 == 1, pseudonym(p, key)).otherwise(p)),
     )

@@ -80,6 +80,38 @@ def test_values_next_to_each_other(spark):
     assert text == " ".join(alone)
 
 
+CARD = "4111111111111111"
+BESIDE = [
+    ("", "4111 1111 1111 1111", " 12/27"), ("", CARD, " 123"), ("", "4111-1111-1111-1111", " 07/2029"),
+    ("pay 2 ", CARD, " now"), ("No.", CARD, ""), ("ref 123 ", CARD, " 123 12/27"), ("", CARD, "-1234"),
+    ("1. ", "4111 1111 1111 1111", " 12/27 123"), ("0 ", "3782 822463 10005", " 1234"), ("2-", CARD, "-12-27"),
+    ("12 ", "41111111 11111111", " 99"), ("7 7 ", CARD, " 12th"), ("4 ", "6304 0000 0000 0000 006", ""),
+]
+
+
+def test_cards_beside_other_numbers(spark):
+    texts = [a + card + b for a, card, b in BESIDE]
+    alone = replaced(spark, [card for _, card, _ in BESIDE])
+    assert all(n == 1 for _, n in alone)
+    got = replaced(spark, texts)
+    assert got == [(a + new + b, 1) for (a, _, b), (new, _) in zip(BESIDE, alone)]
+
+
+def test_cards_in_one_run_and_beside_other_forms(spark):
+    parts = ["3782 822463 10005", "4111 1111 1111 1111", CARD, "4111-1111-1111-1111"]
+    for last in ("12/05/2030", "123-45-6789", "2001-02-28", "212-555-0187", "10.0.0.1", "2@x.example.com"):
+        every = [*parts, last]
+        ((text, n), *alone) = replaced(spark, [" ".join(every), *every])
+        assert n == len(every) and text == " ".join(t for t, _ in alone)
+
+
+def test_numbers_that_hold_no_card_stay(spark):
+    texts = ["3.4111111111111111", "x" + CARD, CARD + "x", "4111111111111112 12", "1 " * 20_000 + "x"]
+    got = replaced(spark, texts)
+    assert got[:4] == [(t, 0) for t in texts[:4]]
+    assert len(got[4][0]) == len(texts[4])
+
+
 @pytest.mark.parametrize("make", [
     lambda i: F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), i), "MM/dd/yyyy"),
     lambda i: F.date_format(F.date_add(F.lit("1799-12-01").cast("date"), i), "yyyy-MM-dd"),
