@@ -9,7 +9,7 @@ number of its values, so any domain of a * b values is permuted without trial an
 | kind | checks | permuted |
 | --- | --- | --- |
 | card | 13 to 19 digits in whole groups, Luhn | digits after the first; the last is the new check digit |
-| iban | length, mod 97 | digits after the check digits, which are new |
+| iban | the country's length, mod 97 | digits after the check digits, which are new |
 | ssn | area, group and serial ranges | all three parts |
 | phone | international or North American form | digits after the country code |
 | ip | four numbers to 255 | all 32 bits |
@@ -47,9 +47,37 @@ FORMS = {
     r"|\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}"
     r"|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?!\.[0-9])" + END,
     "card": "",
-    "iban": START + r"[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: (?![A-Z]{2}[0-9]{2} )[0-9A-Z]{4}){2,7}"
-    r"(?: [0-9A-Z]{1,3})?)" + END,
 }
+#: The lengths of IBANs by country, those in use outside the registry included.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form() -> str:
+    """IBANs in one group or groups of four, of their country's length.
+
+    Those of other countries have any length, as far as letters and digits go.
+    """
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        spaced = "(?: [0-9A-Z]{4}){%d}" % fours + (" [0-9A-Z]{%d}" % rest if rest else "")
+        heads = "|".join(countries.split())
+        forms.append(f"(?:{heads})[0-9]{{2}}(?:[0-9A-Z]{{{length - 4}}}|{spaced})")
+    known = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    forms.append(
+        f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:[0-9A-Z]{{11,30}}"
+        r"|(?: (?![A-Z]{2}[0-9]{2} )[0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)"
+    )
+    return START + "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(forms) + ")" + END
+
+
 # A card's form is a whole run of groups of digits, up to a group that begins another form; which
 # of its groups are cards is found out later. Loops are possessive, as others nest for each group.
 GROUP = r"[0-9]++(?![0-9A-Za-z]|\.[0-9])"
@@ -59,6 +87,7 @@ FORMS["card"] = (
     + GROUP
     + f"(?:[ -](?!{OTHER}){GROUP})*+"
 )
+FORMS["iban"] = _iban_form()
 #: The numbers of digits of a card, and the groups in which cards are usually written; what has
 #: such groups comes before other runs of groups, and the first of them before the later.
 CARD_SIZES = range(13, 20)

@@ -105,6 +105,24 @@ def test_cards_in_one_run_and_beside_other_forms(spark):
         assert n == len(every) and text == " ".join(t for t, _ in alone)
 
 
+def test_ibans_of_every_length_before_a_word(spark):
+    ibans = []
+    for n, countries in pii.IBAN_LENGTHS.items():
+        for country in countries.split():
+            body = "1234567890" * 3
+            digits = "".join(str(int(c, 36)) for c in body[: n - 4] + country + "00")
+            plain = f"{country}{98 - int(digits) % 97:02d}{body[: n - 4]}"
+            ibans += [plain, " ".join(plain[i : i + 4] for i in range(0, n, 4))]
+    assert all(map(iban, ibans))
+    texts = [f"to {v}{after}" for v in ibans for after in (" BIC GEBABEBB", " A1", "")]
+    for text, (new, n) in zip(texts, replaced(spark, texts)):
+        value = new[3:].removesuffix(" BIC GEBABEBB").removesuffix(" A1")
+        assert n == 1 and len(new) == len(text) and value not in text and iban(value), (text, new)
+        assert new == "to " + value + text[3 + len(value) :]
+    # as long as its country does not have them
+    assert replaced(spark, ["BE68 5390 0754 70"]) == [("BE68 5390 0754 70", 0)]
+
+
 def test_numbers_that_hold_no_card_stay(spark):
     texts = ["3.4111111111111111", "x" + CARD, CARD + "x", "4111111111111112 12", "1 " * 20_000 + "x"]
     got = replaced(spark, texts)
