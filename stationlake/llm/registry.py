@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import ann, bagminhash, bpe, counts, html, maxscore, mixing, oracle, pii, quality, suffixes
+from stationlake.llm import (
+    ann,
+    bagminhash,
+    bpe,
+    counts,
+    html,
+    lexical,
+    maxscore,
+    mixing,
+    oracle,
+    pii,
+    quality,
+    suffixes,
+)
 from stationlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +134,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_lexical(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
 _QUERIES: dict[str, Query] = {
     "op1_ann": op1_ann,
     "op2_pii": op2_pii,
@@ -132,6 +149,7 @@ _QUERIES: dict[str, Query] = {
     "op8_counts": op8_counts,
     "op9_maxscore": op9_maxscore,
     "op10_quality": op10_quality,
+    "op12_lexical": op12_lexical,
 }
 
 
