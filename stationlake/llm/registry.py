@@ -13,6 +13,7 @@ from stationlake.llm import (
     bagminhash,
     bpe,
     counts,
+    fingerprints,
     html,
     lexical,
     maxscore,
@@ -134,6 +135,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_edits(table(spark, sf, "documents"))
+
+
 def op12_lexical(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
 
@@ -149,6 +154,7 @@ _QUERIES: dict[str, Query] = {
     "op8_counts": op8_counts,
     "op9_maxscore": op9_maxscore,
     "op10_quality": op10_quality,
+    "op11_fingerprints": op11_fingerprints,
     "op12_lexical": op12_lexical,
 }
 
