@@ -53,6 +53,105 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <
 """
 
 
+#: The places of the pattern ``(s?(ua)+)?`` before a row, as in a left-to-right search: cost, audit
+#: and text so far of the best edits that lead to each; null where none do.
+_PLACES = range(4)
+
+
+def _on(place: str, cost: str, letter: str, turn: str | None = None, only: str = "true") -> str:
+    """The best edits up to ``place`` with one more edit."""
+    text = f"{place}.t" if turn is None else f"{place}.t || chr(10) || {turn}"
+    return (
+        f"CASE WHEN {place} IS NOT NULL AND {only} THEN "
+        f"{{'c': {place}.c + {cost}, 'a': {place}.a || '{letter}', 't': {text}}} END"
+    )
+
+
+def _put(place: str, role: str) -> str:
+    return _on(place, "2", "I", f"'{role}:'")
+
+
+def _row(place: int) -> str:
+    """The best edits that lead to a place, with one more row."""
+    stay, keep, other = "fault IN (0, 3)", "role || ':' || text", "CAST(fault = 3 AS BIGINT)"
+    ways = [_on(f"e{place}", "3", "D")]
+    for before, initial, after in ((0, "s", 1), (0, "u", 2), (1, "u", 2), (3, "u", 2), (2, "a", 3)):
+        if after == place:
+            only = f"{stay} AND initial = '{initial}'"
+            ways.append(_on(f"e{before}", other, "K", keep, only))
+            if initial != "s":
+                role = {"u": "user", "a": "assistant"}[initial]
+                ways.append(_on(f"e{before}", f"2 + {other}", "R", f"'{role}:' || text", stay))
+    return f"list_min([{', '.join(ways)}]) AS s{place}"
+
+
+OP13 = f"""
+WITH RECURSIVE bits(b, k, v) AS (
+  SELECT range, 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL
+  SELECT b, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END::BIGINT)
+  FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY b) AS tab FROM bits WHERE k = 8),
+o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+             lambda x: ord(x)::BIGINT)),
+           lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) % 20 AS kind
+  FROM conversations, crc),
+g AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+d AS (
+  SELECT g, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                   ELSE text END AS text
+  FROM o JOIN g ON o.conv_id IS NOT DISTINCT FROM g.conv_id,
+       unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS u(copy)
+  WHERE kind <> 0),
+n AS (
+  SELECT g, turn, role, text, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body
+  FROM d),
+r AS (
+  SELECT g, i, turn, role, text, initial, lag(initial) OVER (PARTITION BY g ORDER BY i) AS before,
+         CASE WHEN body = '' THEN 1
+              WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 2
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+  FROM n),
+p AS (
+  SELECT g, 0 AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0,
+         CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS s1,
+         CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS s2,
+         CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS s3
+  FROM g
+  UNION ALL
+  SELECT g, i, {", ".join(_row(place) for place in _PLACES)}
+  FROM (
+    SELECT *, list_min([s3, {_put("e2", "assistant")}]) AS e3
+    FROM (
+      SELECT p.g, r.i, role, text, initial, fault, s0 AS e0, s1 AS e1, s2, s3,
+             list_min([s2, {_put("s0", "user")}, {_put("s1", "user")}, {_put("s3", "user")}]) AS e2
+      FROM p JOIN r ON p.g = r.g AND r.i = p.i + 1))),
+z AS (
+  SELECT g, list_min([s0, s3, {_put("s2", "assistant")},
+         {_put("x1", "assistant")}]) AS best
+  FROM (SELECT *, {_put("s1", "user")} AS x1 FROM p) AS y
+  WHERE i = coalesce((SELECT max(r.i) FROM r WHERE r.g = y.g), 0)),
+t AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(substr(best.t, 2)) AS repaired_sha256
+FROM g JOIN z USING (g) LEFT JOIN t USING (g)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For some of the queries, SQL for DuckDB over the same tables."""
-    return {"op9_maxscore": OP9, "op12_lexical": OP12}
+    return {"op9_maxscore": OP9, "op12_lexical": OP12, "op13_dialogue": OP13}

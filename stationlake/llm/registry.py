@@ -13,6 +13,7 @@ from stationlake.llm import (
     bagminhash,
     bpe,
     counts,
+    dialogue,
     fingerprints,
     html,
     lexical,
@@ -143,6 +144,11 @@ def op12_lexical(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
 
 
+def op13_dialogue(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations")
+    return dialogue.report(dialogue.damage(conversations), conversations)
+
+
 _QUERIES: dict[str, Query] = {
     "op1_ann": op1_ann,
     "op2_pii": op2_pii,
@@ -156,6 +162,7 @@ _QUERIES: dict[str, Query] = {
     "op10_quality": op10_quality,
     "op11_fingerprints": op11_fingerprints,
     "op12_lexical": op12_lexical,
+    "op13_dialogue": op13_dialogue,
 }
 
 
