@@ -1,5 +1,13 @@
 """Column expressions shared by the operators."""
 
-from stationlake.functions.columns import any_null, day_key, day_number, normalise_code
+from stationlake.functions.columns import (
+    any_null,
+    day_key,
+    day_number,
+    map_batches,
+    normalise_code,
+    quoted,
+    unused,
+)
 
-__all__ = ["any_null", "day_key", "day_number", "normalise_code"]
+__all__ = ["any_null", "day_key", "day_number", "map_batches", "normalise_code", "quoted", "unused"]

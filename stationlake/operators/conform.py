@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.config import POLLUTED_ID, POLLUTED_KEEP
-from stationlake.functions import day_key, normalise_code
+from stationlake.functions import day_key, normalise_code, quoted, unused
 from stationlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
 from stationlake.sources.dims import PARAMETERS, STATIONS, parameter_dim, station_dim
 
@@ -42,24 +42,29 @@ def filter_polluted_id(
     return df.where((F.col(id_col) != bad_id) | F.col(name_col).isin(*names))
 
 
-def _entries(dim: DataFrame, key: Column, text: str) -> DataFrame:
-    """A dimension as ``_key, _text`` with one row per key.
+def _lookup(
+    df: DataFrame, entries: DataFrame, on: Column, kept: Column, name: str
+) -> DataFrame:
+    """``df`` with column ``name`` as the text of ``entries``, else ``kept``, without extra rows.
 
-    It is grouped by more than the key alone, so that a join by shuffle partitions both of its
-    sides itself; adaptive execution splits the rows of a hot key only then.
+    ``entries`` have a key and a text. Spark broadcasts a dimension that is small by bytes; one
+    that is not is joined by shuffle, and the readings of a station with a large part of all rows
+    are split.
     """
-    found = dim.select(key.alias("_key"), F.col(text).alias("_text"))
-    grouped = found.groupBy("_key", F.hash("_key").alias("_hash"))
-    return grouped.agg(F.min("_text").alias("_text")).drop("_hash")
+    key, text = (unused(n, *df.columns) for n in ("key", "text"))
+    joined = df.join(entries.toDF(key, text), on == F.col(key), "left")
+    return joined.withColumn(name, F.coalesce(F.col(text), kept)).drop(key, text)
 
 
-def _lookup(df: DataFrame, entries: DataFrame, on: Column) -> DataFrame:
-    """``df`` with the matching text as ``_text``, without extra rows.
+def _entries(dim: DataFrame, key: Column, text: str) -> DataFrame:
+    """A dimension as key and text with one row per key.
 
-    Spark broadcasts a dimension that is small by bytes; one that is not is joined by shuffle,
-    and the readings of a station with a large part of all rows are split.
+    It is grouped by more than the key alone, so that a join by shuffle partitions both of its
+    sides itself; adaptive execution splits the rows of a hot key only then.
     """
-    return df.join(entries, on == F.col("_key"), "left").drop("_key")
+    found = dim.select(key.alias("key"), F.col(quoted(text)).alias("text"))
+    grouped = found.groupBy("key", F.hash("key").alias("hash"))
+    return grouped.agg(F.min("text").alias("text")).select("key", "text")
 
 
 def canonical_station(
@@ -70,11 +75,10 @@ def canonical_station(
 ) -> DataFrame:
     """Replace the raw name by the listed one; ids that are not listed keep theirs."""
     if isinstance(stations, dict):  # a list in code
-        entries = F.broadcast(station_dim(df.sparkSession, stations).toDF("_key", "_text"))
+        entries = F.broadcast(station_dim(df.sparkSession, stations))
     else:
         entries = _entries(stations, F.col("station_id"), "station_name")
-    named = _lookup(df, entries, F.col(id_col))
-    return named.withColumn(name_col, F.coalesce("_text", name_col)).drop("_text")
+    return _lookup(df, entries, F.col(quoted(id_col)), F.col(quoted(name_col)), name_col)
 
 
 def describe_parameter(
@@ -93,11 +97,11 @@ def describe_parameter(
         for code, text in parameters.items():
             code = code.strip(" ").lower()
             unique[code] = min(text, unique.get(code, text))
-        entries = F.broadcast(parameter_dim(df.sparkSession, unique).toDF("_key", "_text"))
+        entries = F.broadcast(parameter_dim(df.sparkSession, unique))
     else:
         entries = _entries(parameters, normalise_code("code"), "description")
-    described = _lookup(df, entries, normalise_code(code_col))
-    return described.withColumn(name, F.coalesce("_text", code_col)).drop("_text")
+    code = F.col(quoted(code_col))
+    return _lookup(df, entries, normalise_code(code), code, name)
 
 
 def conform_readings(

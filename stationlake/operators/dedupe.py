@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.functions import quoted, unused
 from stationlake.operators.ranking import first_k
 
 READING = ["sensors_id", "datetime"]
@@ -21,5 +22,6 @@ def dedupe_readings(
     how the input is split.
     """
     rest = [c for c in df.columns if c not in {*keys, *order}]
-    ordering = [F.col(c).asc_nulls_first() for c in [*order, *rest]]
-    return first_k(df, keys, ordering, 1, "_first").drop("_first")
+    ordering = [F.col(quoted(c)).asc_nulls_first() for c in [*order, *rest]]
+    number = unused("first", *df.columns)
+    return first_k(df, keys, ordering, 1, number).drop(number)

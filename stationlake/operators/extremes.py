@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.functions import any_null
+from stationlake.functions import any_null, map_batches, quoted, unused
 from stationlake.operators.ranking import asc_order, desc_order, first_k
 from stationlake.schemas import GOLD_DIMS, GOLD_KEYS
 
@@ -23,6 +23,64 @@ def daily_sensor_dims(df: DataFrame, cols: Sequence[str] = GOLD_DIMS) -> DataFra
     return df.select(*cols).distinct()
 
 
+def cut_extremes(
+    df: DataFrame, keys: Sequence[str], dims: Sequence[str], value: str, k: int
+) -> DataFrame:
+    """``dims`` and ``value`` of the rows that can matter: a state to be merged after a shuffle.
+
+    Of each batch of input rows (``spark.sql.execution.arrow.maxRecordsPerBatch``) it keeps the
+    ``k`` highest and ``k`` lowest of every key and one row of every label, without a shuffle. A
+    group of any size so sends a few rows per batch. Rows are kept as they are, and those that a
+    whole group keeps are among those that its batches keep.
+    """
+    columns = list(dict.fromkeys([*dims, value]))
+    n_keys, n_dims = [columns.index(c) for c in keys], list(range(len(dims)))
+    at = columns.index(value)
+
+    # goes to the workers by value, so that they need not have this package
+    def cut(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def codes(batch, places):
+            out = np.zeros(batch.num_rows, np.int64)
+            for place in places:
+                coded = pc.dictionary_encode(batch.column(place), null_encoding="encode")
+                out = out * len(coded.dictionary) + coded.indices.to_numpy(zero_copy_only=False)
+                if len(coded.dictionary) > 1:
+                    out = np.unique(out, return_inverse=True)[1]
+            return out
+
+        def order(values):
+            """Numbers that sort as the values do: NULL, numbers, NaN."""
+            if not pa.types.is_floating(values.type):
+                ranks = pc.rank(values, "ascending", null_placement="at_start", tiebreaker="dense")
+                return np.zeros(len(values)), ranks.to_numpy()
+            missing = values.is_null().to_numpy(zero_copy_only=False)
+            numbers = values.to_numpy(zero_copy_only=False)
+            nan = np.isnan(numbers)
+            kind = np.where(missing, 0, np.where(nan, 2, 1))
+            return kind, np.where(nan, 0, numbers)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = codes(batch, n_keys)
+            kind, number = order(batch.column(at))
+            rows = np.lexsort((number, kind, group))
+            starts = np.flatnonzero(np.r_[True, np.diff(group[rows]) > 0])
+            sizes = np.diff(np.r_[starts, len(rows)])
+            place = np.arange(len(rows)) - np.repeat(starts, sizes)
+            keep = np.zeros(len(rows), bool)
+            keep[rows] = (place < k) | (np.repeat(sizes, sizes) - place <= k)
+            if n_dims != n_keys:
+                keep[np.unique(codes(batch, n_dims), return_index=True)[1]] = True
+            yield batch.filter(pa.array(keep))
+
+    return map_batches(df.select(*map(quoted, columns)), cut)
+
+
 def daily_extremes(
     df: DataFrame,
     keys: Sequence[str] = GOLD_KEYS,
@@ -32,34 +90,33 @@ def daily_extremes(
 ) -> DataFrame:
     """One row per distinct ``dims`` with the ``k`` highest and lowest values of its key.
 
-    Groups are ranked on ``keys`` alone, so two names under one id do not multiply rows. Ranks
-    that a group does not have are NULL, and so are all values where a key column is NULL.
-    """
-    ranked = _extremes_by_key(df, keys, value, k)
-    columns = [*dims, *value_columns(k)]
-    if set(dims) == set(keys):
-        # NULL-key groups are not ranked; they come back as rows without values
-        unkeyed = df.where(any_null(keys)).select(*dims).distinct()
-        return ranked.unionByName(unkeyed, allowMissingColumns=True).select(*columns)
-    return daily_sensor_dims(df, dims).join(ranked, list(keys), "left").select(*columns)
-
-
-def _extremes_by_key(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
-    """One row per complete key with its values, from a ranking in either direction."""
-    readings = df.where(~any_null(keys)).select(*keys, F.col(value).alias("_value"))
+    ``dims`` hold the columns of ``keys``. Groups are ranked on ``keys`` alone, so two names under
+    one id do not multiply rows. Ranks that a group does not have are NULL, and so are all values
+    where a key column is NULL.
 
-    def side(name: str, order: Column) -> DataFrame:
-        return first_k(readings, keys, [order], k).withColumn("_side", F.lit(name))
-
-    both = side("top", desc_order("_value")).unionByName(side("bottom", asc_order("_value")))
-    picks = [
-        F.max(F.when((F.col("_side") == name) & (F.col("rn") == i), F.col("_value"))).alias(
-            f"{name}{i}_valor"
-        )
-        for name in ("top", "bottom")
+    One scan, one shuffle and one sort: batches are cut first, a group's rows meet in one task,
+    where one order gives the ranks from either end, and labels are told apart there too.
+    """
+    names = {n: unused(n, *dims, value) for n in ("value", "desc", "n")}
+    rows = cut_extremes(df, keys, dims, value, k)
+    rows = rows.select(*map(quoted, dims), F.col(quoted(value)).alias(names["value"]))
+    group = Window.partitionBy(*map(quoted, keys))
+    ranked = rows.select(
+        "*",
+        F.row_number().over(group.orderBy(desc_order(names["value"]))).alias(names["desc"]),
+        F.count(F.lit(1)).over(group).alias(names["n"]),
+    )
+    rank = {"top": F.col(names["desc"]), "bottom": F.col(names["n"]) - F.col(names["desc"]) + 1}
+    known = ~any_null(keys)
+    picks = {
+        f"{side}{i}_valor": F.max(F.when(known & (rank[side] == i), F.col(names["value"])))
+        for side in rank
         for i in range(1, k + 1)
-    ]
-    return both.groupBy(*keys).agg(*picks)
+    }
+    if set(dims) == set(keys):
+        return ranked.groupBy(*map(quoted, dims)).agg(*[c.alias(n) for n, c in picks.items()])
+    spread = ranked.select(*map(quoted, dims), *[c.over(group).alias(n) for n, c in picks.items()])
+    return spread.groupBy(*map(quoted, dims)).agg(*[F.first(n).alias(n) for n in picks])
 
 
 def daily_extremes_joined(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions import any_null
+from stationlake.functions import any_null, quoted
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -18,9 +18,9 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str])
     fills a large part of the source, adaptive execution splits that part of the join.
     """
     columns = {c.lower(): c for c in source.columns}
-    rows = source.select(*[F.col(columns[c.lower()]).alias(c) for c in target.columns])
-    held = target.select(*keys).where(~any_null(keys))
-    return rows.join(held, list(keys), "left_anti").select(*target.columns)
+    rows = source.select(*[F.col(quoted(columns[c.lower()])).alias(c) for c in target.columns])
+    held = target.where(~any_null(keys)).select(*map(quoted, keys))
+    return rows.join(held, list(keys), "left_anti").select(*map(quoted, target.columns))
 
 
 def split_valid(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -38,13 +38,14 @@ def replace_days(
 
     Target rows without a day are left alone. Without ``days`` the whole source is added.
     """
+    columns = [quoted(c) for c in target.columns]
     if days is None:
         # one row per calendar day at most, whatever the size of the source
         replaced = F.broadcast(source.select(day).where(F.col(day).isNotNull()).distinct())
-        kept = target.join(replaced, day, "left_anti").select(*target.columns)
-        return kept.unionByName(source.select(*target.columns))
+        kept = target.join(replaced, day, "left_anti").select(*columns)
+        return kept.unionByName(source.select(*columns))
     kept = target.where(F.col(day).isNull() | ~F.col(day).isin(*days))
-    return kept.unionByName(source.where(F.col(day).isin(*days)).select(*target.columns))
+    return kept.unionByName(source.where(F.col(day).isin(*days)).select(*columns))
 
 
 def days_met(df: DataFrame, day: Column, column: str = "anomesdia") -> Column | None:

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stationlake import operators as op
-from stationlake.operators import ranking
+from stationlake.operators import extremes, ranking
 from stationlake.functions import day_key
 from stationlake.schemas import BRONZE_COLUMNS, PAYLOAD, SILVER_COLUMNS
 from stationlake.sources.dims import PARAMETERS, STATIONS, station_dim
@@ -247,12 +247,82 @@ def test_equal_rows_are_ranked_over_several_ranges(spark, monkeypatch):
     real = ranking.materialise
     monkeypatch.setattr(ranking, "materialise", lambda df: written.append(real(df)) or written[-1])
     df = spark.range(0, 4000, 1, 4).select(F.lit(1).alias("k"), F.lit(0.0).alias("v"))
-    ranked = op.rank_desc(df, ["k"], "v")
-    sizes = [r["count"] for r in written[-1].groupBy("_range").count().collect()]
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # so few rows would share a range
+    try:
+        ranked = op.rank_desc(df, ["k"], "v")
+    finally:
+        spark.conf.unset(merging)
+    (ranges,) = written
+    sizes = [r["count"] for r in ranges.groupBy("part").count().collect()]
     assert len(sizes) >= 4 and max(sizes) <= 2 * sum(sizes) / len(sizes)
     assert sorted(r.rn_valor_desc for r in ranked.collect()) == list(range(1, 4001))
 
 
+TAKEN = (
+    "task part at inside before last first rows key text hash value desc n top bottom k0 a.b "
+    "count rn number kind day bucket keys bit bits _key _text _first _row _range _before"
+).split()
+
+
+@pytest.mark.parametrize(
+    "operator,added",
+    [
+        (lambda df: op.rank_desc(df, ["id"], "v", ["a.b"]), ["rn_valor_desc"]),
+        (lambda df: op.rank_asc(df, ["a.b"], "v"), ["rn_valor_asc"]),
+        (lambda df: op.dedupe_readings(df, ["id", "a.b"], ["v"]), []),
+        (lambda df: op.canonical_station(df, {1: "one"}, "id", "name"), []),
+        (lambda df: op.canonical_station(df, df.sparkSession.sql("SELECT 9L station_id, 'x' station_name"), "id", "name"), []),
+        (lambda df: op.describe_parameter(df, {"b": "B"}, "a.b"), ["parametro_descricao"]),
+        (lambda df: op.merge_insert_only(df.limit(0), df, ["id", "a.b"]), []),
+        (lambda df: op.replace_days(df, df, "part", []), []),
+        (lambda df: op.split_valid(df, ["id", "a.b"])[0], []),
+    ],
+)
+def test_columns_of_the_caller_stay(spark, operator, added):
+    mine = [F.concat(F.lit(f"{c}-"), F.col("id")).alias(c) for c in TAKEN]
+    df = spark.range(50).select("id", (F.col("id") % 7).cast("double").alias("v"), F.lit("n").alias("name"), *mine)
+    got = operator(df)
+    assert got.columns == [*df.columns, *added]
+    rows = {r["id"]: r.asDict() for r in got.collect()}
+    assert len(rows) == 50
+    for r in df.collect():
+        kept = {c: v for c, v in rows[r["id"]].items() if c not in added}
+        assert kept | {"name": "n"} == r.asDict()
+
+
+def test_extremes_take_any_names(spark):
+    mine = [F.lit(c).alias(c) for c in TAKEN if c not in ("a.b", "value")]
+    df = spark.range(30).select((F.col("id") % 3).alias("a.b"), F.col("id").cast("double").alias("value"), *mine)
+    dims = ["a.b", "top", "desc", "n", "bottom", "value"]
+    (row,) = op.daily_extremes(df.where("value = 29"), ["a.b"], dims, "value", 2).collect()
+    assert row.asDict() == {
+        "a.b": 2, "top": "top", "desc": "desc", "n": "n", "bottom": "bottom", "value": 29.0,
+        "top1_valor": 29.0, "top2_valor": None, "bottom1_valor": 29.0, "bottom2_valor": None,
+    }
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(10,2)", "string", "date", "int"])
+def test_cut_keeps_what_counts(spark, kind):
+    # one group has all but a few rows; labels and values that matter are at any place
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, "500")
+    value = "date_add(date'2024-01-01', cast(id as int))" if kind == "date" else "id * 7919 % 5000"
+    df = spark.range(0, 5000, 1, 2).select(
+        F.when(F.col("id") % 1000 != 1, F.lit(0)).alias("k"),
+        F.when(F.col("id") % 2500 == 0, F.col("id").cast("string")).otherwise(F.lit("x")).alias("label"),
+        F.when(F.col("id") % 13 != 0, F.expr(f"CAST({value} AS {kind})")).alias("v"),
+    )
+    try:
+        cut = extremes.cut_extremes(df, ["k"], ["k", "label"], "v", 3)
+        assert cut.count() <= 10 * 20 and cut.exceptAll(df).isEmpty()
+        got = op.daily_extremes(df, ["k"], ["k", "label"], "v")
+        assert rows(got) == rows(op.daily_extremes_joined(df, ["k"], "v", 3, ["k", "label"], ["k"]))
+        assert got.count() == 4
+    finally:
+        spark.conf.unset(batch)
+
+
 FORMS = [op.daily_extremes, op.daily_extremes_joined]
 
 

@@ -27,17 +27,14 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_extremes_cut_groups_before_the_shuffle(spark, sf_dir, no_broadcast):
-    text = plan(registry.daily_extremes(spark, sf_dir))
-    assert text.count("WindowGroupLimit") == 4
-    assert len(re.findall(r"WindowGroupLimit.*Partial", text)) == 2
-    # one per ranked side, one for the distinct rows, one to bring those to their key
-    assert text.count("Exchange hashpartitioning") == 4
-    assert text.count("SortMergeJoin") == 1
-
-
-def test_extremes_over_the_key_need_no_join(spark, sf_dir, no_broadcast):
-    text = plan(registry.daily_extremes_lineitem(spark, sf_dir))
+@pytest.mark.parametrize(
+    "query", ["daily_extremes", "daily_extremes_lineitem", "daily_extremes_lineitem_status"]
+)
+def test_extremes_cut_batches_and_then_shuffle_and_sort_once(spark, sf_dir, no_broadcast, query):
+    text = plan(registry.queries()[query](spark, sf_dir))
+    assert text.count("FileScan") == text.count("MapInArrow cut") == 1
+    assert text.count("Exchange") == text.count("+- Sort [") == 1
+    assert text.index("Exchange") < text.index("MapInArrow cut")  # plans read from the bottom
     assert "Join" not in text
 
 
@@ -175,7 +172,7 @@ WRITING = {
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITING))
-def test_no_query_leaves_the_jvm_or_gathers_its_rows(spark, sf_dir, name):
+def test_no_query_takes_rows_to_python_one_by_one_or_gathers_them(spark, sf_dir, name):
     text = plan(registry.queries()[name](spark, sf_dir))
     for word in ("Python", "Pandas", "SinglePartition", "CartesianProduct"):
         assert word not in text
