@@ -14,7 +14,13 @@ from stationlake.operators.extremes import (
     daily_sensor_dims,
 )
 from stationlake.operators.landing import flatten_payload, landed_counts
-from stationlake.operators.merge import days_met, merge_insert_only, replace_days, split_valid
+from stationlake.operators.merge import (
+    days_met,
+    merge_insert_only,
+    replace_days,
+    rows_met,
+    split_valid,
+)
 from stationlake.operators.ranking import first_k, rank_asc, rank_desc
 from stationlake.operators.windows import event_day_window, ingestion_window, rolling_interval
 
@@ -38,6 +44,7 @@ __all__ = [
     "rank_desc",
     "replace_days",
     "rolling_interval",
+    "rows_met",
     "split_valid",
     "tag_ingestion",
 ]

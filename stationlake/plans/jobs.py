@@ -172,7 +172,8 @@ def run_silver(
     met = days_met(bronze, day_key("datetime"))
     if met is not None:
         target = target.where(met)
-    fresh = merge_insert_only(target, batch, READING_KEYS)
+    read = bronze.select(F.col("sensors_id").alias("id_sensor"), F.col("datetime").alias("data_hora"))
+    fresh = merge_insert_only(target, batch, READING_KEYS, read)
     append_days(fresh, cfg.silver_path, order=READING_KEYS)
 
 
@@ -206,5 +207,5 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
         return
     # the batch lies in the window, so no other day of gold can hold its keys
     target = window(read_table(spark, cfg.gold_path, gold_schema(cfg.k)))
-    fresh = merge_insert_only(target, batch, GOLD_KEYS)
+    fresh = merge_insert_only(target, batch, GOLD_KEYS, silver.select(*GOLD_KEYS))
     append_days(fresh, cfg.gold_path, order=["id_sensor"])

@@ -348,6 +348,12 @@ SELECT * FROM readings
 WHERE datetime BETWEEN TIMESTAMP '2024-01-27 00:00:00' AND TIMESTAMP '2024-01-30 10:00:00'""",
         "merge_insert_only": _with(READINGS, REPEATS, _MERGE_SIDES)
         + _merged("target", "source", ("anomesdia", "id_sensor", "data_hora")),
+        "merge_insert_only_pruned": _with(READINGS, REPEATS, _MERGE_SIDES)
+        + """
+SELECT * FROM all_rows b
+WHERE data_ingestao >= DATE '2024-01-28' AND NOT EXISTS (
+  SELECT 1 FROM all_rows t
+  WHERE t.id_sensor % 5 <> 0 AND t.id_sensor = b.id_sensor AND t.data_hora = b.data_hora)""",
         "merge_insert_only_gold": _with(READINGS, SILVER, _extremes_joined("silver"), gold_sides)
         + _merged("early", "late", ("anomesdia", "id_localizacao", "id_sensor")),
         "split_valid": _with(READINGS, REPEATS, _MERGE_SIDES)

@@ -236,6 +236,14 @@ def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
     return target.unionByName(op.merge_insert_only(target, source, READING_KEYS))
 
 
+def merge_insert_only_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    # the other way round: a batch of three days against all readings
+    silver = _some_timeless(spark, sf)
+    batch = silver.where(F.col("data_ingestao") >= F.lit(date(2024, 1, 28)))
+    target = silver.where("id_sensor % 5 <> 0")
+    return op.merge_insert_only(target, batch, READING_KEYS, batch.select(*READING_KEYS))
+
+
 def merge_insert_only_gold(spark: SparkSession, sf: str) -> DataFrame:
     silver = src.events_as_silver(spark, sf)
     target = op.daily_extremes(silver.where(F.col("anomesdia") <= 20240115))
@@ -494,6 +502,7 @@ _QUERIES: dict[str, Query] = {
     "event_day_window": event_day_window,
     "rolling_interval": rolling_interval,
     "merge_insert_only": merge_insert_only,
+    "merge_insert_only_pruned": merge_insert_only_pruned,
     "merge_insert_only_gold": merge_insert_only_gold,
     "split_valid": split_valid,
     "replace_days": replace_days,

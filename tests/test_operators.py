@@ -546,3 +546,34 @@ def test_flatten_payload(spark):
 def test_landed_counts(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "location_id BIGINT")
     assert rows(op.landed_counts(df)) == Counter([(1, 2), (2, 1)])
+
+
+def test_only_met_rows_of_the_target_are_shuffled(spark):
+    # a batch of 300 keys, some NULL or repeated, against a large target
+    target = spark.range(0, 200_000, 1, 4).select(
+        F.when(F.col("id") % 11 != 0, F.col("id")).alias("k"),
+        F.concat(F.lit("t"), F.col("id") % 3).alias("a.b"),
+        F.lit(1).alias("bits"),
+    )
+    batch = spark.range(0, 400_000, 1000).select(
+        F.when(F.col("id") % 7000 != 0, F.col("id")).alias("k"),
+        F.concat(F.lit("t"), F.col("id") % 3).alias("a.b"),
+        F.lit(2).alias("bits"),
+    )
+    batch = batch.unionByName(batch.limit(20))
+    keys = ["k", "a.b"]
+    met = op.rows_met(target, batch, keys)
+    possible = target.join(batch.dropDuplicates(keys), keys, "left_semi")
+    assert possible.exceptAll(met).isEmpty() and met.exceptAll(target).isEmpty()
+    assert 100 < possible.count() <= met.count() < possible.count() + 100
+    plain = op.merge_insert_only(target, batch, keys)
+    pruned = op.merge_insert_only(target, batch, keys, batch.select(*[f"`{k}`" for k in keys]))
+    assert rows(pruned) == rows(plain) and pruned.count() > 200
+    # hashes of other types, or of -0.0, would differ where the join finds keys equal
+    other = batch.withColumn("k", F.col("k").cast("int"))
+    assert rows(op.merge_insert_only(target, other, keys, other)) == rows(plain)
+    zero = spark.sql("SELECT 0.0D AS k")
+    assert op.merge_insert_only(zero, spark.sql("SELECT -0.0D AS k"), ["k"], zero).count() == 0
+    none = batch.where("false")
+    assert op.rows_met(target, none, keys).count() == 0
+    assert op.merge_insert_only(target, none, keys, none).count() == 0

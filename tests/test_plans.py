@@ -68,6 +68,15 @@ def test_merge_is_one_anti_join(spark, no_broadcast):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_target_rows_are_looked_up_in_bitmaps_before_the_shuffle(spark, sf_dir, no_broadcast):
+    text = plan(registry.merge_insert_only_pruned(spark, sf_dir))
+    exchanges = [m.start() for m in re.finditer("Exchange hashpartitioning", text)]
+    bitmaps = text.index("BroadcastHashJoin")
+    # the source's dedupe and the target's filter: below the target's exchange is the bitmap join
+    assert text.count("LeftAnti") == 1 and text.count("bitmap_construct_agg") >= 2
+    assert any(e < bitmaps for e in exchanges) and text.index("LeftAnti") < bitmaps
+
+
 def test_silver_merge_keeps_the_partitioning_of_the_dedupe(spark, sf_dir):
     bronze = src.events_with_repeats(spark, sf_dir)
     batch = jobs.silver_batch(bronze, registry.CONFIG)
