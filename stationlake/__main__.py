@@ -11,7 +11,7 @@ from dataclasses import fields
 from datetime import datetime
 
 from stationlake.config import PipelineConfig
-from stationlake.plans import jobs
+from stationlake.plans import incremental, jobs
 from stationlake.session import build_session
 
 JOBS = {
@@ -20,6 +20,7 @@ JOBS = {
     "history": jobs.run_bronze_history,
     "silver": jobs.run_silver,
     "gold": jobs.run_gold,
+    "incremental": incremental.run_incremental_job,
 }
 
 

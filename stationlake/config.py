@@ -30,6 +30,8 @@ class PipelineConfig:
     gold_path: str = ""
     # rows with a NULL key go here; without it they are inserted again at every run
     quarantine_path: str = ""
+    # what earlier runs have done; without it history is loaded anew at every run
+    ledger_path: str = ""
     # stations to land; all in the payload, if none is given
     location_ids: tuple[int, ...] = ()
     # catalog table over bronze_path: told about new partitions, and read by silver
@@ -37,6 +39,9 @@ class PipelineConfig:
     # tables of a format with row-level changes; they take the place of the paths
     silver_table: str | None = None
     gold_table: str | None = None
+    # a catalog table of files that takes the place of silver_path, bucketed by the merge's key
+    silver_bucketed: str | None = None
+    silver_buckets: int = 64
     timezone: str = ZONE
     days_back: int = 3
     silver_days: int = 3
@@ -45,12 +50,15 @@ class PipelineConfig:
     polluted_id: int = POLLUTED_ID
     polluted_keep: tuple[str, ...] = POLLUTED_KEEP
     normalise_parameter: bool = False
-    # "insert_only" freezes a day at its first gold run; "replace_days" recomputes the window
+    # "insert_only" freezes a day at its first gold run; "replace_days" recomputes the window;
+    # "changed_days" recomputes the days that silver has touched since, which takes a ledger
     gold_mode: str = "insert_only"
 
     def __post_init__(self) -> None:
-        if self.gold_mode not in ("insert_only", "replace_days"):
+        if self.gold_mode not in ("insert_only", "replace_days", "changed_days"):
             raise ValueError(f"unknown gold_mode: {self.gold_mode}")
+        if self.gold_mode == "changed_days" and not (self.ledger_path and self.gold_path):
+            raise ValueError("changed_days takes a ledger_path and a gold_path")
 
     @classmethod
     def now(cls, timezone: str = ZONE, **kwargs) -> PipelineConfig:

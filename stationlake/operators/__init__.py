@@ -1,7 +1,9 @@
 """Operators: functions from DataFrames to DataFrames, without I/O of their own."""
 
+from stationlake.operators.checks import observe_readings, observed_counts
 from stationlake.operators.conform import (
     canonical_station,
+    canonical_station_as_of,
     conform_readings,
     describe_parameter,
     filter_polluted_id,
@@ -13,7 +15,11 @@ from stationlake.operators.extremes import (
     daily_extremes_joined,
     daily_sensor_dims,
 )
-from stationlake.operators.landing import flatten_payload, landed_counts
+from stationlake.operators.landing import (
+    flatten_drifting_payload,
+    flatten_payload,
+    landed_counts,
+)
 from stationlake.operators.merge import (
     days_met,
     merge_insert_only,
@@ -26,6 +32,7 @@ from stationlake.operators.windows import event_day_window, ingestion_window, ro
 
 __all__ = [
     "canonical_station",
+    "canonical_station_as_of",
     "conform_readings",
     "daily_extremes",
     "daily_extremes_joined",
@@ -36,10 +43,13 @@ __all__ = [
     "event_day_window",
     "filter_polluted_id",
     "first_k",
+    "flatten_drifting_payload",
     "flatten_payload",
     "ingestion_window",
     "landed_counts",
     "merge_insert_only",
+    "observe_readings",
+    "observed_counts",
     "rank_asc",
     "rank_desc",
     "replace_days",

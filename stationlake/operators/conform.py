@@ -81,6 +81,40 @@ def canonical_station(
     return _lookup(df, entries, F.col(quoted(id_col)), F.col(quoted(name_col)), name_col)
 
 
+def canonical_station_as_of(
+    df: DataFrame,
+    names: DataFrame,
+    id_col: str = "location_id",
+    name_col: str = "location",
+    time_col: str = "datetime",
+) -> DataFrame:
+    """Replace the raw name by the one that was valid at the time of the reading.
+
+    ``names`` have ``station_id, station_name, valid_from``; a name is valid until the station's
+    next one, and of names from one time the least counts. Earlier readings, and those without a
+    time, keep their name.
+
+    The names of a station are gathered into one sorted array, so the join is on the id alone and
+    finds one row for each reading: nothing is paired by range. Spark broadcasts the arrays or
+    splits a hot station, as in ``canonical_station``.
+    """
+    key, text = (unused(n, *df.columns) for n in ("key", "text"))
+    dated = names.where("station_id IS NOT NULL AND valid_from IS NOT NULL").groupBy(
+        F.col("station_id").alias("key"), "valid_from"
+    )
+    dated = dated.agg(F.min("station_name").alias("station_name"))
+    grouped = dated.groupBy("key", F.hash("key").alias("hash")).agg(
+        F.sort_array(F.collect_list(F.struct("valid_from", "station_name"))).alias("text")
+    )
+    joined = df.join(
+        grouped.select("key", "text").toDF(key, text), F.col(quoted(id_col)) == F.col(key), "left"
+    )
+    time = F.col(quoted(time_col))
+    valid = F.filter(F.col(text), lambda name: name["valid_from"] <= time)
+    named = F.coalesce(F.get(valid, F.size(valid) - 1)["station_name"], F.col(quoted(name_col)))
+    return joined.withColumn(name_col, named).drop(key, text)
+
+
 def describe_parameter(
     df: DataFrame,
     parameters: Parameters = PARAMETERS,

@@ -176,6 +176,20 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
+_SILVER_COLUMNS = """location_id AS id_localizacao, sensors_id AS id_sensor,
+       location AS localizacao, datetime AS data_hora, lat AS latitude, lon AS longitude,
+       parameter AS parametro, parameter AS parametro_descricao, units AS unidade,
+       value AS valor, tipo_ingestao, CAST(strftime(datetime, '%Y%m%d') AS INTEGER) AS anomesdia"""
+
+_SILVER_TWICE = _with(READINGS) + """
+SELECT location_id AS id_localizacao, sensors_id AS id_sensor, location AS localizacao,
+       datetime AS data_hora, lat AS latitude, lon AS longitude, parameter AS parametro,
+       parameter AS parametro_descricao, units AS unidade,
+       CASE WHEN data_ingestao <= DATE '2024-01-15' THEN value ELSE value + 1e0 END AS valor,
+       tipo_ingestao, CAST(strftime(datetime, '%Y%m%d') AS INTEGER) AS anomesdia, data_ingestao
+FROM readings WHERE location_id <> 7 OR location IN ('L7')"""
+
+
 def _rank(direction: str, name: str) -> str:
     return (
         _with(READINGS, SILVER)
@@ -315,6 +329,19 @@ replaced AS (
         + """
 SELECT event_id, location_id, coalesce(n_name, location) AS location
 FROM readings LEFT JOIN nation ON location_id = n_nationkey""",
+        "canonical_station_as_of": _with(
+            READINGS,
+            """
+names AS (
+  SELECT n_nationkey AS station_id, n_name || ' ' || number AS station_name,
+         make_timestamp(2024, 1, 8 * number, 6, 0, 0) AS valid_from
+  FROM nation, (VALUES (1), (2), (3)) numbers(number) WHERE number <= 2 + n_nationkey % 2
+)""",
+        )
+        + """
+SELECT event_id, location_id, coalesce(station_name, location) AS location
+FROM readings ASOF LEFT JOIN names
+  ON location_id = station_id AND datetime >= valid_from""",
         "describe_parameter": _with(READINGS)
         + f" SELECT event_id, parameter, {_DESCRIPTION} AS parametro_descricao FROM readings",
         "filter_polluted_id": _with(READINGS, _foreign("readings"))
@@ -387,6 +414,9 @@ FROM readings""",
         "landed_counts": _with(READINGS)
         + " SELECT location_id, count(*) AS n_rows FROM readings GROUP BY location_id",
         "flatten_payload": f"{_FLAT} SELECT {_FLAT_COLUMNS} FROM rows WHERE event_id % 19 <> 0",
+        "flatten_drifting_payload": f"""{_FLAT}
+SELECT {_FLAT_COLUMNS}, event_id % 5 = 0 AND value IS NOT NULL AS flag
+FROM rows WHERE event_id % 19 <> 0""",
         "jobs_landing_counts": f"""{_FLAT}
 SELECT location_id, count(*) AS n_rows
 FROM (SELECT {_STATIONS} FROM rows WHERE {_RECENT}) GROUP BY 1""",
@@ -420,14 +450,42 @@ FROM picked""",
             _extremes_joined("conformed"),
         )
         + _GOLD,
-        "jobs_silver_twice": _with(READINGS)
-        + """
-SELECT location_id AS id_localizacao, sensors_id AS id_sensor, location AS localizacao,
-       datetime AS data_hora, lat AS latitude, lon AS longitude, parameter AS parametro,
-       parameter AS parametro_descricao, units AS unidade,
-       CASE WHEN data_ingestao <= DATE '2024-01-15' THEN value ELSE value + 1e0 END AS valor,
-       tipo_ingestao, CAST(strftime(datetime, '%Y%m%d') AS INTEGER) AS anomesdia, data_ingestao
-FROM readings WHERE location_id <> 7 OR location IN ('L7')""",
+        "jobs_silver_twice": _SILVER_TWICE,
+        "jobs_silver_bucketed": _SILVER_TWICE,
+        "tag_ingestion_today": _with(READINGS)
+        + f" SELECT {LANDING}, 'api' AS tipo_ingestao, 0 AS age FROM readings",
+        "daily_extremes_sql": _with(
+            READINGS,
+            SILVER,
+            "late AS (SELECT * FROM silver WHERE anomesdia >= 20240128)",
+            _extremes_joined("late"),
+        )
+        + _GOLD,
+        "jobs_changed_days": _with(
+            READINGS,
+            SILVER,
+            """
+own AS (
+  SELECT * REPLACE (parametro AS parametro_descricao)
+  FROM silver WHERE id_localizacao <> 7 OR localizacao IN ('L7')
+)""",
+            _extremes_joined("own"),
+        )
+        + _GOLD,
+        "jobs_incremental": _with(READINGS)
+        + f"""
+SELECT * REPLACE ('api' AS tipo_ingestao) FROM (SELECT {_SILVER_COLUMNS}, data_ingestao
+FROM readings
+WHERE data_ingestao BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'
+  AND (location_id <> 7 OR location IN ('L7')))""",
+        "jobs_rejected": """
+SELECT 'api' AS kind, count(*) FILTER (event_id % 10 <> 0) AS n, true AS good FROM events
+UNION ALL
+SELECT 'api', count(*) FILTER (event_id % 10 = 0), false FROM events
+UNION ALL
+SELECT 'historico_csv', count(*) FILTER (event_id % 15 <> 0), true FROM events
+UNION ALL
+SELECT 'historico_csv', count(*) FILTER (event_id % 15 = 0), false FROM events""",
         "bronze_window": _with(READINGS)
         + f" SELECT {BRONZE} FROM readings WHERE data_ingestao >= DATE '2024-01-28'",
     }

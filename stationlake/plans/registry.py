@@ -14,7 +14,7 @@ from stationlake import operators as op
 from stationlake.config import PipelineConfig
 from stationlake.functions import day_key
 from stationlake.operators.conform import API, HISTORY
-from stationlake.plans import jobs
+from stationlake.plans import extremes_sql, incremental, jobs
 from stationlake.schemas import (
     BRONZE,
     BRONZE_COLUMNS,
@@ -23,6 +23,7 @@ from stationlake.schemas import (
     LANDING_NTZ,
     READING_KEYS,
     SILVER,
+    SILVER_COLUMNS,
     gold_schema,
 )
 from stationlake.session import materialise, scratch_path
@@ -62,6 +63,12 @@ def daily_extremes_joined(spark: SparkSession, sf: str) -> DataFrame:
     return op.daily_extremes_joined(src.events_as_silver(spark, sf))
 
 
+def daily_extremes_sql(spark: SparkSession, sf: str) -> DataFrame:
+    name = _name("silver")
+    src.events_as_silver(spark, sf).createOrReplaceTempView(name)
+    return extremes_sql.daily_extremes_sql(spark, name, 20240128)
+
+
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     return src.table(spark, sf, "lineitem").withColumn(
         "ship_month", F.year("l_shipdate") * 100 + F.month("l_shipdate")
@@ -137,6 +144,13 @@ def canonical_station(spark: SparkSession, sf: str) -> DataFrame:
     return op.canonical_station(readings, src.nations_as_stations(spark, sf))
 
 
+def canonical_station_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    readings = src.events_as_readings(spark, sf)
+    columns = ["event_id", "location_id", "location", "datetime"]
+    names = src.nations_as_dated_stations(spark, sf)
+    return op.canonical_station_as_of(readings.select(*columns), names).select(*columns[:3])
+
+
 def describe_parameter(spark: SparkSession, sf: str) -> DataFrame:
     readings = src.events_as_readings(spark, sf).select("event_id", "parameter")
     return op.describe_parameter(readings, EVENT_PARAMETERS)
@@ -281,6 +295,13 @@ def tag_ingestion(spark: SparkSession, sf: str) -> DataFrame:
     return op.tag_ingestion(readings, HISTORY, RUN_DATE)
 
 
+def tag_ingestion_today(spark: SparkSession, sf: str) -> DataFrame:
+    readings = src.events_as_readings(spark, sf).select("event_id", *LANDING_COLUMNS)
+    tagged = op.tag_ingestion(readings, API)
+    age = F.date_diff(F.current_date(), "data_ingestao")
+    return tagged.withColumn("age", age).drop("data_ingestao")
+
+
 def landed_counts(spark: SparkSession, sf: str) -> DataFrame:
     return op.landed_counts(src.events_as_readings(spark, sf))
 
@@ -289,6 +310,12 @@ def flatten_payload(spark: SparkSession, sf: str) -> DataFrame:
     return op.flatten_payload(src.events_as_payload(spark, sf))
 
 
+def flatten_drifting_payload(spark: SparkSession, sf: str) -> DataFrame:
+    flat = op.flatten_drifting_payload(src.events_as_drifting_payload(spark, sf))
+    flag = F.try_variant_get("measurement", "$.flag.ok", "boolean")
+    return flat.withColumn("flag", F.coalesce(flag, F.lit(False))).drop("measurement")
+
+
 def landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "landing")
     write_landing(src.events_as_readings(spark, sf), path, RUN_DATE)
@@ -383,6 +410,80 @@ def jobs_silver_twice(spark: SparkSession, sf: str) -> DataFrame:
     return silver.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
 
 
+def jobs_silver_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    # jobs_silver_twice into a table that the merge need not shuffle
+    cfg = replace(_lake(spark), silver_bucketed=_name("silver"), silver_buckets=8)
+    bronze = _zoned(src.events_as_readings(spark, sf)).select(*BRONZE_COLUMNS)
+    early = bronze.where(F.col("data_ingestao") <= F.lit(date(2024, 1, 15)))
+    for load in (early, bronze.withColumn("value", F.col("value") + F.lit(1.0))):
+        write_bronze_day(load, cfg.bronze_path)
+        jobs.run_silver(spark, cfg, {}, {})
+    silver = spark.table(cfg.silver_bucketed).select(*SILVER_COLUMNS)
+    return silver.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
+
+
+def jobs_changed_days(spark: SparkSession, sf: str) -> DataFrame:
+    # all but the readings of every tenth sensor, then all: gold follows what silver has touched
+    root = _lake(spark)
+    cfg = replace(root, ledger_path=scratch_path(spark, "ledger"), gold_mode="changed_days")
+    bronze = _zoned(src.events_as_readings(spark, sf)).select(*BRONZE_COLUMNS)
+    for load in (bronze.where("sensors_id % 10 <> 0 OR sensors_id IS NULL"), bronze):
+        write_bronze_day(load, cfg.bronze_path)
+        jobs.run_silver(spark, cfg, {}, {})
+        jobs.run_gold(spark, cfg)
+    return read_table(spark, cfg.gold_path, gold_schema())
+
+
+def jobs_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    # three ingestion days are landed, brought, and joined by two more and a late file of the first
+    cfg = _lake(spark)
+    readings = _zoned(src.events_as_readings(spark, sf))
+    checkpoint = scratch_path(spark, "checkpoint")
+
+    def land(day: int, rows: DataFrame) -> None:
+        own = rows.where(F.col("data_ingestao") == F.lit(date(2024, 1, day)))
+        write_landing(own, cfg.landing_path, date(2024, 1, day))
+
+    late = F.coalesce(F.col("location_id"), F.lit(0)) % 10 == 3
+    for first in (True, False):
+        for day in (10, 11, 12) if first else (13, 14):
+            land(day, readings.where(~late) if day == 10 else readings)
+        if not first:
+            land(10, readings.where(late))
+        incremental.run_incremental(spark, cfg, checkpoint, {}, {}, at_a_time=100)
+    silver = read_table(spark, cfg.silver_path, SILVER)
+    return silver.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz"))
+
+
+def jobs_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    # records that do not fit, in the landing and in history files, and the files of one load twice
+    cfg = replace(
+        _lake(spark), history_path=scratch_path(spark, "history"),
+        quarantine_path=scratch_path(spark, "quarantine"), ledger_path=scratch_path(spark, "ledger"),
+    )
+    events = src.table(spark, sf, "events").select("event_id")
+    whole = "concat(id, ',1,here,2024-01-29T00:00:00Z,1.5,2.5,p,u,', id)"
+    bad = "CASE id % 30 WHEN 0 THEN concat(id, ',x') WHEN 15 THEN replace({0}, '1.5', 'far') ELSE {0} END"
+    csv = events.selectExpr("event_id AS id").selectExpr(f"{bad.format(whole)} AS value")
+    header = spark.createDataFrame([(",".join(LANDING_COLUMNS),)], "value string")
+    header.unionByName(csv).coalesce(1).sortWithinPartitions(F.col("value").startswith("location_id").desc()).write.text(cfg.history_path)
+    line = "concat('{\"location_id\": ', id, ', \"value\": ', id, '}')"
+    bad = "CASE id % 20 WHEN 0 THEN concat('{{', id) WHEN 10 THEN replace({0}, '}}', 'e}}') ELSE {0} END"
+    json = events.selectExpr("event_id AS id").selectExpr(f"{bad.format(line)} AS value")
+    json.write.text(f"{cfg.landing_path}/ingestion_date={cfg.run_date}")
+    jobs.run_bronze_daily(spark, cfg)
+    for _ in range(2):
+        jobs.run_bronze_history(spark, cfg)
+    good = read_bronze_window(spark, cfg.bronze_path, cfg.run_date, 1)
+    aside = [
+        spark.read.parquet(f"{cfg.quarantine_path}/{name}").select(F.lit(kind).alias("kind"), "record")
+        for name, kind in (("landing", API), ("history", HISTORY))
+    ]
+    counts = good.groupBy(F.col("tipo_ingestao").alias("kind")).agg(F.count("value").alias("n"))
+    rejected = aside[0].unionByName(aside[1]).groupBy("kind").agg(F.count("record").alias("n"))
+    return counts.withColumn("good", F.lit(True)).unionByName(rejected.withColumn("good", F.lit(False)))
+
+
 def silver_window(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "silver")
     silver = src.events_as_silver(spark, sf).drop("event_id")
@@ -524,6 +625,14 @@ _QUERIES: dict[str, Query] = {
     "jobs_landing_to_bronze": jobs_landing_to_bronze,
     "jobs_history": jobs_history,
     "jobs_gold_replace_days": jobs_gold_replace_days,
+    "canonical_station_as_of": canonical_station_as_of,
+    "flatten_drifting_payload": flatten_drifting_payload,
+    "tag_ingestion_today": tag_ingestion_today,
+    "daily_extremes_sql": daily_extremes_sql,
+    "jobs_silver_bucketed": jobs_silver_bucketed,
+    "jobs_changed_days": jobs_changed_days,
+    "jobs_incremental": jobs_incremental,
+    "jobs_rejected": jobs_rejected,
 }
 
 

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationlake.operators.windows import event_day_window, ingestion_window
 from stationlake.schemas import BRONZE, BRONZE_COLUMNS, LANDING, PAYLOAD, SILVER
@@ -38,6 +39,58 @@ def read_history_csv(spark: SparkSession, path: str, schema: str = LANDING) -> D
     return spark.read.schema(schema).options(**options).csv(path)
 
 
+#: The text of a record that does not fit the schema, and the file that it is from.
+RECORD, FILE = "_record", "_file"
+
+
+def read_landing_records(
+    spark: SparkSession, path: str, day: date | str | None = None, schema: str = LANDING
+) -> DataFrame:
+    """``read_landing`` with the text of records that do not fit, and every row's file.
+
+    A line that is no JSON, or has a value of another type, has its text in ``_record``; for all
+    other rows it is NULL. Lines are parsed whole whatever columns are used later: a reader that
+    skips a column does not see what is wrong with it.
+    """
+    root = path if day is None else f"{path.rstrip('/')}/ingestion_date={day}"
+    lines = spark.read.option("recursiveFileLookup", "true").text(root)
+    options = {"columnNameOfCorruptRecord": RECORD}
+    parsed = F.from_json("value", f"{schema}, {RECORD} STRING", options).alias("parsed")
+    rows = lines.where(F.trim("value") != "").select(parsed, F.col("_metadata.file_path").alias(FILE))
+    return rows.select("parsed.*", FILE)
+
+
+def read_history_records(
+    spark: SparkSession, path: str | list[str], schema: str = LANDING
+) -> DataFrame:
+    """``read_history_csv`` with rejected records as in ``read_landing_records``.
+
+    A row with too few or too many fields, or with a value of another type, is rejected.
+    """
+    options = {
+        "header": "true", "sep": ",", "enforceSchema": "false",
+        "columnNameOfCorruptRecord": RECORD,
+    }
+    records = spark.read.schema(f"{schema}, {RECORD} STRING").options(**options).csv(path)
+    # always true, but it has Spark read and check all columns
+    whole = F.bit_count(F.xxhash64(*[c for c in records.columns if c != RECORD])) >= 0
+    return records.where(whole).select("*", F.col("_metadata.file_path").alias(FILE))
+
+
+def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the schema, and the rejected records as ``location_id, record, file``."""
+    good = records.where(F.col(RECORD).isNull()).drop(RECORD, FILE)
+    rejected = records.where(F.col(RECORD).isNotNull()).select(
+        "location_id", F.col(RECORD).alias("record"), F.col(FILE).alias("file")
+    )
+    return good, rejected
+
+
+def rejected_counts(rejected: DataFrame) -> DataFrame:
+    """``file, n_rejected`` of the files with rejected records."""
+    return rejected.groupBy("file").agg(F.count("record").alias("n_rejected"))
+
+
 def read_bronze_window(
     spark: SparkSession, path: str, run_date: date, days: int, schema: str = BRONZE
 ) -> DataFrame:
@@ -67,10 +120,3 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             return empty
         raise
-
-
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a folder is there."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)

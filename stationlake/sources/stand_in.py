@@ -96,6 +96,18 @@ def nations_as_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nations_as_dated_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two or three names, one after the other, for the stations 0 to 24."""
+    nation = table(spark, sf_dir, "nation")
+    number = F.explode(F.sequence(F.lit(1), 2 + F.col("n_nationkey") % 2)).alias("number")
+    start = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.col("number") * 8, F.lit(6), F.lit(0), F.lit(0))
+    return nation.select("*", number).select(
+        F.col("n_nationkey").cast("bigint").alias("station_id"),
+        F.concat("n_name", F.lit(" "), "number").alias("station_name"),
+        start.alias("valid_from"),
+    )
+
+
 def events_as_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested payload per event: two sensors, the first with two measurements.
 
@@ -154,3 +166,13 @@ def with_foreign_site(readings: DataFrame, station: int = 7) -> DataFrame:
         .when(here & (odd == 2), F.lit(None))
         .otherwise(F.col("location")),
     )
+
+
+def events_as_drifting_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads as text: values of every fourth are text, and every fifth has a new field."""
+    payload = events_as_payload(spark, sf_dir)
+    text = F.to_json(F.struct(*payload.columns))
+    retyped = F.regexp_replace(text, '"value":([-0-9.E]+)', '"value":"$1"')
+    text = F.when(F.col("id") % 4 == 0, retyped).otherwise(text)
+    flagged = F.regexp_replace(text, '"value":', '"flag":{"ok":true},"value":')
+    return payload.select(F.when(F.col("id") % 5 == 0, flagged).otherwise(text).alias("payload"))

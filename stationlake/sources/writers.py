@@ -31,20 +31,25 @@ def _replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None
 
 
 def write_landing(
-    df: DataFrame, path: str, day: date | str, max_records_per_file: int = 5_000_000
+    df: DataFrame,
+    path: str,
+    day: date | str,
+    max_records_per_file: int = 5_000_000,
+    check: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Gzipped NDJSON below ``ingestion_date=<day>/station=<id>/``.
 
     A station has one file unless it is large: gzip cannot be split on reading, so big stations
-    are cut into several. Stations without rows keep what they had.
+    are cut into several. Stations without rows keep what they had. ``check`` may observe the
+    rows as they are written.
     """
+    rows = df.select(
+        *LANDING_COLUMNS,
+        F.lit(str(day)).alias("ingestion_date"),
+        F.col("location_id").alias("station"),
+    ).hint("rebalance", F.col("station"))
     (
-        df.select(
-            *LANDING_COLUMNS,
-            F.lit(str(day)).alias("ingestion_date"),
-            F.col("location_id").alias("station"),
-        )
-        .hint("rebalance", F.col("station"))
+        check(rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
@@ -71,6 +76,12 @@ def append_history(df: DataFrame, path: str) -> None:
     _bronze_files(df).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
 
 
+def set_aside(rows: DataFrame, path: str, run_date: date) -> None:
+    """Replace what a run put into a quarantine; without rows nothing of that run remains."""
+    remove_partitions(rows.sparkSession, path, "run_date", [run_date])
+    overwrite_days(rows.withColumn("run_date", F.lit(run_date)), path, "run_date")
+
+
 def register_partition(spark: SparkSession, table: str, day: date | str, kind: str) -> None:
     """Tell the catalog about a partition written by path; harmless if it is known already."""
     day = date.fromisoformat(str(day))
@@ -90,10 +101,34 @@ def _by_day(df: DataFrame, day: str, order: Sequence[str]) -> DataFrame:
 
 
 def append_days(
-    df: DataFrame, path: str, day: str = "anomesdia", order: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    day: str = "anomesdia",
+    order: Sequence[str] = (),
+    check: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Append to a table partitioned by day; ``check`` may observe the rows as they are written."""
+    check(_by_day(df, day, order)).write.mode("append").partitionBy(day).parquet(path)
+
+
+def append_bucketed(
+    df: DataFrame, table: str, keys: Sequence[str], buckets: int, day: str = "anomesdia"
 ) -> None:
-    """Append to a table partitioned by day."""
-    _by_day(df, day, order).write.mode("append").partitionBy(day).parquet(path)
+    """Append to a catalog table of files, partitioned by day and bucketed by ``keys``.
+
+    A join of the table on ``keys`` needs no shuffle of the table. Each day has a file per bucket
+    and append; ``buckets`` follow the rows of a day's largest batch. The table is made by the
+    first append.
+    """
+    (
+        df.repartition(buckets, *map(F.col, keys))
+        .write.mode("append")
+        .format("parquet")
+        .partitionBy(day)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
 
 
 def merge_catalog_table(

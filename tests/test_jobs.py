@@ -3,16 +3,26 @@
 import json
 import os
 from collections import Counter
+from dataclasses import replace
 from datetime import date, datetime
 from zoneinfo import ZoneInfo
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from stationlake import PipelineConfig
-from stationlake.plans import jobs
-from stationlake.schemas import BRONZE, GOLD_KEYS, READING_KEYS, SILVER, SILVER_COLUMNS, gold_schema
-from stationlake.sources import read_bronze_window, read_table
+from stationlake.operators import checks
+from stationlake.plans import incremental, jobs
+from stationlake.schemas import (
+    BRONZE,
+    GOLD_KEYS,
+    LANDING,
+    READING_KEYS,
+    SILVER,
+    SILVER_COLUMNS,
+    gold_schema,
+)
+from stationlake.sources import read_bronze_window, read_table, write_landing
 
 ZONE = ZoneInfo("America/Sao_Paulo")
 
@@ -330,3 +340,102 @@ def test_silver_reads_the_registered_bronze_table(spark, lake, view):
     jobs.run_silver(spark, cfg)
     assert silver(spark, lake).count() == 5
     spark.sql(f"DROP TABLE {view}")
+
+
+def test_landing_is_checked_as_it_is_written(spark, lake, monkeypatch):
+    none = {"period": None, "parameter": None, "value": 1.0}
+    payload(
+        lake,
+        station(820321, "x", (1, HOURS), (None, HOURS[:2])),
+        station(820321, "another name", (3, [none])),
+        station(77, "unlisted", (7, HOURS[:2])),
+        station(None, "nowhere", (8, HOURS[:1])),
+    )
+    monkeypatch.setattr(jobs, "read_landing", None)  # nothing is read again
+    counts, seen = jobs.land(spark, config(lake))
+    assert {r.location_id: r.n_rows for r in counts.collect()} == {820321: 8, 77: 2, None: 1}
+    assert seen == {"n_rows": 11, "n_null_keys": 3, "n_no_station": 1, "n_unlisted": 2, "n_two_names": 1}
+
+
+def test_more_stations_than_the_check_tells_apart(spark, lake, monkeypatch):
+    monkeypatch.setattr(checks, "STATIONS_AT_MOST", 3)
+    payload(lake, *[station(i, "x", (i, HOURS[: i + 1])) for i in range(5)])
+    counts = {r.location_id: r.n_rows for r in jobs.run_landing(spark, config(lake)).collect()}
+    assert counts == {i: min(i + 1, 5) for i in range(5)}
+
+
+def test_late_readings_reach_gold_by_changed_days(spark, lake, tmp_path):
+    ledger = {"ledger_path": str(tmp_path / "ledger"), "gold_mode": "changed_days", "gold_days": 1}
+    days = [measured(f"2024-01-{d}T05:00:00-03:00", float(d)) for d in range(27, 31)]
+    payload(lake, station(820321, "x", (1, days)))
+    run_all(spark, config(lake, 30, **ledger))
+    written = {r.anomesdia: r.f for r in gold_files(spark, lake)}
+    assert sorted(written) == [20240127, 20240128, 20240129, 20240130]
+    # a reading three days back, out of gold's window
+    payload(lake, station(820321, "x", (1, [measured("2024-01-28T22:00:00-03:00", 99.0)])))
+    run_all(spark, config(lake, 31, **ledger))
+    tops = {r.anomesdia: r.top1_valor for r in gold(spark, lake).collect()}
+    assert tops == {20240127: 27.0, 20240128: 99.0, 20240129: 29.0, 20240130: 30.0}
+    again = {r.anomesdia: r.f for r in gold_files(spark, lake)}
+    assert [d for d in again if again[d] != written[d]] == [20240128]
+    jobs.run_gold(spark, config(lake, 31, **ledger))  # nothing has changed
+    assert {r.anomesdia: r.f for r in gold_files(spark, lake)} == again
+    with pytest.raises(ValueError):
+        config(lake, gold_mode="changed_days")
+
+
+def gold_files(spark, lake):
+    rows = gold(spark, lake).selectExpr("anomesdia", "input_file_name() AS f")
+    return rows.distinct().collect()
+
+
+def test_history_is_loaded_once(spark, lake, tmp_path):
+    os.makedirs(lake["history_path"])
+    header = "location_id,sensors_id,location,datetime,lat,lon,parameter,units,value\n"
+    row = "1,{},x,2024-01-29T00:00:00Z,1.5,2.5,p,u,3.5\n"
+    files = {n: header + row.format(n) for n in "123"}
+    cfg = config(lake, ledger_path=str(tmp_path / "ledger"))
+
+    def load(*names):
+        for n in names:
+            with open(f"{lake['history_path']}/{n}.csv", "w") as out:
+                out.write(files[n[0]])
+        jobs.run_bronze_history(spark, cfg)
+        bronze = read_bronze_window(spark, lake["bronze_path"], date(2024, 1, 30), 0)
+        return sorted(r.sensors_id for r in bronze.collect())
+
+    assert load("1", "2") == [1, 2] == load()
+    assert load("1 copy", "3") == [1, 2, 3] == load("2 copy")
+
+
+@pytest.mark.parametrize("at_a_time", [2, 100])
+def test_incremental_runs_equal_the_jobs(spark, lake, tmp_path, at_a_time):
+    def landed(day, value, station=820321):
+        at = datetime(2024, 1, day, tzinfo=ZONE)
+        rows = [(station, station, "x", at.replace(hour=h), 1.0, 2.0, "p", "u", value) for h in range(3)]
+        rows.append((station + 1, 9, "y", datetime(2024, 1, 27, tzinfo=ZONE), 1.0, 2.0, "p", "u", value))
+        write_landing(spark.createDataFrame(rows, LANDING), lake["landing_path"], date(2024, 1, day))
+
+    died = []
+
+    def dies_once(spark, cfg, day, *more):
+        if day == date(2024, 1, 29) and not died:
+            died.append(jobs.run_bronze_daily(spark, replace(cfg, run_at=datetime(2024, 1, 29, 12))))
+            raise RuntimeError("killed between bronze and silver")
+        incremental.bring_day(spark, cfg, day, *more)
+
+    checkpoint = str(tmp_path / "checkpoint")
+    for days in ([28, 29], [30], [29, 31]):  # the second time, files come late for the 29th
+        for day in days:
+            landed(day, float(day), 820321 if days != [29, 31] else 55)
+        try:
+            incremental.run_incremental(spark, config(lake), checkpoint, at_a_time=at_a_time, bring=dies_once)
+        except StreamingQueryException:
+            incremental.run_incremental(spark, config(lake), checkpoint, at_a_time=at_a_time)
+    assert died
+    batch = {**lake, "bronze_path": str(tmp_path / "b"), "silver_path": str(tmp_path / "s")}
+    for day in (28, 29, 30, 31):
+        jobs.run_bronze_daily(spark, config(batch, day))
+        jobs.run_silver(spark, config(batch, day, silver_days=1))
+    ours, theirs = silver(spark, lake).collect(), silver(spark, batch).collect()
+    assert Counter(ours) == Counter(theirs) and len(ours) > 10

@@ -577,3 +577,37 @@ def test_only_met_rows_of_the_target_are_shuffled(spark):
     none = batch.where("false")
     assert op.rows_met(target, none, keys).count() == 0
     assert op.merge_insert_only(target, none, keys, none).count() == 0
+
+
+def test_names_as_of_a_time(spark):
+    names = spark.sql("""
+        SELECT * FROM VALUES (1L, 'old', timestamp'2024-01-01'), (1L, 'new', timestamp'2024-02-01'),
+          (1L, 'also new', timestamp'2024-02-01'), (2L, 'two', timestamp'2024-01-15'),
+          (NULL, 'none', timestamp'2024-01-01'), (3L, 'never', NULL) AS t(station_id, station_name, valid_from)""")
+    df = spark.sql("""
+        SELECT * FROM VALUES (1L, 'raw', timestamp'2023-12-31'), (1L, 'raw', timestamp'2024-01-01'),
+          (1L, 'raw', timestamp'2024-01-31 23:59:59'), (1L, 'raw', timestamp'2024-03-01'), (1L, 'raw', NULL),
+          (2L, NULL, timestamp'2024-01-01'), (2L, NULL, timestamp'2024-02-01'), (3L, 'raw', timestamp'2024-02-01'),
+          (NULL, 'raw', timestamp'2024-02-01') AS t(location_id, location, datetime)""")
+    df = df.withColumn("key", F.lit("k")).withColumn("text", F.lit("t"))
+    got = op.canonical_station_as_of(df, names)
+    assert got.columns == df.columns
+    assert [r.location for r in got.collect()] == ["raw", "old", "old", "also new", "raw", None, "two", "raw", "raw"]
+
+
+def test_drifting_payloads(spark):
+    def line(sensors):
+        return f'{{"id": "7", "name": "x", "coordinates": null, "more": 1, "sensors": {sensors}}}'
+
+    def measurement(value, rest=""):
+        return f'[{{"id": 5, "measurements": [{{"value": {value}, "parameter": {{"name": "p"}}{rest}}}]}}]'
+
+    values = ["1.5", '"2.5"', '"far"', "null", "[1]", "3"]
+    texts = [line(measurement(v, ', "flag": true')) for v in values]
+    texts += [line("[]"), line('"none"'), "{broken", None, line('[{"id": 1}, 3, {"measurements": 4}]')]
+    df = spark.createDataFrame([(t,) for t in texts], "payload string")
+    got = op.flatten_drifting_payload(df)
+    flag = F.try_variant_get("measurement", "$.flag", "boolean")
+    rows = got.select("location_id", "sensors_id", "lat", "datetime", "parameter", "value", flag.alias("flag")).collect()
+    assert [r.value for r in rows] == [1.5, 2.5, None, None, None, 3.0]
+    assert {tuple(r)[:5] + (r.flag,) for r in rows} == {(7, 5, None, None, "p", True)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stationlake import operators as op
 from stationlake.plans import jobs, registry
 from stationlake.schemas import BRONZE, READING_KEYS, SILVER
-from stationlake.sources import read_bronze_window, read_silver_window
+from stationlake.sources import append_bucketed, read_bronze_window, read_silver_window
 from stationlake.sources import stand_in as src
 
 
@@ -87,6 +87,19 @@ def test_silver_merge_keeps_the_partitioning_of_the_dedupe(spark, sf_dir):
     assert merged.count("Exchange hashpartitioning") == 2
 
 
+def test_a_bucketed_target_is_not_shuffled(spark, sf_dir, no_broadcast, view):
+    silver = src.events_as_silver(spark, sf_dir).drop("event_id")
+    append_bucketed(silver, view, READING_KEYS, 8)
+    bronze = src.events_with_repeats(spark, sf_dir)
+    batch = jobs.silver_batch(bronze, registry.CONFIG).where("anomesdia >= 20240128")
+    target = spark.table(view).where("anomesdia >= 20240128")
+    text = plan(op.merge_insert_only(target, batch, READING_KEYS))
+    # the one exchange is that of the batch's dedupe, which has as many partitions
+    assert text.count("LeftAnti") == text.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in text
+    spark.sql(f"DROP TABLE {view}")
+
+
 @pytest.mark.parametrize("hot", ["CAST(NULL AS BIGINT)", "CAST(7 AS BIGINT)"])
 def test_merge_splits_a_hot_source_key(spark, no_broadcast, hot):
     settings = {
@@ -176,7 +189,8 @@ WRITING = {
     "landing_roundtrip", "history_csv_roundtrip", "bronze_rerun_idempotent", "bronze_window",
     "gold_from_silver", "jobs_bronze_to_gold", "jobs_silver_twice", "silver_window",
     "bronze_window_table", "jobs_landing_counts", "jobs_landing_to_bronze", "jobs_history",
-    "jobs_gold_replace_days",
+    "jobs_gold_replace_days", "jobs_silver_bucketed", "jobs_changed_days", "jobs_incremental",
+    "jobs_rejected",
 }
 
 

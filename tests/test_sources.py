@@ -11,6 +11,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from stationlake import sources as src
 from stationlake.operators import tag_ingestion
 from stationlake.schemas import BRONZE_COLUMNS, LANDING, LANDING_COLUMNS
 from stationlake.sources import (
@@ -246,3 +247,69 @@ def test_a_history_header_in_another_order_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text(f"{names}\n1,2,x,2020-05-01T01:00:00-03:00,1,2,o3,u,1\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_history_csv(spark, str(tmp_path)).collect()
+
+
+LINES = [
+    '{"location_id": 1, "sensors_id": 2, "location": "x", "datetime": "2024-01-29T00:00:00Z", "value": 1.5}',
+    "{broken",
+    "",
+    '{"location_id": 2, "value": "far"}',
+    '{"location_id": 3, "value": 2.5, "more": [1]}',
+    '{"location_id": "three"}',
+    "[]",
+    "null",
+]
+
+
+def test_records_that_do_not_fit_are_set_aside(spark, tmp_path):
+    day = tmp_path / "landing/ingestion_date=2024-01-30/station=1"
+    day.mkdir(parents=True)
+    (day / "a.json").write_text("\n".join(LINES))
+    (day / "b.json").write_text(LINES[0] + "\n" + LINES[1])
+    records = src.read_landing_records(spark, str(tmp_path / "landing"), date(2024, 1, 30))
+    good, rejected = src.split_records(records)
+    assert good.columns == LANDING_COLUMNS
+    assert sorted(r.location_id for r in good.select("location_id").collect()) == [1, 1, 3]
+    assert good.count() == 3 and good.where("value IS NULL").count() == 0
+    texts = sorted(r.record for r in rejected.select("record").collect())
+    assert texts == sorted([LINES[1], LINES[1], LINES[3], LINES[5], LINES[6], LINES[7]])
+    counts = {r.file.rsplit("/", 1)[1]: r.n_rejected for r in src.rejected_counts(rejected).collect()}
+    assert counts == {"a.json": 5, "b.json": 1}
+
+
+def test_history_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    header = ",".join(LANDING_COLUMNS)
+    fine = "1,2,x,2024-01-29T00:00:00Z,1.5,2.5,p,u,3.5"
+    bad = ["1,2,x", fine.replace("1.5", "far"), fine + ",9", fine.replace("2024", "soon")]
+    (tmp_path / "h.csv").write_text("\n".join([header, fine, *bad, fine.replace(",2.5", ",")]))
+    good, rejected = src.split_records(src.read_history_records(spark, str(tmp_path)))
+    # also when few columns are read
+    assert good.count() == 2
+    assert [r.value for r in good.select("value").collect()] == [3.5, 3.5]
+    assert sorted(r.record for r in rejected.select("record").collect()) == sorted(bad)
+    assert src.rejected_counts(rejected).first().n_rejected == 4
+
+
+def test_fingerprints_know_a_file_by_its_content(spark, tmp_path):
+    for name, lines in {"a": "xyz", "b": "zyx", "c": "xxyz", "d": "xy", "e": ""}.items():
+        (tmp_path / f"{name}.csv").write_text("".join(f"{c}\n" for c in lines))
+    found = {r.file[-5]: r.fingerprint for r in src.file_fingerprints(spark, str(tmp_path)).collect()}
+    assert found["a"] == found["b"] and len(set(found.values())) == 3
+    ledger = str(tmp_path / "ledger")
+    src.record_files(src.new_files(spark, str(tmp_path / "*.csv"), ledger).where("file LIKE '%/c.csv'"), ledger, date(2024, 1, 1))
+    left = src.new_files(spark, str(tmp_path / "*.csv"), ledger).collect()
+    assert sorted(r.file[-5] for r in left) == ["a", "d"]
+
+
+def test_ledger_of_days(spark, tmp_path):
+    ledger = str(tmp_path)
+    assert src.changed_days(spark, ledger) == ([], [])
+    src.record_days(spark, ledger, "one", [20240101, 20240102, 20240103])
+    src.record_days(spark, ledger, "one", [20240102])
+    src.record_days(spark, ledger, "two", [20240102, 20240105])
+    src.record_days(spark, ledger, "three", [])
+    assert src.changed_days(spark, ledger) == (["one", "three", "two"], [20240102, 20240105])
+    src.record_taken(spark, ledger, ["one", "three"])
+    assert src.changed_days(spark, ledger) == (["two"], [20240102, 20240105])
+    src.record_taken(spark, ledger, ["two"])
+    assert src.changed_days(spark, ledger) == ([], [])
