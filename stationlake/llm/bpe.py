@@ -1,10 +1,11 @@
 """Exact byte-pair encoding by backtracking over longest matches, and decoding by offsets.
 
 The encoder walks a word from left to right. At each place it takes the longest token that
-starts there (found for all places in one Aho-Corasick pass) and keeps it if the merges could
-have left the previous token and this one side by side. If not, it tries the token's longest
-proper prefix that is a token; without one it takes the previous token back. Places known to
-lead nowhere are marked, so every place is left at most once and time is linear in the word.
+starts there (found by an Aho-Corasick pass) and keeps it if the merges could have left the
+previous token and this one side by side. Most words are done with that. If not, it tries the
+token's longest proper prefix that is a token; without one it takes the previous token back.
+Places known to lead nowhere are marked, so every place is left at most once and time is linear
+in the word.
 
 Two neighbours are compatible if no merge across their border comes earlier than the merges
 that built them. Undoing these merges from the last to the first gives the symbols that touched
@@ -34,9 +35,15 @@ WORDS = (
 # Unicode white space.
 SPACE = "\t-\r \x85\xa0  -     　"
 
-#: Entries of each of a worker's caches before they are emptied. They save time, no result
-#: depends on them.
-CACHE = 300_000
+#: Bytes of each of the two generations of words that a worker keeps, and pairs that it keeps.
+#: They save time, no result depends on them.
+CACHE_BYTES, PAIRS = 64_000_000, 250_000
+#: Bytes of a kept word beside its characters and tokens: two objects and a place in a table.
+ENTRY = 200
+#: Words up to so many characters are kept.
+KEPT = 64
+#: Letters below this one have been letters in every version of Unicode.
+SETTLED = "\u0250"
 
 
 def byte_symbols() -> list[str]:
@@ -59,117 +66,160 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: t.encode("latin-1") for t, i in self.ids.items()}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        # the two parts of each token, the rank of the merge that makes it, and both by pair
-        self.parts, self.rank, self.merge = {}, {}, {}
+        top = max(self.bytes_of) + 1
+        # by token: its bytes, the rank of the merge that makes it, and the merge's two parts; by
+        # pair: the rank of the merge
+        self.length = [len(self.bytes_of.get(i, b"")) for i in range(top)]
+        self.rank = [-1] * top
+        self.left, self.right = [0] * top, [0] * top
+        self.merge: dict[int, int] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            pair = self.ids[plain[left]], self.ids[plain[right]]
-            whole = self.ids[plain[left] + plain[right]]
-            self.merge[pair] = rank
-            if whole not in self.rank:
-                self.parts[whole], self.rank[whole] = pair, rank
+            left, right = plain[left], plain[right]
+            whole, left, right = self.ids[left + right], self.ids[left], self.ids[right]
+            self.merge[left << 32 | right] = rank
+            if self.rank[whole] < 0:
+                self.rank[whole], self.left[whole], self.right[whole] = rank, left, right
+        self.never = len(self.merge)
+        self.prefix = self._prefixes(top)
         self.matcher = ahocorasick.Automaton()
         for text, i in self.ids.items():
-            self.matcher.add_word(text, (i, len(text)))
+            self.matcher.add_word(text, i)
         self.matcher.make_automaton()
-        self.length = {i: len(t) for t, i in self.ids.items()}
-        self.prefix: dict[int, int | None] = {}
-        self.compatible: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.compatible: dict[int, bool] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.room = CACHE_BYTES
         self.split_words = regex.compile(WORDS).findall
         self.split_chunks = re.compile(
             f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
         ).findall
         marks = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.split_special = re.compile(f"({'|'.join(marks)})").split if marks else None
-        top = max(self.bytes_of) + 1
         pieces = [self.bytes_of.get(i, b"") for i in range(top)]
         self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         self.buffer = np.frombuffer(b"".join(pieces), np.uint8)
 
-    def _prefix(self, token: int) -> int | None:
-        """The longest token that the token's text begins with, other than itself."""
-        if token not in self.prefix:
-            text = self.bytes_of[token].decode("latin-1")
-            shorter = (self.ids.get(text[:n]) for n in range(len(text) - 1, 0, -1))
-            self.prefix[token] = next((t for t in shorter if t is not None), None)
-        return self.prefix[token]
+    def _prefixes(self, top: int) -> list[int]:
+        """By token, the longest other token that its text begins with, or -1."""
+        out = [-1] * top
+        open_: list[str] = []  # texts of which each begins with the one before
+        for text in sorted(self.ids):
+            while open_ and not text.startswith(open_[-1]):
+                open_.pop()
+            if open_:
+                out[self.ids[text]] = self.ids[open_[-1]]
+            open_.append(text)
+        return out
 
     def _compatible(self, left: int, right: int) -> bool:
         """Whether the merges can leave the two tokens side by side."""
-        key = left, right
-        never = len(self.merge)
+        key = left << 32 | right
+        merge, rank, never = self.merge.get, self.rank, self.never
         # until when the two symbols at the border stay as they are; equal merges go from left
         # to right, so the right one's own merge comes after one across the border
         until, good = never, True
         while True:
-            across = self.merge.get((left, right), never)
-            if across < until:
+            if merge(left << 32 | right, never) < until:
                 good = False
                 break
-            made_left, made_right = self.rank.get(left, -1), self.rank.get(right, -1)
-            if made_left < 0 and made_right < 0:
-                break
+            made_left, made_right = rank[left], rank[right]
             if made_left > made_right:
-                until, left = made_left, self.parts[left][1]
+                until, left = made_left, self.right[left]
+            elif made_right >= 0:
+                until, right = made_right + 1, self.left[right]
             else:
-                until, right = made_right + 1, self.parts[right][0]
-        if len(self.compatible) >= CACHE:
+                break
+        if len(self.compatible) >= PAIRS:
             self.compatible.clear()
         self.compatible[key] = good
         return good
 
-    def encode_word(self, text: str) -> tuple[int, ...]:
+    def encode_word(self, text: str) -> list[int]:
         """The tokens of one piece of the split, given as one character per byte."""
-        longest: list[int | None] = [None] * len(text)
-        for end, (token, length) in self.matcher.iter(text):
-            longest[end - length + 1] = token  # matches come by their ends: the longest is last
-        done: list[int] = []
+        greedy = [token for _, token in self.matcher.iter_long(text)]
+        known, last = self.compatible.get, -1
+        for i, token in enumerate(greedy):
+            if last >= 0:
+                good = known(last << 32 | token)
+                if not (self._compatible(last, token) if good is None else good):
+                    return self._backtracked(text, greedy, i)
+            last = token
+        return greedy
+
+    def _backtracked(self, text: str, greedy: list[int], i: int) -> list[int]:
+        """The same where the i-th of the longest tokens does not go with the one before."""
+        lengths, prefix, known = self.length, self.prefix, self.compatible.get
+        match = self.matcher.iter_long
+        longest, at = {}, 0
+        for token in greedy:
+            longest[at] = token
+            at += lengths[token]
+        done, token, size = greedy[:i], greedy[i], len(text)
+        at = sum([lengths[t] for t in done])
         dead: set[int] = set()
-        lengths, known = self.length, self.compatible.get
-        at, size, last = 0, len(text), None
-        token = longest[0] if text else None
-        while token is not None:
+        while True:
             end = at + lengths[token]
             if end not in dead:
-                good = True if last is None else known((last, token))
-                if good is None:
-                    good = self._compatible(last, token)
+                good = True
+                if done:
+                    good = known(done[-1] << 32 | token)
+                    if good is None:
+                        good = self._compatible(done[-1], token)
                 if good:
                     done.append(token)
-                    at, last = end, token
-                    token = longest[at] if at < size else None
+                    if end == size:
+                        return done
+                    at = end
+                    token = longest.get(at, -1)
+                    if token < 0:
+                        token = longest[at] = next(match(text, at))[1]
                     continue
-            token = self._prefix(token)
-            if token is None:
+            token = prefix[token]
+            while token < 0:
                 dead.add(at)
                 token = done.pop()
-                last = done[-1] if done else None
                 at -= lengths[token]
-        return tuple(done)
-
-    def _chunk(self, chunk: str) -> bytes:
-        """The tokens of one run between white space, as 32-bit integers."""
-        tokens: list[int] = []
-        for word in self.split_words(chunk):
-            known = self.words.get(word)
-            if known is None:
-                if len(self.words) >= CACHE:
-                    self.words.clear()
-                known = self.encode_word(word.encode("utf-8", "replace").decode("latin-1"))
-                if len(word) <= 64:
-                    self.words[word] = known
-            tokens += known
-        packed = array.array("i", tokens).tobytes()
-        if len(chunk) <= 64:
-            if len(self.chunks) >= CACHE:
-                self.chunks.clear()
-            self.chunks[chunk] = packed
+                token = prefix[token]
+
+    def _keep(self, piece: str, packed: bytes) -> bytes:
+        """Remember a piece; the older of two generations makes room for a new one."""
+        if len(piece) <= KEPT:
+            self.room -= len(piece) + len(packed) + ENTRY
+            if self.room < 0:
+                self.old, self.young, self.room = self.young, {}, CACHE_BYTES
+            self.young[piece] = packed
         return packed
 
+    def packed(self, word: str) -> bytes:
+        """The tokens of one piece of the split, as 32-bit integers."""
+        known = self.young.get(word)
+        if known is not None:
+            return known
+        known = self.old.get(word)
+        if known is None:
+            tokens = self.encode_word(word.encode("utf-8", "replace").decode("latin-1"))
+            known = array.array("i", tokens).tobytes()
+        return self._keep(word, known)
+
+    def chunk(self, chunk: str) -> bytes:
+        """The tokens of one run between white space that is not among the young ones."""
+        known = self.old.get(chunk)
+        if known is not None:
+            return self._keep(chunk, known)
+        # most runs are a word of letters, perhaps with a mark behind it; the pattern that splits
+        # any other would give the same
+        body = chunk[1:] if chunk[0] == " " else chunk
+        if body.isalpha() and max(body) < SETTLED:
+            return self.packed(chunk)
+        if body[-1:] in (",", ".", "!", "?", ";", ":") and max(body) < SETTLED:
+            if body[:-1].isalpha():
+                return self._keep(chunk, self.packed(chunk[:-1]) + self.packed(chunk[-1]))
+        packed = b"".join([self.packed(word) for word in self.split_words(chunk)])
+        return self._keep(chunk, packed)
+
     def _plain(self, text: str) -> bytes:
-        known, chunk = self.chunks.get, self._chunk
+        chunk, known = self.chunk, self.young.get
         return b"".join([known(c) or chunk(c) for c in self.split_chunks(text)])
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -199,7 +249,7 @@ class Vocabulary:
         """The number of tokens of one piece."""
         if word in self.special:
             return 1
-        return len(self.words.get(word) or np.frombuffer(self._chunk(word), np.int32))
+        return len(self.packed(word)) // 4
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; bytes that are no UTF-8 become the replacement character."""

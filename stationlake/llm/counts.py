@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.bpe import CACHE, Vocabulary, vocabulary
+from stationlake.llm.bpe import Vocabulary, vocabulary
 from stationlake.llm.common import fresh, ship
 
 #: Runs of a leaf, and the multiple of them at which a tree is built anew.
@@ -30,33 +30,12 @@ STATE = "tokens array<int>, chars array<int>"
 
 
 class Counter:
-    """Counts the tokens of runs, with those met before."""
+    """Counts the tokens of runs, which the vocabulary remembers."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, int] = {}
         self.context = max([2, *(len(s) for s in vocabulary.special)]) + 1
 
-    def _run(self, run: str) -> int:
-        own = self.vocabulary
-        if run in own.special:
-            return 1
-        total = 0
-        for word in own.split_words(run):
-            tokens = own.words.get(word)
-            if tokens is None:
-                if len(own.words) >= CACHE:
-                    own.words.clear()
-                tokens = own.encode_word(word.encode("utf-8", "replace").decode("latin-1"))
-                if len(word) <= 64:
-                    own.words[word] = tokens
-            total += len(tokens)
-        if len(run) <= 64:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[run] = total
-        return total
-
     def runs(self, text: str) -> list[str]:
         """The runs of a text, in order; special tokens are runs of their own."""
         own = self.vocabulary
@@ -68,8 +47,9 @@ class Counter:
         return out
 
     def counts(self, runs: list[str]) -> list[int]:
-        known, count = self.known.get, self._run
-        return [n if (n := known(r)) is not None else count(r) for r in runs]
+        own = self.vocabulary
+        known, chunk, special = own.young.get, own.chunk, own.special
+        return [1 if r in special else len(known(r) or chunk(r)) // 4 for r in runs]
 
 
 def _tree(leaves: np.ndarray) -> np.ndarray:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: The key of the pseudonyms; a deployment sets its own.
 PII_KEY = os.environ.get("STATIONLAKE_PII_KEY", "stationlake")
-#: The folder of the public tokenizers' files, on every machine.
-TOKENIZERS = "/opt/tokenizers"
-VOCABULARY = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
+#: The vocabulary of the queries, at the same place on every machine.
+VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op1_ann(spark: SparkSession, sf: str) -> DataFrame:
