@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship, trim
+from stationlake.llm.common import fresh, ship, trim
 
 # The pattern that splits text before the merges of byte-level vocabularies.
 WORDS = (
@@ -198,7 +198,8 @@ class Vocabulary:
             return known
         known = self.old.get(word)
         if known is None:
-            tokens = self.encode_word(word.encode("utf-8", "replace").decode("latin-1"))
+            raw = word if word.isascii() else word.encode("utf-8", "replace").decode("latin-1")
+            tokens = self.encode_word(raw)
             known = array.array("i", tokens).tobytes()
         return self._keep(word, known)
 
@@ -210,10 +211,10 @@ class Vocabulary:
         # most runs are a word of letters, perhaps with a mark behind it; the pattern that splits
         # any other would give the same
         body = chunk[1:] if chunk[0] == " " else chunk
-        if body.isalpha() and max(body) < SETTLED:
-            return self.packed(chunk)
-        if body[-1:] in (",", ".", "!", "?", ";", ":") and max(body) < SETTLED:
-            if body[:-1].isalpha():
+        if body.isascii() or max(body) < SETTLED:
+            if body.isalpha():
+                return self.packed(chunk)
+            if body[-1:] in (",", ".", "!", "?", ";", ":") and body[:-1].isalpha():
                 return self._keep(chunk, self.packed(chunk[:-1]) + self.packed(chunk[-1]))
         packed = b"".join([self.packed(word) for word in self.split_words(chunk)])
         return self._keep(chunk, packed)
@@ -313,3 +314,33 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` with the text of each list of ids; see ``decoded`` for nulls."""
     return docs.withColumn(text, decoded(F.col(ids).cast("array<int>"), path))
+
+
+def round_trip(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows.
+
+    Of the one after the other Spark makes a plan that encodes every text twice, once for the
+    ids and once for what is decoded.
+    """
+    ship()
+
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def both(texts: pa.Array) -> pa.Array:
+        own = vocabulary(path)
+        found = [own.encode(t.as_py()) for t in texts]
+        back = pa.array([own.decode(x) for x in found], pa.string())
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        values = np.concatenate(found) if found else np.zeros(0, np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+        trim()
+        return pa.StructArray.from_arrays([lists, back], ["ids", "text"])
+
+    result = both(F.col(text).cast("string"))
+    pair = fresh()
+    return (
+        docs.withColumn(pair, result)
+        .withColumns({ids: F.col(pair)["ids"], decoded: F.col(pair)["text"]})
+        .drop(pair)
+    )

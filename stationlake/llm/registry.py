@@ -46,8 +46,7 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    back = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
-    return back.select(
+    return bpe.round_trip(docs, VOCABULARY).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

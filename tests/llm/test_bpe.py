@@ -95,3 +95,12 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert [forgetful.encode(t).tolist() for t in texts] == should
     assert len(forgetful.young) <= 1 and len(forgetful.old) <= 1
     assert [expected(t) for t in texts] == should
+
+
+def test_one_pass_gives_what_two_give(odd, none, path):
+    two = bpe.decode(bpe.encode(odd, path), path)
+    one = bpe.round_trip(odd, path)
+    assert one.columns == two.columns and one.collect() == two.collect()
+    assert bpe.round_trip(none, path).count() == 0
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 1 and text.count("both(") == 1
