@@ -18,6 +18,7 @@ import array
 import functools
 import json
 import re
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -182,6 +183,11 @@ class Vocabulary:
                 at -= lengths[token]
                 token = prefix[token]
 
+    def forget(self) -> None:
+        """Let go of all remembered words and pairs."""
+        self.young, self.old, self.room = {}, {}, CACHE_BYTES
+        self.compatible.clear()
+
     def _keep(self, piece: str, packed: bytes) -> bytes:
         """Remember a piece; the older of two generations makes room for a new one."""
         if len(piece) <= KEPT:
@@ -327,15 +333,17 @@ def round_trip(
     ship()
 
     @F.arrow_udf("struct<ids: array<int>, text: string>")
-    def both(texts: pa.Array) -> pa.Array:
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = vocabulary(path)
-        found = [own.encode(t.as_py()) for t in texts]
-        back = pa.array([own.decode(x) for x in found], pa.string())
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-        values = np.concatenate(found) if found else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+        for texts in batches:
+            found = [own.encode(t.as_py()) for t in texts]
+            back = pa.array([own.decode(x) for x in found], pa.string())
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            values = np.concatenate(found) if found else np.zeros(0, np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+            yield pa.StructArray.from_arrays([lists, back], ["ids", "text"])
+        own.forget()  # the worker goes on to tasks of other kinds
         trim()
-        return pa.StructArray.from_arrays([lists, back], ["ids", "text"])
 
     result = both(F.col(text).cast("string"))
     pair = fresh()
