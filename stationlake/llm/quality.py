@@ -25,11 +25,8 @@ from stationlake.llm.common import ship, trim
 PIECE = 512
 #: Bytes of a dictionary at most.
 DICTIONARY = 112_640
-#: Labelled rows from which the model is fitted, at most, and the characters of each at most:
-#: longer texts are left to scoring. They are those with the smallest hashes.
-SAMPLE_ROWS, SAMPLE_CHARS = 6_000, 20_000
-#: Pieces from which a dictionary is made, at most.
-SAMPLE_PIECES = 6_000
+#: Labelled rows from which the model is fitted, at most: those with the smallest hashes, whole.
+SAMPLE_ROWS = 6_000
 #: Scores from which a text counts as good.
 THRESHOLD = 0.7
 
@@ -58,7 +55,7 @@ def _pieces(text: str | None) -> list[bytes]:
 
 
 def _dictionary(texts: list[str]) -> bytes:
-    pieces = [p for t in texts for p in _pieces(t)][:SAMPLE_PIECES]
+    pieces = [p for t in texts for p in _pieces(t)]
     joined = b"".join(pieces)
     try:
         size = min(DICTIONARY, len(joined) // 8)
@@ -144,9 +141,9 @@ def train(
         .limit(sample_rows)
     )
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    short = texts.where(F.length("_text") <= SAMPLE_CHARS)
     sample = (
-        short.join(F.broadcast(chosen), "_id")
+        texts.where("_text IS NOT NULL")
+        .join(F.broadcast(chosen), "_id")
         .orderBy(key, "_id", F.xxhash64("_text"))
         .limit(sample_rows)
         .select("_text", "_label")

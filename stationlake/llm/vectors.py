@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import ship
+from stationlake.session import materialise
 
 #: Rows of a shard, and queries that meet a shard in one task, at most about.
 SHARD_ROWS, QUERY_ROWS = 65_536, 65_536
@@ -57,8 +58,9 @@ def search(
 ) -> DataFrame:
     """The ``k`` best rows of ``vectors`` for each row that is a query.
 
-    Rows are dealt to shards by the hash of their id and queries to blocks; each pair of a shard
-    and a block is one group. There ``make`` gets the shard's ids and vectors and returns a
+    Rows are dealt to shards by the hash of their id, vector and number, so that a frequent id is
+    spread, and queries to blocks; each pair of a shard and a block is one group. The numbers are
+    written first: a task that runs again finds the same ones. There ``make`` gets the shard's ids and vectors and returns a
     function that finds, for a query id and vector, the places of its best rows and their
     scores. The shards' results are merged by rank.
 
@@ -67,9 +69,11 @@ def search(
     ship()
     rows = vectors.select(
         F.col(vec_id).cast("bigint").alias("id"),
-        F.col(vector).cast("array<double>").alias("x"),
+        F.col(vector).alias("x"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
+        F.monotonically_increasing_id().alias("number"),
     )
+    rows = materialise(rows).withColumn("x", F.col("x").cast("array<double>"))
     n, asking = rows.agg(F.count(F.lit(1)), F.sum(F.col("asks").cast("bigint"))).first()
     tasks = vectors.sparkSession.sparkContext.defaultParallelism
     shards = max(-(-n // SHARD_ROWS), min(tasks, -(-n // SMALLEST_SHARD)), 1)
@@ -83,9 +87,8 @@ def search(
         "id", "x", key.alias("key"), F.pmod(key, F.lit(blocks)).cast("int").alias("block")
     )
     asked = asked.withColumn("shard", every(shards)).groupBy("shard", "block")
-    held = rows.select(
-        "id", "x", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
-    )
+    deal = F.pmod(F.xxhash64("id", "x", "number"), F.lit(shards)).cast("int")
+    held = rows.select("id", "x", deal.alias("shard"))
     held = held.withColumn("block", every(blocks)).groupBy("shard", "block")
     number = pa.int64() if score_type == "bigint" else pa.float64()
     schema = pa.schema(

@@ -1,5 +1,8 @@
 """Vector searches against brute force."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +111,61 @@ def test_repeated_vectors_tie_by_id(spark):
     for search, k in ((ann.search, 20), (maxscore.search, 5)):
         got = [(r[0], r[2]) for r in rows_of(search(df, F.col("vec_id") == 100, k=k))]
         assert got == [(100, i) for i in range(k)]
+
+
+def test_no_row_is_scored_beside_the_postings(spark, sf_dir):
+    """On the query's own table most rows fall out before all their terms are known."""
+    ids, x = table(spark, sf_dir.replace("sf0.01", "sf0.1"))
+    find = maxscore.index(ids, x, 5, 256)
+    offered, kept = 0, 0
+    whole = maxscore._Block.offer
+
+    def offer(block, query_id, q, least):
+        nonlocal offered, kept
+        places, scores = whole(block, query_id, q, least)
+        offered, kept = offered + len(block.ids), kept + len(places)
+        if least is not None:
+            assert (scores >= least).all()
+        return places, scores
+
+    maxscore._Block.offer = offer
+    try:
+        for i in np.flatnonzero(ids % 50 == 0):
+            find(int(ids[i]), x[i])
+    finally:
+        maxscore._Block.offer = whole
+    asked = (ids % 50 == 0).sum()
+    assert offered == len(ids) * asked
+    assert kept < 0.15 * offered
+
+
+@pytest.mark.parametrize("large", [1e6, 3e9, 1e20, 1e300])
+def test_large_components_are_exact(spark, large):
+    pick = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in pick.normal(size=6) * large]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asks = F.col("vec_id") % 60 == 0
+    got = rows_of(maxscore.search(df, asks))
+    exact = {i: [math.floor(Fraction(v) * 256) for v in x] for i, x in rows}
+    for q in range(0, 300, 60):
+        scores = {i: sum(a * b for a, b in zip(exact[q], w)) for i, w in exact.items() if i != q}
+        held = {i: min(max(s, maxscore.LEAST_LONG), maxscore.MOST_LONG) for i, s in scores.items()}
+        should = sorted(held.items(), key=lambda found: (-found[1], found[0]))[:5]
+        own = [(r[2], r[3]) for r in got if r[0] == q]
+        assert own == should
+
+
+def test_a_frequent_id_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(vec, "SHARD_ROWS", 100)
+    monkeypatch.setattr(vec, "SMALLEST_SHARD", 100)
+    whole = maxscore.index
+    rows = [(7, [1.0, 0.0])] * 900 + [(i, [0.5, float(i)]) for i in range(100, 200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def index(ids, x, k, scale):
+        assert len(ids) < 300
+        return whole(ids, x, k, scale)
+
+    monkeypatch.setattr(maxscore, "index", index)
+    got = rows_of(maxscore.search(df, F.col("vec_id") == 100, k=3))
+    assert [(r[0], r[2]) for r in got] == [(100, 199), (100, 198), (100, 197)]
