@@ -4,7 +4,8 @@ Every shard of rows has ``PROJECTIONS`` random projections, each kept as a sorte
 rows' values. A query opens a window around its own value in every array and counts for each row
 in how many windows it lies; virtual rehashing widens all windows by a factor until enough rows
 reach the collision threshold. All of these, not some of them, are verified by their exact inner
-product.
+product. Where a first window holds more than half of an array, the rows beside it are counted
+instead, which gives the same collisions.
 
 Inner products become distances by one more component that gives all rows the same norm; it is 0
 for queries, so it shows in the projections only.
@@ -24,9 +25,9 @@ PROJECTIONS = 64
 #: Share of the projections in which a row must meet the query.
 THRESHOLD = 0.8
 #: Windows are widened until this share of a shard's rows, but at least so many, pass.
-SHARE, LEAST = 0.12, 600
+SHARE, LEAST = 0.08, 500
 #: First half width of the windows, in standard deviations of a projection, and its growth.
-WIDTH, GROWTH = 1.2, 1.12
+WIDTH, GROWTH = 1.35, 1.12
 
 
 def _directions(width: int, count: int, seed: int) -> np.ndarray:
@@ -38,6 +39,17 @@ def _directions(width: int, count: int, seed: int) -> np.ndarray:
     return np.concatenate(parts, axis=1)[:, :count]
 
 
+def _windows(arrays: list[np.ndarray], at: np.ndarray, reach: float) -> tuple[list, list]:
+    """First places inside and after the window around a query's value in each sorted array."""
+    low, high = zip(*(a.searchsorted((v - reach, v + reach)).tolist() for a, v in zip(arrays, at)))
+    return list(low), list(high)
+
+
+def _times(parts: list[np.ndarray], n: int) -> np.ndarray:
+    """How often each of ``n`` rows comes."""
+    return np.bincount(np.concatenate(parts), minlength=n) if parts else np.zeros(n, np.int64)
+
+
 def index(ids: np.ndarray, x: np.ndarray, k: int, seed: int = 0) -> Callable:
     """Sorted projections of rows in the order of their ids, as a function that searches them."""
     n, width = x.shape
@@ -46,29 +58,31 @@ def index(ids: np.ndarray, x: np.ndarray, k: int, seed: int = 0) -> Callable:
     lift = np.sqrt(np.maximum(longest**2 - norms**2, 0))
     directions = _directions(width + 1, PROJECTIONS, seed)
     values = (np.c_[x, lift] / longest) @ directions
-    order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T)
+    order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T.astype(np.int32))
     arrays = [values[order[j], j] for j in range(PROJECTIONS)]
     enough = min(n, max(LEAST, int(SHARE * n)) + k)
     needed = int(THRESHOLD * PROJECTIONS)
 
     def find(query_id: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = (query / np.sqrt((query * query).sum())) @ directions[:-1]
-        low = [int(np.searchsorted(a, v)) for a, v in zip(arrays, at)]
-        high = list(low)
-        met = np.zeros(n, np.int64)
         reach = WIDTH
-        while True:
-            fresh = []
-            for j, a in enumerate(arrays):
-                first = int(a.searchsorted(at[j] - reach, "left"))
-                last = int(a.searchsorted(at[j] + reach, "right"))
-                fresh += [order[j, first : low[j]], order[j, high[j] : last]]
-                low[j], high[j] = first, last
-            met += np.bincount(np.concatenate(fresh), minlength=n)
-            near = np.flatnonzero(met >= needed)
-            if len(near) >= enough or low == [0] * len(low) and high == [n] * len(high):
-                break
+        low, high = _windows(arrays, at, reach)
+        inside, beside = [], []
+        for j, (first, last) in enumerate(zip(low, high)):
+            if 2 * (last - first) > n:
+                beside += [order[j, :first], order[j, last:]]
+            else:
+                inside.append(order[j, first:last])
+        met = len(beside) // 2 + _times(inside, n) - _times(beside, n)
+        near = np.flatnonzero(met >= needed)
+        while len(near) < enough and (any(low) or min(high) < n):
             reach *= GROWTH
+            lower, higher = _windows(arrays, at, reach)
+            fresh = [order[j, lower[j] : low[j]] for j in range(PROJECTIONS)]
+            fresh += [order[j, high[j] : higher[j]] for j in range(PROJECTIONS)]
+            met += _times(fresh, n)
+            low, high = lower, higher
+            near = np.flatnonzero(met >= needed)
         near = near[ids[near] != query_id]
         scores = (x[near] * query).sum(axis=1)
         top = vec.best(scores, ids[near], k)
