@@ -17,26 +17,28 @@ later than what all slots have already.
 share a bucket. In each bucket a centre is compared with all others: the member that shares most
 buckets with others, which is the original of a family of copies. The links found give
 components; buckets within one component are settled. In the others all members outside the
-largest component meet all members of other components, in blocks: a task compares the signatures
-of two blocks and hands on only pairs that agree in ``LIKELY`` of the slots; first, for each such
-member, the ``NEAREST`` of a block, which joins most of them to their family, and then, for those
-that are still apart, all. So each two nodes of a bucket end up in one component or have been
-compared, and no step has a row per pair. Two similar texts miss each other with a chance of
-(1 - 0.8^ROWS)^BANDS = 0.00003 at most, and fall below ``LIKELY`` with one of 10^-6.
+largest component meet all members of other components, in blocks. First the signatures of two
+blocks are compared, and each such member is verified with the one of all its buckets whose
+signature is nearest, which joins most of them to their family. Then, for those that are still
+apart, all that agree in ``LIKELY`` of the slots come once more with their bags of shingles, and the
+task that has both blocks verifies them and hands on no more links than join its components. So
+each two nodes of a bucket end up in one component or have been compared, and no step has a row per
+pair. Two similar texts miss each other with a chance of (1 - 0.8^ROWS)^BANDS = 0.00003 at most,
+and fall below ``LIKELY`` with one of 10^-6.
 
 *Verification* counts the shingles of both texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ship, slices, trim
+from stationlake.llm.common import fresh, ship, slices, trim
 from stationlake.llm.suffixes import BASES, Hashes, mixed
 from stationlake.session import discard, materialise
 
@@ -44,10 +46,10 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
 #: Share of the slots in which similar texts agree almost surely.
 LIKELY = 0.62
-#: Members of a block that a member outside a family is compared with first.
-NEAREST = 8
-#: Members of a block.
-BLOCK = 2_048
+#: Members of a block, and shingles of a block, at most about.
+BLOCK, BLOCK_SHINGLES = 2_048, 1 << 21
+#: What names two blocks of a bucket.
+CELL = ("bucket", "row", "column")
 #: Bytes of text that are hashed at a time.
 PIECE = 1 << 19
 #: Multipliers for the words of a shingle.
@@ -318,11 +320,9 @@ def classes(
     links = materialise(_verified(tested, texts, similarity))
     parts = components(links)
     shares = shares.select("bucket", "node")
-    for most in (NEAREST, None):
-        more = _strays(shares, members, parts, similarity, most)
-        more = materialise(more.join(tested, ["a", "b"], "left_anti"))
-        found = materialise(_verified(more, texts, similarity))
-        tested = tested.unionByName(more)
+    for step in (_nearest, _apart):
+        cells, met = _cells(shares, members, parts, similarity)
+        found = materialise(step(cells, met, texts, similarity))
         if not found.isEmpty():
             links = links.unionByName(found)
             parts = components(links)
@@ -339,64 +339,177 @@ def _texts(docs: DataFrame, doc_id: str, text: str, members: DataFrame) -> DataF
     return found.groupBy("node").agg(F.first("t").alias("t"))
 
 
-def _strays(
-    shares: DataFrame,
-    members: DataFrame,
-    parts: DataFrame,
-    similarity: float,
-    most: int | None,
-) -> DataFrame:
-    """Pairs (a, b) of buckets with several components that may be similar.
+def _cells(
+    shares: DataFrame, members: DataFrame, parts: DataFrame, similarity: float
+) -> tuple[Callable, Callable]:
+    """Blocks of members that meet in buckets with several components.
 
-    Members outside a bucket's largest component are compared with all that are of another
-    component than they, by their signatures, a block of the ones with a block of the others.
-    Of each block a member gets the ``most`` likely partners, or all that are likely.
+    Members outside a bucket's largest component meet all that are of another component than they,
+    a block of the ones with a block of the others. Returns a function that applies another to the
+    two tables of each cell, and one that finds the likely partners in them.
     """
     ship()
     placed = shares.join(parts, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    counts = placed.groupBy("bucket", "component").count()
+    placed = placed.join(members.select("node", "n", "signature"), "node")
+    counts = placed.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("n").alias("shingles")
+    )
+    blocks = F.greatest(F.sum("count") / BLOCK, F.sum("shingles") / BLOCK_SHINGLES)
     several = counts.groupBy("bucket").agg(
         F.max_by("component", F.struct("count", "component")).alias("kept"),
-        F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"),
-        F.count(F.lit(1)).alias("n"),
+        F.ceil(blocks).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("parts"),
     )
-    open_shares = placed.join(several.where("n > 1").drop("n"), "bucket")
-    full = open_shares.join(members.select("node", "n", "signature"), "node")
+    full = placed.join(several.where("parts > 1").drop("parts"), "bucket")
     full = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     full = materialise(full)
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = ["bucket", "row", "column"]
     values = ["node", "component", "n", "signature"]
     strays = full.where("component <> kept").withColumn("column", every)
     strays = strays.select("bucket", F.col("block").alias("row"), "column", *values)
     others = full.withColumn("row", every)
     others = others.select("bucket", "row", F.col("block").alias("column"), *values)
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     least = int(LIKELY * BANDS * ROWS)
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    def apply(work: Callable, schema: str) -> DataFrame:
+        met = strays.groupBy(*CELL).cogroup(others.groupBy(*CELL))
+        return met.applyInArrow(work, schema)
+
+    def likely(left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each row of the one table, the likely rows of the other, and their equal slots."""
+        sizes, slots = right["n"].to_numpy(), _slots(right)
+        codes, (own, kind) = _codes(left["component"], right["component"])
+        for code, n, signature in zip(own, left["n"].to_pylist(), _slots(left)):
+            fits = np.minimum(sizes, n) >= similarity * np.maximum(sizes, n)
+            near = np.flatnonzero(fits & (kind != code))
+            agree = (slots[near] == signature).sum(axis=1)
+            yield near[agree >= least], agree[agree >= least]
+
+    return apply, likely
+
+
+def _nearest(cells: Callable, likely: Callable, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of members outside a family and the one that is nearest to each."""
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        nodes, names, out = left["node"].to_pylist(), right["node"].to_pylist(), []
+        if nodes and names:
+            for node, (near, agree) in zip(nodes, likely(left, right)):
+                if len(near):
+                    out.append((node, names[near[agree.argmax()]], int(agree.max())))
+        columns = zip(*out) if out else ((), (), ())
+        kinds = (pa.binary(), pa.binary(), pa.int32())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "agree"])
+
+    found = cells(best, "a binary, b binary, agree int").groupBy("a").agg(
+        F.max_by("b", F.struct("agree", "b")).alias("b")
+    )
+    return _verified(materialise(_ordered(found)), texts, similarity)
+
+
+def _apart(cells: Callable, likely: Callable, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all similar members of blocks, as few as do."""
+
+    def needed(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        asks, held = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        if len(left) and len(right):
+            for i, (near, _) in enumerate(likely(left, right)):
+                asks[i] = len(near) > 0
+                held[near] = True
+        out = []
+        for rows, chosen, is_left in ((left, asks, True), (right, held, False)):
+            some = rows.select(["node", "component"]).filter(pa.array(chosen))
+            for name, value in zip((*CELL, "asks"), (*key, pa.scalar(is_left))):
+                some = some.append_column(name, pa.repeat(value, len(some)))
+            out.append(some)
+        return pa.concat_tables(out)
+
+    cell = "bucket bigint, row int, column int"
+    rows = materialise(cells(needed, f"node binary, component binary, {cell}, asks boolean"))
+    bags = materialise(_bags(texts.join(rows.select("node").distinct(), "node", "left_semi")))
+    full = rows.join(bags, "node")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def verify(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return schema.empty_table()
         out = []
-        names, kinds = (right[c].to_pylist() for c in ("node", "component"))
-        sizes, slots = right["n"].to_numpy(), _slots(right)
-        codes = {c: i for i, c in enumerate(dict.fromkeys(kinds))}
-        kind = np.array([codes[c] for c in kinds], np.int64)
-        rows = zip(left["node"].to_pylist(), left["component"].to_pylist(), left["n"].to_pylist())
-        for (node, component, n), own in zip(rows, _slots(left)):
-            fits = np.minimum(sizes, n) >= similarity * np.maximum(sizes, n)
-            near = np.flatnonzero(fits & (kind != codes.get(component, -1)))
-            agree = (slots[near] == own).sum(axis=1)
-            order = np.argsort(-agree, kind="stable")[:most]
-            near = near[order[agree[order] >= least]]
-            out += [(max(node, names[i]), min(node, names[i])) for i in near]
+        nodes, names = left["node"].to_pylist(), right["node"].to_pylist()
+        codes, (own, kind) = _codes(left["component"], right["component"])
+        root = np.arange(codes)
+        bag = [np.frombuffer(b, np.uint64) for b in left["bag"].to_pylist()]
+        held = [np.frombuffer(b, np.uint64) for b in right["bag"].to_pylist()]
+        sizes = np.array([len(b) for b in held])
+        postings = _Postings(held)
+        for node, code, tokens in zip(nodes, own, bag):
+            shared = postings.shared(tokens)
+            near = shared >= similarity * (sizes + len(tokens) - shared)
+            for i in np.flatnonzero(near & (root[kind] != root[code])):
+                if root[kind[i]] != root[code]:
+                    root[root == root[kind[i]]] = root[code]
+                    out.append((max(node, names[i]), min(node, names[i])))
         a, b = zip(*out) if out else ((), ())
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
 
-    met = strays.groupBy(*cells).cogroup(others.groupBy(*cells))
-    return met.applyInArrow(compare, "a binary, b binary").distinct()
+    asking = full.where("asks").drop("asks")
+    held = full.where("NOT asks").select(*(F.col(c).alias(c) for c in asking.columns))
+    met = asking.groupBy(*CELL).cogroup(held.groupBy(*CELL))
+    return met.applyInArrow(verify, "a binary, b binary").distinct()
+
+
+def _codes(*columns: pa.ChunkedArray) -> tuple[int, list[np.ndarray]]:
+    """Numbers for the values of some columns, equal for equal values."""
+    lists = [c.to_pylist() for c in columns]
+    codes = {}
+    out = [np.array([codes.setdefault(v, len(codes)) for v in values], np.int64) for values in lists]
+    return len(codes), out
+
+
+class _Postings:
+    """Which of some bags have a token."""
+
+    def __init__(self, bags: list[np.ndarray]):
+        tokens = np.concatenate(bags)
+        owners = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+        order = np.argsort(tokens, kind="stable")
+        self.bags, self.owners = len(bags), owners[order]
+        self.tokens, self.first, self.count = np.unique(
+            tokens[order], return_index=True, return_counts=True
+        )
+
+    def shared(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of the tokens each bag has."""
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        at = at[self.tokens[at] == tokens]
+        count = self.count[at]
+        ends = np.cumsum(count)
+        places = np.arange(ends[-1] if len(ends) else 0)
+        places += np.repeat(self.first[at] - (ends - count), count)
+        return np.bincount(self.owners[places], minlength=self.bags)
+
+
+def _bags(texts: DataFrame) -> DataFrame:
+    """Rows (node, bag): a token of 8 bytes for each occurrence of a shingle, by hash and number."""
+    ship()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole)):
+            found = []
+            for (some,) in _groups(_bytes(batch.column("t"))):
+                bags = Bags(some)
+                start = np.cumsum(bags.count) - bags.count
+                number = np.arange(bags.count.sum()) - np.repeat(start, bags.count)
+                tokens = np.repeat(bags.hash, bags.count) + number.astype(np.uint64) * STEPS[1]
+                text = np.repeat(bags.text, bags.count)
+                cuts = np.searchsorted(text, np.arange(1, len(some)))
+                found += [t.tobytes() for t in np.split(mixed(tokens), cuts)]
+            columns = [batch.column("node"), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "bag"])
+        trim()
+
+    return texts.select("node", "t").mapInArrow(work, "node binary, bag binary")
 
 
 def _slots(rows: pa.Table) -> np.ndarray:
@@ -430,9 +543,10 @@ def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **option
     first = rows.where("component IS NOT NULL").groupBy("component").agg(
         F.min(F.struct("id", "h")).alias("first")
     )
-    first = first.select(F.col("first.id").alias("_i"), F.col("first.h").alias("_h"))
-    keyed = docs.withColumn("_k", F.xxhash64(F.lit("bags"), F.col(text)))
+    i, h, k = (fresh() for _ in range(3))
+    first = first.select(F.col("first.id").alias(i), F.col("first.h").alias(h))
+    keyed = docs.withColumn(k, F.xxhash64(F.lit("bags"), F.col(text)))
     words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_i")) & (F.col("_k") == F.col("_h"))
-    kept = keyed.where(words).join(first, same, "left_semi").dropDuplicates([doc_id, "_k"])
-    return kept.unionByName(keyed.where(~words)).drop("_k")
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(i)) & (F.col(k) == F.col(h))
+    kept = keyed.where(words).join(first, same, "left_semi").dropDuplicates([doc_id, k])
+    return kept.unionByName(keyed.where(~words)).drop(k)

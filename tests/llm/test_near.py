@@ -136,6 +136,39 @@ def test_families_chains_and_shared_passages(spark):
     assert {r.doc_id: (r.class_id, r.class_size) for r in got} == all_pairs(rows)
 
 
+def test_bags_of_tokens_give_exact_similarities(family):
+    data = [t.lower().encode() for t in family if bag(t)]
+    texts = [t for t in family if bag(t)]
+    tokens = []
+    for t in data:
+        bags = near.Bags([t])
+        number = np.concatenate([np.arange(c) for c in bags.count]).astype(np.uint64)
+        tokens.append(near.mixed(np.repeat(bags.hash, bags.count) + number * near.STEPS[1]))
+    postings = near._Postings(tokens)
+    sizes = np.array([len(t) for t in tokens])
+    for i, own in enumerate(tokens):
+        shared = postings.shared(own)
+        got = shared / (sizes + len(own) - shared)
+        assert got == pytest.approx([jaccard(texts[i], t) for t in texts])
+
+
+def test_a_family_beyond_the_similarity_makes_no_row_per_pair(spark, monkeypatch):
+    """Copies that are near their original's other copies only now and then."""
+    pick = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(300)]
+    rows = list(enumerate(edited(base, int(pick.integers(4, 9)), pick) for _ in range(250)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = []
+    whole = near._verified
+    monkeypatch.setattr(
+        near, "_verified", lambda p, *more: (pairs.append(p.count()), whole(p, *more))[1]
+    )
+    got = near.with_class(df).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in got} == all_pairs(rows)
+    first, second = pairs  # with the centres of up to 26 buckets each, and with the nearest one
+    assert first <= near.BANDS * len(rows) and second <= len(rows)
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 3)
     monkeypatch.setattr(near, "ROWS", 1)
@@ -160,6 +193,10 @@ def test_odd_rows(odd, none):
     assert by_id[2] == {(2, 1)} and by_id[3] == {(3, 1)} and by_id[None] == {(None, 1)}
     kept = near.dedupe(odd)
     assert kept.columns == odd.columns
+    more = odd.selectExpr("*", *[f"'mine' AS `{c}`" for c in ("_i", "_h", "_k", "node", "a.b")])
+    same = near.dedupe(more)
+    assert same.columns == more.columns
+    assert {tuple(r)[-5:] for r in same.collect()} == {("mine",) * 5}
     ids = sorted(str(r.doc_id) for r in kept.collect())
     assert ids == sorted(map(str, [1, 2, 3, 4, 5, 6, 7, None]))
     assert near.with_class(none).count() == 0 and near.dedupe(none).count() == 0
