@@ -43,6 +43,8 @@ CACHE_BYTES, PAIRS = 64_000_000, 250_000
 ENTRY = 200
 #: Words up to so many characters are kept.
 KEPT = 64
+#: Texts whose tokens and decoded texts a worker holds at a time.
+SLICE = 256
 #: Letters below this one have been letters in every version of Unicode.
 SETTLED = "\u0250"
 
@@ -335,13 +337,16 @@ def round_trip(
     @F.arrow_udf("struct<ids: array<int>, text: string>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = vocabulary(path)
-        for texts in batches:
-            found = [own.encode(t.as_py()) for t in texts]
-            back = pa.array([own.decode(x) for x in found], pa.string())
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            values = np.concatenate(found) if found else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
-            yield pa.StructArray.from_arrays([lists, back], ["ids", "text"])
+        for whole in batches:
+            for start in range(0, len(whole), SLICE):
+                found = [own.encode(t.as_py()) for t in whole.slice(start, SLICE)]
+                back = pa.array([own.decode(x) for x in found], pa.string())
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+                lists = pa.ListArray.from_arrays(
+                    pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(found), pa.int32())
+                )
+                yield pa.StructArray.from_arrays([lists, back], ["ids", "text"])
+            trim()
         own.forget()  # the worker goes on to tasks of other kinds
         trim()
 
