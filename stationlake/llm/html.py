@@ -14,6 +14,7 @@ import functools
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -98,6 +99,7 @@ def parse(page: str) -> Tree:
     block, at, hidden = 0, 0, 0
     root = add(-1, "#page", "", "", OUTER)
     open_nodes, open_tags = [root], ["#page"]
+    opened: Counter[str] = Counter()
     tree.mark.append("")
 
     def close(n: int) -> None:
@@ -106,9 +108,12 @@ def parse(page: str) -> Tree:
         for tag in open_tags[n:]:
             block += tag not in INLINE
             hidden -= tag in DROPPED
+            opened[tag] -= 1
         del open_nodes[n:], open_tags[n:]
 
     def close_within(tags: frozenset, scope: frozenset) -> None:
+        if not any(opened[tag] for tag in tags):
+            return None  # most often so: no walk through deep pages
         for n in range(len(open_tags) - 1, 0, -1):
             if open_tags[n] in tags:
                 return close(n)
@@ -161,6 +166,7 @@ def parse(page: str) -> Tree:
             continue
         open_nodes.append(node)
         open_tags.append(tag)
+        opened[tag] += 1
         hidden += tag in DROPPED
         if tag in RAW:
             over = re.compile(f"</{tag}", re.IGNORECASE).search(page, at)
