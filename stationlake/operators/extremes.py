@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from stationlake.functions import any_null, map_batches, quoted, unused
+from stationlake.functions import map_batches, quoted
 from stationlake.operators.ranking import asc_order, desc_order, first_k
 from stationlake.schemas import GOLD_DIMS, GOLD_KEYS
 
@@ -23,6 +24,24 @@ def daily_sensor_dims(df: DataFrame, cols: Sequence[str] = GOLD_DIMS) -> DataFra
     return df.select(*cols).distinct()
 
 
+def _coder() -> Callable:
+    """A function that numbers the rows of a batch, equal rows alike; it goes by value too."""
+
+    def codes(batch, places):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        out = np.zeros(batch.num_rows, np.int64)
+        for place in places:
+            coded = pc.dictionary_encode(batch.column(place), null_encoding="encode")
+            out = out * len(coded.dictionary) + coded.indices.to_numpy(zero_copy_only=False)
+            if len(coded.dictionary) > 1:
+                out = np.unique(out, return_inverse=True)[1]
+        return out
+
+    return codes
+
+
 def cut_extremes(
     df: DataFrame, keys: Sequence[str], dims: Sequence[str], value: str, k: int
 ) -> DataFrame:
@@ -36,6 +55,7 @@ def cut_extremes(
     columns = list(dict.fromkeys([*dims, value]))
     n_keys, n_dims = [columns.index(c) for c in keys], list(range(len(dims)))
     at = columns.index(value)
+    codes = _coder()
 
     # goes to the workers by value, so that they need not have this package
     def cut(batches):
@@ -43,15 +63,6 @@ def cut_extremes(
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        def codes(batch, places):
-            out = np.zeros(batch.num_rows, np.int64)
-            for place in places:
-                coded = pc.dictionary_encode(batch.column(place), null_encoding="encode")
-                out = out * len(coded.dictionary) + coded.indices.to_numpy(zero_copy_only=False)
-                if len(coded.dictionary) > 1:
-                    out = np.unique(out, return_inverse=True)[1]
-            return out
-
         def order(values):
             """Numbers that sort as the values do: NULL, numbers, NaN."""
             if not pa.types.is_floating(values.type):
@@ -95,28 +106,72 @@ def daily_extremes(
     where a key column is NULL.
 
     One scan, one shuffle and one sort: batches are cut first, a group's rows meet in one task,
-    where one order gives the ranks from either end, and labels are told apart there too.
+    where one order gives the ranks from either end. Groups are then read one after the other, so
+    that a task holds the rows to sort, which can spill, and of one group the labels.
     """
-    names = {n: unused(n, *dims, value) for n in ("value", "desc", "n")}
     rows = cut_extremes(df, keys, dims, value, k)
-    rows = rows.select(*map(quoted, dims), F.col(quoted(value)).alias(names["value"]))
-    group = Window.partitionBy(*map(quoted, keys))
-    ranked = rows.select(
-        "*",
-        F.row_number().over(group.orderBy(desc_order(names["value"]))).alias(names["desc"]),
-        F.count(F.lit(1)).over(group).alias(names["n"]),
-    )
-    rank = {"top": F.col(names["desc"]), "bottom": F.col(names["n"]) - F.col(names["desc"]) + 1}
-    known = ~any_null(keys)
-    picks = {
-        f"{side}{i}_valor": F.max(F.when(known & (rank[side] == i), F.col(names["value"])))
-        for side in rank
-        for i in range(1, k + 1)
-    }
-    if set(dims) == set(keys):
-        return ranked.groupBy(*map(quoted, dims)).agg(*[c.alias(n) for n, c in picks.items()])
-    spread = ranked.select(*map(quoted, dims), *[c.over(group).alias(n) for n, c in picks.items()])
-    return spread.groupBy(*map(quoted, dims)).agg(*[F.first(n).alias(n) for n in picks])
+    dims = list(dims)
+    n_keys, n_dims = [dims.index(c) for c in keys], list(range(len(dims)))
+    # groups and labels are told apart by their bits, so zeros get one sign, as in GROUP BY
+    labels = [
+        (F.when(c == 0, F.abs(c)).otherwise(c) if kind in ("float", "double") else c)
+        for c, kind in ((F.col(quoted(d)), dict(rows.dtypes)[d]) for d in dims)
+    ]
+    columns = [c.alias(f"c{i}") for i, c in enumerate(labels)]
+    plain = rows.select(*columns, F.col(quoted(value)).alias("v"))
+    by = [f"c{i}" for i in n_keys]
+    ranked = plain.repartition(*(by or [1])).sortWithinPartitions(*by, desc_order("v"))
+    names = [*plain.columns[:-1], *(f"v{i}" for i in range(2 * k))]
+    codes = _coder()
+
+    # goes to the workers by value, so that they need not have this package
+    def pick(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def starts_of(batch):
+            return np.flatnonzero(np.r_[True, np.diff(codes(batch, n_keys)) != 0])
+
+        def spread(batch):
+            """A row per label of some whole groups."""
+            starts = starts_of(batch)
+            sizes = np.diff(np.r_[starts, batch.num_rows])
+            known = np.ones(len(starts), bool)
+            for place in n_keys:
+                known &= ~batch.column(place).is_null().to_numpy(zero_copy_only=False)[starts]
+            label = np.unique(codes(batch, n_dims), return_index=True)[1]
+            group = np.searchsorted(starts, label, "right") - 1
+            out = [batch.column(i).take(pa.array(label)) for i in n_dims]
+            values = batch.column(len(n_dims))
+            for first, step in ((starts, 1), (starts + sizes - 1, -1)):
+                for i in range(k):
+                    missing = (~known | (sizes <= i))[group]
+                    places = np.where(missing, 0, (first + step * i)[group])
+                    out.append(values.take(pa.array(places, mask=missing)))
+            return pa.RecordBatch.from_arrays(out, names=names)
+
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.concat_batches([rest, batch])
+            cut = int(starts_of(batch)[-1])
+            if cut:
+                yield spread(batch.slice(0, cut))
+            # of the group that may go on only the rows that can matter
+            rest = batch.slice(cut)
+            keep = np.zeros(rest.num_rows, bool)
+            keep[:k] = keep[max(len(keep) - k, 0) :] = True
+            keep[np.unique(codes(rest, n_dims), return_index=True)[1]] = True
+            rest = rest.filter(pa.array(keep))
+        if rest is not None:
+            yield spread(rest)
+
+    *label_fields, field = plain.schema.fields
+    picked = [StructField(f"v{i}", field.dataType) for i in range(2 * k)]
+    found = ranked.mapInArrow(pick, StructType([*label_fields, *picked]))
+    return found.toDF(*dims, *value_columns(k))
 
 
 def daily_extremes_joined(

@@ -611,3 +611,31 @@ def test_drifting_payloads(spark):
     rows = got.select("location_id", "sensors_id", "lat", "datetime", "parameter", "value", flag.alias("flag")).collect()
     assert [r.value for r in rows] == [1.5, 2.5, None, None, None, 3.0]
     assert {tuple(r)[:5] + (r.flag,) for r in rows} == {(7, 5, None, None, "p", True)}
+
+
+def test_extremes_of_groups_that_span_batches(spark):
+    # batches of 7 rows end within groups; zeros of either sign are one label
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    df = spark.range(0, 600, 1, 3).select(
+        F.when(F.col("id") % 50 != 0, F.expr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END")).alias("k"),
+        F.concat(F.lit("l"), F.col("id") % 4).alias("label"),
+        F.when(F.col("id") % 5 == 0, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("zero"),
+        F.when(F.col("id") % 11 != 0, (F.col("id") * 7919 % 101).cast("double")).alias("v"),
+    )
+    dims = ["k", "label", "zero"]
+    expected = rows(op.daily_extremes_joined(df, ["k"], "v", 3, ["k", "label"], ["k"]))
+    spark.conf.set(batch, "7")
+    try:
+        assert rows(op.daily_extremes(df, ["k"], ["k", "label"], "v")) == expected
+        got = op.daily_extremes(df, ["k"], dims, "v")
+        assert rows(got.drop("zero")) == expected
+    finally:
+        spark.conf.unset(batch)
+
+
+def test_extremes_hold_no_table_of_groups(spark):
+    # a hash aggregate of all labels, and its merge, held more memory than the sort of the rows
+    for dims in (["k"], ["k", "label"]):
+        df = spark.range(10).selectExpr("id % 3 AS k", "'x' AS label", "id / 2 AS v")
+        plan = op.daily_extremes(df, ["k"], dims, "v")._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and plan.count("Sort [") == 1
