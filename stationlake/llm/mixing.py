@@ -266,7 +266,10 @@ def plan(
     )
     if not whole_rows:
         sized = materialise(sized)  # narrow rows; texts are rather read again
-    totals = sized.groupBy(F.col("_source").alias("source")).agg(
+    slim = sized.select("_source", "_size", "_key")
+    if whole_rows:
+        slim = materialise(slim)
+    totals = slim.groupBy(F.col("_source").alias("source")).agg(
         F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("_rows")
     )
     goals = materialise(
@@ -278,10 +281,11 @@ def plan(
         )
     )
     # a row per source; no hint, so that Spark broadcasts them by their size
-    known = sized.join(goals, F.col("_source").eqNullSafe(F.col("source")), "left")
-    block = F.pmod(F.col("_key"), F.col("_blocks"))
-    known = known.withColumn("_block", block)
-    blocks = known.groupBy("source", "_block").agg(F.sum("_size").alias("_words"))
+    def dealt_in(rows: DataFrame) -> DataFrame:
+        known = rows.join(goals, F.col("_source").eqNullSafe(F.col("source")), "left")
+        return known.withColumn("_block", F.pmod(F.col("_key"), F.col("_blocks")))
+
+    blocks = dealt_in(slim).groupBy("source", "_block").agg(F.sum("_size").alias("_words"))
     blocks = blocks.join(
         goals.select(F.col("source").alias("_s"), "_goal", "_blocks", "source_size"),
         F.col("source").eqNullSafe(F.col("_s")),
@@ -299,22 +303,44 @@ def plan(
     quotas = quotas.where("quota > 0")
     shards = max(1, math.ceil((goals.agg(F.sum("_goal")).first()[0] or 0) / shard_words))
     parts = split_quotas(quotas, shards, seed)
-    dealt = _dealt(starts, parts, seed)
+    edges = _edges(dealt_in(slim).select("_source", "_block", "_size", "_key"), starts)
+    # both have their size on disk, by which Spark broadcasts them: texts stay where they are
+    edges = edges.select(F.col("_s").alias("_source"), F.col("_b").alias("_block"), "_edge", "_past")
+    dealt = _dealt(starts, parts, seed).join(edges, _in_block(), "left").drop("_source", "_block")
+    dealt = materialise(dealt)
+    ends = materialise(dealt.where("_edge IS NOT NULL"))
+    known = dealt_in(sized)
     placed = known.select("_row", "_source", "_size", "_key", "_block", "source_size", "target")
-    placed = placed.join(
-        dealt.select(
-            F.col("source").alias("_s"),
-            F.col("_block").alias("_b"),
-            "_round",
-            "_rest",
-            "_words",
-            "_words_before",
-            "_shards",
-        ),
-        F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")),
-        "left",
+    return _draws(placed, dealt, ends, keep, seed, cut)
+
+
+def _in_block() -> Column:
+    return F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
+
+
+def _edges(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """The key in order at which a source reaches its target, and the words of its block before it.
+
+    Rows (_s, _b, _edge, _past), one for each source that ends within a block. Only narrow rows
+    are put in order.
+    """
+    crossing = (F.col("_words_before") < F.col("_rest")) & (
+        F.col("_words_before") + F.col("_words") > F.col("_rest")
     )
-    return _draws(placed, keep, seed, cut)
+    ends = starts.where(crossing).select(
+        F.col("source").alias("_s"),
+        F.col("_block").alias("_b"),
+        (F.col("_rest") - F.col("_words_before")).alias("_missing"),
+    )
+    inside = rows.join(ends, _in_block()).groupBy("_s", "_b", "_missing", "_key")
+    inside = inside.agg(F.sum("_size").alias("_size"))
+    order = Window.partitionBy("_s", "_b").orderBy("_key")
+    past = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    inside = inside.withColumn("_past", F.coalesce(past, F.lit(0)))
+    reached = (F.col("_past") <= F.col("_missing")) & (
+        F.col("_past") + F.col("_size") > F.col("_missing")
+    )
+    return inside.where(reached).select("_s", "_b", F.col("_key").alias("_edge"), "_past")
 
 
 def _earlier(blocks: DataFrame, order: list[Column]) -> DataFrame:
@@ -365,28 +391,41 @@ def _dealt(starts: DataFrame, parts: DataFrame, seed: int) -> DataFrame:
         return F.element_at(F.filter("_runs", lambda r: r["first"] <= at), -1)["shard"]
 
     joined = starts.join(runs, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    return joined.withColumn("_shards", F.transform(draws, shard))
+    return joined.select(
+        F.col("source").alias("_s"),
+        F.col("_block").alias("_b"),
+        "_round",
+        "_rest",
+        "_words",
+        "_words_before",
+        F.transform(draws, shard).alias("_shards"),
+    )
 
 
-def _draws(placed: DataFrame, keep: list[str], seed: int, cut: bool) -> DataFrame:
-    # only the one block of a source at which it reaches its target needs its rows in order:
-    # all others have all or none of their rows in the last round
-    crossing = (F.col("_words_before") < F.col("_rest")) & (
-        F.col("_words_before") + F.col("_words") > F.col("_rest")
-    )
-    inside = placed.where(crossing)
+def _draws(
+    placed: DataFrame, dealt: DataFrame, ends: DataFrame, keep: list[str], seed: int, cut: bool
+) -> DataFrame:
+    # only equal rows at the key where a source reaches its target need an order: all before
+    # them are in the last round, and none behind them
+    at_edge = F.col("_key") == F.col("_edge")
+    inside = placed.join(ends, _in_block() & at_edge)
     rows = Window.partitionBy("_source", "_block").orderBy("_key")
     before = F.coalesce(
         F.sum("_size").over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    missing = F.col("_rest") - F.col("_words_before") - F.col("_past")
+    missing = F.col("_rest") - F.col("_words_before") - F.col("_past") - F.col("_before")
     part = F.greatest(F.least(missing, F.col("_size")), F.lit(0))
     if not cut:
         part = F.when(2 * part >= F.col("_size"), F.col("_size")).otherwise(0)
-    last = inside.withColumn("_past", before).withColumn("_last", part).drop("_past")
-    other = placed.where(~F.coalesce(crossing, F.lit(False))).withColumn(
+    last = inside.withColumn("_before", before).withColumn("_last", part).drop("_before")
+    other = placed.join(dealt, _in_block(), "left")
+    other = other.where(~F.coalesce(at_edge, F.lit(False))).withColumn(
         "_last",
-        F.when(F.col("_words_before") < F.col("_rest"), F.col("_size")).otherwise(0),
+        F.when(
+            (F.col("_words_before") < F.col("_rest"))
+            & (F.col("_edge").isNull() | (F.col("_key") < F.col("_edge"))),
+            F.col("_size"),
+        ).otherwise(0),
     )
     both = last.unionByName(other)
 

@@ -140,3 +140,40 @@ def test_no_python_runs(odd):
     for df in (mixing.plan(odd), mixing.mix(odd)):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
+
+
+def test_texts_are_shuffled_once_into_their_shards(spark, sf_dir):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        mixed = mixing.mix(table(spark, sf_dir, "documents"))
+        text = mixed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # blocks and sources are broadcast; but the rows at which a source ends nothing is put in order
+    assert "SortMergeJoin" not in text
+    assert len(re.findall(r"Exchange hashpartitioning\(shard", text)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+
+
+@pytest.mark.parametrize("cut", [True, False])
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_copies_at_the_end_of_a_source(spark, cut, threshold):
+    # each source is one block of copies, so that its target lies among equal rows
+    df = spark.range(60).selectExpr(
+        "id % 3 AS doc_id", "repeat('w ', 7) AS text",
+        "CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS source", "id AS place_of",
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows = mixing.plan(df, cut=cut, whole_rows=True).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(r.place_of for r in rows) == list(range(60))
+    took = Counter()
+    for r in rows:
+        took[r.source] += sum(d.words for d in r.draws)
+        assert cut or all(d.words == 7 for d in r.draws)
+    for source, t in targets({"a": 140, "b": 140, None: 140}).items():
+        assert took[source] == round(t) if cut else abs(took[source] - t) <= 4
