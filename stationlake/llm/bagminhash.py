@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from stationlake.llm.common import fresh, ship, slices, trim
 from stationlake.llm.suffixes import BASES, Hashes, mixed
-from stationlake.session import discard, materialise
+from stationlake.session import discard, materialise, release
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -243,7 +243,7 @@ def components(links: DataFrame) -> DataFrame:
     then its lesser ones, until the links are stars around the least nodes.
     """
     links = materialise(_ordered(links))
-    before = None
+    spent, before = [], None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -252,12 +252,14 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select("b", "m").unionByName(least.select(F.col("a").alias("b"), "m"))
+        spent += [links, large]
         links = materialise(_ordered(small.select(F.col("b").alias("a"), F.col("m").alias("b"))))
         total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         state = links.agg(F.count(F.lit(1)), total).first()
         if state == before:
             break
         before = state
+    discard(*spent)
     tops = links.select(F.col("b").alias("node")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         tops.withColumn("component", F.col("node"))
@@ -289,7 +291,13 @@ def classes(
     empty ones too), which are never duplicates. Words are what ASCII white space separates, in
     lower case; texts of less than five words are one shingle of all their words.
     """
-    rows = materialise(signed(docs, doc_id, text))
+    scratch = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        scratch.append(materialise(df))
+        return scratch[-1]
+
+    rows = hold(signed(docs, doc_id, text))
     members = (
         rows.where("node IS NOT NULL")
         .groupBy("node")
@@ -299,14 +307,14 @@ def classes(
             F.first("signature").alias("signature"),
         )
     )
-    members = materialise(members)
+    members = hold(members)
     shares = _buckets(members)
     # grouped by more than the bucket, so that a join partitions both sides itself and Spark can
     # split the members of a large bucket
     part = F.hash("bucket").alias("_part")
     sizes = shares.groupBy("bucket", part).count().where("count > 1").drop("_part")
-    shares = materialise(shares.join(sizes, "bucket"))
-    weights = materialise(shares.groupBy("node").agg(F.sum("count").alias("weight")))
+    shares = hold(shares.join(sizes, "bucket"))
+    weights = hold(shares.groupBy("node").agg(F.sum("count").alias("weight")))
     shares = shares.drop("count").join(weights, "node")
     centres = shares.groupBy("bucket", part).agg(
         F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("c")
@@ -315,32 +323,44 @@ def classes(
     pairs = shares.join(centres, "bucket").where(
         (F.col("node") != F.col("b")) & _possible("n", "m", similarity)
     )
-    tested = materialise(_ordered(pairs.select(F.col("node").alias("a"), "b")))
-    texts = materialise(_texts(docs, doc_id, text, members.join(weights, "node", "left_semi")))
-    links = materialise(_verified(tested, texts, similarity))
+    tested = hold(_ordered(pairs.select(F.col("node").alias("a"), "b")))
+    texts = hold(_texts(docs, doc_id, text, members.join(weights, "node", "left_semi")))
+    release(docs.sparkSession)  # the shuffle of all texts
+    links = hold(_verified(tested, texts, similarity))
+    release(docs.sparkSession)
     parts = components(links)
     shares = shares.select("bucket", "node")
     for step in (_nearest, _apart):
-        cells, met = _cells(shares, members, parts, similarity)
-        found = materialise(step(cells, met, texts, similarity))
+        cells, met = _cells(shares, members, parts, similarity, hold)
+        found = hold(step(cells, met, texts, similarity, hold))
         if not found.isEmpty():
             links = links.unionByName(found)
+            scratch.append(parts)
             parts = components(links)
-    discard(texts, tested)
     own = F.coalesce("component", "node").alias("component")
-    return rows.drop("n", "signature").join(parts, "node", "left").select("id", "h", own)
+    found = rows.drop("n", "signature").join(parts, "node", "left").select("id", "h", own)
+    found = materialise(found)
+    discard(*scratch, parts)
+    return found
+
+
+def _id(value: Column) -> list[Column]:
+    """An id as two columns without nulls, which a join and a grouping after it can share."""
+    return [F.coalesce(value, F.lit(0).cast("bigint")), value.isNull()]
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str, members: DataFrame) -> DataFrame:
     """Rows (node, t): the text of one row of each of the nodes."""
-    of = members.select("node", F.col("first.id").alias("i"), F.col("first.h").alias("k"))
-    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("k"))
-    found = _keyed(docs, doc_id, text).join(of, same)
-    return found.groupBy("node").agg(F.first("t").alias("t"))
+    key = ["i", "null", "h"]
+    of = members.select(*_id(F.col("first.id")), "first.h", "node").toDF(*key, "node")
+    found = _keyed(docs, doc_id, text).select(*_id(F.col("id")), "h", "t").toDF(*key, "t")
+    found = found.join(of, key)
+    # by the key too, so that texts are shuffled once
+    return found.groupBy(*key, "node").agg(F.first("t").alias("t")).select("node", "t")
 
 
 def _cells(
-    shares: DataFrame, members: DataFrame, parts: DataFrame, similarity: float
+    shares: DataFrame, members: DataFrame, parts: DataFrame, similarity: float, hold: Callable
 ) -> tuple[Callable, Callable]:
     """Blocks of members that meet in buckets with several components.
 
@@ -364,7 +384,7 @@ def _cells(
     )
     full = placed.join(several.where("parts > 1").drop("parts"), "bucket")
     full = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    full = materialise(full)
+    full = hold(full)
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     values = ["node", "component", "n", "signature"]
     strays = full.where("component <> kept").withColumn("column", every)
@@ -390,7 +410,9 @@ def _cells(
     return apply, likely
 
 
-def _nearest(cells: Callable, likely: Callable, texts: DataFrame, similarity: float) -> DataFrame:
+def _nearest(
+    cells: Callable, likely: Callable, texts: DataFrame, similarity: float, hold: Callable
+) -> DataFrame:
     """Links (a, b) of members outside a family and the one that is nearest to each."""
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -406,10 +428,12 @@ def _nearest(cells: Callable, likely: Callable, texts: DataFrame, similarity: fl
     found = cells(best, "a binary, b binary, agree int").groupBy("a").agg(
         F.max_by("b", F.struct("agree", "b")).alias("b")
     )
-    return _verified(materialise(_ordered(found)), texts, similarity)
+    return _verified(hold(_ordered(found)), texts, similarity)
 
 
-def _apart(cells: Callable, likely: Callable, texts: DataFrame, similarity: float) -> DataFrame:
+def _apart(
+    cells: Callable, likely: Callable, texts: DataFrame, similarity: float, hold: Callable
+) -> DataFrame:
     """Links (a, b) that join all similar members of blocks, as few as do."""
 
     def needed(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -427,8 +451,8 @@ def _apart(cells: Callable, likely: Callable, texts: DataFrame, similarity: floa
         return pa.concat_tables(out)
 
     cell = "bucket bigint, row int, column int"
-    rows = materialise(cells(needed, f"node binary, component binary, {cell}, asks boolean"))
-    bags = materialise(_bags(texts.join(rows.select("node").distinct(), "node", "left_semi")))
+    rows = hold(cells(needed, f"node binary, component binary, {cell}, asks boolean"))
+    bags = hold(_bags(texts.join(rows.select("node").distinct(), "node", "left_semi")))
     full = rows.join(bags, "node")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -523,7 +547,7 @@ def with_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **op
     ``class_id`` is the smallest id of the class, ignoring nulls; a text without words is a
     class of its own, of its own id.
     """
-    rows = materialise(classes(docs, doc_id, text, **options))
+    rows = classes(docs, doc_id, text, **options)
     names = rows.where("component IS NOT NULL").groupBy("component").agg(
         F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
     )
@@ -539,14 +563,15 @@ def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **option
 
     Of rows with equal ids and texts one stays. Texts without words all stay.
     """
-    rows = materialise(classes(docs, doc_id, text, **options))
+    rows = classes(docs, doc_id, text, **options)
     first = rows.where("component IS NOT NULL").groupBy("component").agg(
         F.min(F.struct("id", "h")).alias("first")
     )
-    i, h, k = (fresh() for _ in range(3))
-    first = first.select(F.col("first.id").alias(i), F.col("first.h").alias(h))
-    keyed = docs.withColumn(k, F.xxhash64(F.lit("bags"), F.col(text)))
+    key = [fresh() for _ in range(3)]
+    first = first.select(*_id(F.col("first.id")), "first.h").toDF(*key)
+    own = [*_id(F.col(doc_id).cast("bigint")), F.xxhash64(F.lit("bags"), F.col(text))]
+    keyed = docs.withColumns(dict(zip(key, own)))
     words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(i)) & (F.col(k) == F.col(h))
-    kept = keyed.where(words).join(first, same, "left_semi").dropDuplicates([doc_id, k])
-    return kept.unionByName(keyed.where(~words)).drop(k)
+    # one shuffle of the rows, by the key, for both steps
+    kept = keyed.where(words).join(first, key, "left_semi").dropDuplicates([*key, doc_id])
+    return kept.unionByName(keyed.where(~words)).drop(*key)

@@ -54,20 +54,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def discard(*written: DataFrame) -> None:
-    """Delete tables of ``materialise`` that nothing will read again, and what Spark can let go.
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles that nothing refers to any more.
 
-    Spark deletes the files of a shuffle when the driver collects the objects that refer to it,
-    which may be long after; a chain of large steps would keep all of them on disk.
+    It does so when the driver collects the objects that refer to them, which may be long after;
+    a chain of large steps would keep all of them on disk.
     """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing will read again, and what Spark can let go."""
     for df in written:
         context = df.sparkSession.sparkContext
         for folder in {os.path.dirname(f) for f in df.inputFiles()}:
             if os.path.basename(folder).startswith("rows-"):
                 path = context._jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-        gc.collect()
-        context._jvm.System.gc()
+    if written:
+        release(written[0].sparkSession)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Near duplicates: unbiased signatures, exact similarities, classes against all pairs."""
 
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from stationlake.llm import bagminhash as near
 from stationlake.llm.common import table
 from stationlake.llm.registry import op5_bagminhash
+from stationlake.session import shared_dir
 
 from .conftest import ODD
 
@@ -200,3 +202,33 @@ def test_odd_rows(odd, none):
     ids = sorted(str(r.doc_id) for r in kept.collect())
     assert ids == sorted(map(str, [1, 2, 3, 4, 5, 6, 7, None]))
     assert near.with_class(none).count() == 0 and near.dedupe(none).count() == 0
+
+
+def test_dedupe_shuffles_the_rows_once(spark):
+    df = spark.createDataFrame(
+        [(None, "a b c"), (None, "a b c"), (0, "a b c"), (0, "d e f"), (0, "d e f"), (2, "")],
+        "doc_id long, text string",
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = near.dedupe(df)
+        text = kept._jdf.queryExecution().executedPlan().toString()
+        rows = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # the rows, the classes, and the first of each class
+    assert text.count("Exchange hashpartitioning") == 3
+    assert sorted(map(tuple, rows), key=str) == [(0, "d e f"), (2, ""), (None, "a b c")]
+
+
+def test_no_scratch_is_left_but_the_classes(spark):
+    def folders():
+        top = shared_dir(spark)
+        return {f for f in os.listdir(top) if f.startswith("rows-")} if os.path.isdir(top) else set()
+
+    before = folders()
+    df = spark.range(40).selectExpr("id AS doc_id", "concat('a b c d e f g ', id % 4) AS text")
+    found = near.classes(df)
+    assert len(folders() - before) == 1
+    assert found.count() == 40 and found.select("component").distinct().count() == 4
