@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from stationlake.llm.common import fresh, ship, slices, trim
 from stationlake.llm.suffixes import BASES, Hashes, mixed
-from stationlake.session import discard, materialise, release
+from stationlake.session import discard, materialise, release, small_batches
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -50,8 +50,8 @@ LIKELY = 0.62
 BLOCK, BLOCK_SHINGLES = 2_048, 1 << 21
 #: What names two blocks of a bucket.
 CELL = ("bucket", "row", "column")
-#: Bytes of text that are hashed at a time.
-PIECE = 1 << 19
+#: Bytes of text that are hashed at a time, and texts that go to a worker at a time.
+PIECE, BATCH = 1 << 18, 512
 #: Multipliers for the words of a shingle.
 STEPS = np.array([pow(0x9FB21C651E98DF25, i, 1 << 64) for i in range(WORDS)], np.uint64)
 
@@ -291,6 +291,12 @@ def classes(
     empty ones too), which are never duplicates. Words are what ASCII white space separates, in
     lower case; texts of less than five words are one shingle of all their words.
     """
+    with small_batches(docs.sparkSession, BATCH):
+        return _classes(docs, doc_id, text, similarity)
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
+    """As ``classes``; every step with a worker is written before it returns."""
     scratch = []
 
     def hold(df: DataFrame) -> DataFrame:
@@ -422,6 +428,7 @@ def _nearest(
                 if len(near):
                     out.append((node, names[near[agree.argmax()]], int(agree.max())))
         columns = zip(*out) if out else ((), (), ())
+        _tidy(left, right)
         kinds = (pa.binary(), pa.binary(), pa.int32())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "agree"])
 
@@ -448,6 +455,7 @@ def _apart(
             for name, value in zip((*CELL, "asks"), (*key, pa.scalar(is_left))):
                 some = some.append_column(name, pa.repeat(value, len(some)))
             out.append(some)
+        _tidy(left, right)
         return pa.concat_tables(out)
 
     cell = "bucket bigint, row int, column int"
@@ -475,6 +483,8 @@ def _apart(
                     root[root == root[kind[i]]] = root[code]
                     out.append((max(node, names[i]), min(node, names[i])))
         a, b = zip(*out) if out else ((), ())
+        del bag, held, postings
+        _tidy(left, right)
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
 
     asking = full.where("asks").drop("asks")
@@ -483,6 +493,12 @@ def _apart(
     return met.applyInArrow(verify, "a binary, b binary").distinct()
 
 
+def _tidy(*tables: pa.Table) -> None:
+    """Give back what large blocks took; there are too many small ones to do it after each."""
+    if sum(t.nbytes for t in tables) >= PIECE:
+        trim()
+
+
 def _codes(*columns: pa.ChunkedArray) -> tuple[int, list[np.ndarray]]:
     """Numbers for the values of some columns, equal for equal values."""
     lists = [c.to_pylist() for c in columns]

@@ -56,8 +56,10 @@ class Hashes:
     """Hashes of all substrings of some bytes."""
 
     def __init__(self, data: np.ndarray, base: int):
-        self.size = PIECE * 2 if len(data) < PIECE * 2 else 1 << int(len(data)).bit_length()
-        self.up, self.down = _powers(base, self.size)
+        usual = len(data) < PIECE * 2
+        # workers live on, so tables for longer data are not kept
+        table, size = (_powers, PIECE * 2) if usual else (_powers.__wrapped__, len(data) + 1)
+        self.up, self.down = table(base, size)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=self.sums[1:])
 

@@ -6,6 +6,8 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +78,23 @@ def discard(*written: DataFrame) -> None:
         release(written[0].sparkSession)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs inside; it must run there, not later.
+
+    An executor holds a batch outside its heap and the worker holds it once more, so with texts of
+    any length it is their number that must be small.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    now = int(spark.conf.get(name, "0") or 0)
+    spark.conf.set(name, str(min(now, rows) if now > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

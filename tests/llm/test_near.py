@@ -1,15 +1,19 @@
 """Near duplicates: unbiased signatures, exact similarities, classes against all pairs."""
 
+import gc
 import os
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stationlake.llm import bagminhash as near
+from stationlake.llm import suffixes
 from stationlake.llm.common import table
 from stationlake.llm.registry import op5_bagminhash
-from stationlake.session import shared_dir
+from stationlake.session import materialise, shared_dir
 
 from .conftest import ODD
 
@@ -107,6 +111,53 @@ def test_signatures_do_not_depend_on_other_texts():
         assert (found[0] == other).all()
 
 
+def test_workers_keep_no_tables_of_long_texts():
+    long = " ".join(f"w{i % 7}" for i in range(1_000_000)).encode()
+    short = near.Bags([b"a b c d e f"])  # the tables that are kept
+    gc.collect()
+    tracemalloc.start()
+    bags = near.Bags([long, b"a b c d e f"])
+    assert bags.words.tolist() == [1_000_000, 6]
+    assert (bags.hash[bags.text == 1] == short.hash).all()
+    assert bags.count[bags.text == 0].tolist() and bags.count[bags.text == 0].sum() == 999_996
+    del bags
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1 << 20
+
+
+def test_groups_fit_the_tables_that_are_kept():
+    texts = [b"x" * 2_000] * 600
+    assert [len(t) for t, in near._groups(texts)] == [132, 132, 132, 132, 72]
+    assert near.PIECE + 2_000 + 132 < 2 * suffixes.PIECE
+
+
+def test_memory_of_large_blocks_goes_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(near, "trim", lambda: calls.append(1))
+    small, large = (pa.table({"x": pa.array([b"x" * n])}) for n in (100, near.PIECE))
+    near._tidy(small, small)
+    assert not calls
+    near._tidy(small, large)
+    assert len(calls) == 1
+
+
+def test_texts_go_to_workers_in_small_batches(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def spied(df):
+        seen.append(spark.conf.get(name))
+        return materialise(df)
+
+    monkeypatch.setattr(near, "materialise", spied)
+    before = spark.conf.get(name, None)
+    rows = spark.createDataFrame([(1, "a b c"), (2, "A b c"), (3, "d")], "doc_id long, text string")
+    assert near.with_class(rows).count() == 3
+    assert seen and set(seen) == {str(near.BATCH)}
+    assert spark.conf.get(name, None) == before
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_the_query_against_all_pairs(spark, sf_dir, sf):
     path = sf_dir.replace("sf0.01", sf)

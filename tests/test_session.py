@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
 from stationlake import session
@@ -46,3 +47,25 @@ def test_command_line():
     assert cfg.run_at == datetime(2024, 1, 30, 10)
     job, cfg = parse(["gold", "--gold-mode", "replace_days", "--polluted-keep", "a", "b"])
     assert (cfg.gold_mode, cfg.polluted_keep, cfg.gold_days) == ("replace_days", ("a", "b"), 3)
+
+
+def test_batches_are_small_only_inside(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def largest():
+        def count(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        found = spark.range(0, 100, 1, 1).mapInArrow(count, "n long").collect()
+        return max(r.n for r in found)
+
+    before = spark.conf.get(name, None)
+    with session.small_batches(spark, 7):
+        assert largest() == 7
+        with session.small_batches(spark, 9):  # the smaller one holds
+            assert largest() == 7
+    assert largest() == 100 and spark.conf.get(name, None) == before
+    with pytest.raises(ZeroDivisionError), session.small_batches(spark, 7):
+        1 / 0
+    assert spark.conf.get(name, None) == before
