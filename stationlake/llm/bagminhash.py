@@ -147,12 +147,12 @@ def similarities(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return shared / np.maximum(total - shared, 1)
 
 
-def _groups(texts: list[bytes], *more: list) -> Iterator[tuple]:
-    """Slices of lists, with about ``PIECE`` bytes of text each."""
+def _groups(texts: list[bytes], *more: list, piece: int = PIECE) -> Iterator[tuple]:
+    """Slices of lists, with about ``piece`` bytes of text each."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= PIECE or i == len(texts) - 1:
+        if size >= piece or i == len(texts) - 1:
             yield tuple(x[start : i + 1] for x in (texts, *more))
             start, size = i + 1, 0
 
@@ -226,7 +226,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             rows = list(range(batch.num_rows))
             keep = []
             sides = [_bytes(batch.column(c)) for c in ("ta", "tb")]
-            for left, right, own in _groups(*sides, rows):
+            for left, right, own in _groups(*sides, rows, piece=PIECE // 2):
                 near = similarities(left, right) >= least
                 keep += [r for r, yes in zip(own, near) if yes]
             found = batch.take(pa.array(keep, pa.int64()))
